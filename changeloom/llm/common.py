@@ -47,3 +47,24 @@ def fold_of(key: Column, modulus: int) -> Column:
 
 def text_or_empty(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
+
+
+def slices(batch, column: str, most_bytes: int = 16 << 20):
+    """An Arrow batch in slices of about `most_bytes` of one string or binary column.
+
+    A batch is counted in rows, so long values can make it large; work on a slice has
+    bounded intermediates. A single longer value is a slice of its own.
+    """
+    import pyarrow.compute as pc
+
+    if batch.nbytes <= most_bytes or not batch.num_rows:
+        yield batch
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most_bytes:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    yield batch.slice(start)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat
+from . import chat, licenses
 
 
 def queries() -> dict:
-    return {"op9_chat_formatting": chat.query}
+    return {"op6_license_scans": licenses.query, "op9_chat_formatting": chat.query}
 
 
 def oracle_sql() -> dict[str, str]:
