@@ -55,19 +55,20 @@ def _rule_table(rules: tuple[Rule, ...]) -> Column:
 
 def _matches(text: Column, rule: Column) -> Column:
     """(start, end) of a rule's matches, from the pieces between them and the matches themselves."""
-    pieces = F.call_function("split", text, rule["regex"], F.lit(-1))
-    found = F.regexp_extract_all(text, rule["regex"], F.lit(0))
-    ends = F.transform(
-        F.filter(F.sequence(F.lit(1), F.greatest(F.size(found), F.lit(1))), lambda i: i <= F.size(found)),
-        lambda i: F.aggregate(F.slice(pieces, F.lit(1), i), F.lit(0), lambda n, x: n + F.length(x)) + F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda n, x: n + F.length(x)),
-    )
-    return F.transform(
-        F.arrays_zip(ends.alias("end"), found.alias("match")),
-        lambda m: F.struct(
-            (m["end"] - F.length(m["match"])).alias("start"), m["end"].alias("end"), rule["rank"].alias("rank"), rule["id"].alias("rule"),
-            rule["label"].alias("label"), rule["priority"].alias("priority"), rule["confidence"].alias("confidence"),
-        ),
-    )
+    split = F.struct(F.call_function("split", text, rule["regex"], F.lit(-1)).alias("pieces"), F.regexp_extract_all(text, rule["regex"], F.lit(0)).alias("found"))
+    length = lambda strings: F.aggregate(strings, F.lit(0), lambda n, x: n + F.length(x))
+
+    def places(both: Column) -> Column:
+        def one(match: Column, i: Column) -> Column:
+            start = length(F.slice(both["pieces"], F.lit(1), i + 1)) + length(F.slice(both["found"], F.lit(1), i))
+            return F.struct(
+                start.alias("start"), (start + F.length(match)).alias("end"), rule["rank"].alias("rank"), rule["id"].alias("rule"),
+                rule["label"].alias("label"), rule["priority"].alias("priority"), rule["confidence"].alias("confidence"),
+            )
+
+        return F.transform(both["found"], one)
+
+    return _once(split, places)
 
 
 def _kept(detections: Column) -> Column:
@@ -91,8 +92,8 @@ def detections(words: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
         def inside(seen: Column, from_: Column) -> Column:
             present = F.filter(F.array(*map(F.lit, keywords)), lambda k: seen.contains(k))
-            wanted = F.filter(table, lambda r: F.arrays_overlap(r["keywords"], present))
-            every = F.flatten(F.transform(wanted, lambda r: _matches(seen, r)))
+            gate = lambda there: F.filter(table, lambda r: (F.size(there) > 0) & F.exists(r["keywords"], lambda k: F.array_contains(there, k)))
+            every = F.flatten(F.transform(_once(present, gate), lambda r: _matches(seen, r)))
             # what starts at a cut may be the rest of a longer word
             every = F.filter(every, lambda d: (d["start"] > 0) | (from_ == 0))
             own = F.filter(_once(every, _kept), lambda d: (d["start"] >= from_) & (d["start"] < from_ + F.length(chunk)))
