@@ -1,6 +1,6 @@
 r"""Signature rules for licence scans.
 
-A rule is (id, label, priority, keyword, regex, confidence). Regexes run over
+A rule is (id, label, priority, keyword, regex, confidence, needs). Regexes run over
 normalised text: words in lower case, one space between them (so "CC BY-NC 4.0" reads
 "cc by nc 4 0"). Every regex keeps to bounded repeats, which bounds a match's length
 by MAX_MATCH_CHARS; the scanner relies on that when it cuts long texts into windows.
@@ -11,6 +11,7 @@ and the identifier in SPDX spelling (normalised); forms wrap a name into stateme
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 MAX_MATCH_CHARS = 400
@@ -23,6 +24,7 @@ class Rule(NamedTuple):
     keyword: str
     regex: str
     confidence: float
+    needs: str = ""
 
 
 #: The phrases whose places are counted, with their labels, in priority 0: they are never suppressed.
@@ -165,7 +167,10 @@ def build_rules() -> tuple[Rule, ...]:
     rules += [Rule(f"text:{i}:{label}", label, priority, keyword, _whole(regex), confidence) for i, (label, priority, keyword, regex, confidence) in enumerate(OTHER)]
     for label, keyword, name, _ in FAMILIES:
         rules.append(Rule(f"name:{label}", label, 5, keyword, _whole(name), 0.7))
-    return tuple(rules)
+    # short keywords are parts of many words; where the name says licence, that is needed too
+    names = {label for label, _, name, _ in FAMILIES if re.search(r" licen\[cs\]e(?!\))", re.sub(r"\(\?:[^()]*\)\?", "", name)) and "|" not in re.sub(r"\([^()]*\)", "", name)}
+    needs = lambda r: "licen" if r.label in names and r.id.split(":")[0] in ("grant", "pointer", "name") else ""
+    return tuple(r._replace(needs=needs(r)) for r in rules)
 
 
 RULES = build_rules()

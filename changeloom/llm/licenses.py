@@ -28,12 +28,14 @@ from .license_rules import BASE_PHRASES, MAX_MATCH_CHARS, RULES, Rule
 
 WINDOW, MARGIN = 4096, 512
 assert MARGIN > MAX_MATCH_CHARS
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The two other characters whose lower case holds an ASCII letter; they are words' characters and stay such.
+_KELVIN, _DOTTED_I = "\u212a", "\u0130"
 
 
 def normalise(text: Column) -> Column:
     """Words in lower case, two spaces between them: each word has spaces of its own."""
-    words = F.regexp_replace(F.translate(common.text_or_empty(text), _UPPER, _LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "  ")
+    text = F.replace(F.replace(common.text_or_empty(text), F.lit(_KELVIN), F.lit("\u0138")), F.lit(_DOTTED_I), F.lit("\u0131"))
+    words = F.regexp_replace(F.lower(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "  ")
     return F.trim(words)
 
 
@@ -46,7 +48,7 @@ def _rule_table(rules: tuple[Rule, ...]) -> Column:
         *(
             F.struct(
                 F.lit(i).alias("rank"), F.lit(r.id).alias("id"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"),
-                F.array(*map(F.lit, r.keyword.split("|"))).alias("keywords"), F.lit(r.regex).alias("regex"), F.lit(r.confidence).alias("confidence"),
+                F.array(*map(F.lit, r.keyword.split("|"))).alias("keywords"), F.lit(r.needs).alias("needs"), F.lit(r.regex).alias("regex"), F.lit(r.confidence).alias("confidence"),
             )
             for i, r in enumerate(rules)
         )
@@ -82,7 +84,7 @@ def _kept(detections: Column) -> Column:
 
 def detections(words: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """Detections that stay, with places in characters of the single-spaced text `words`."""
-    keywords = sorted({k for r in rules for k in r.keyword.split("|")})
+    keywords = sorted({k for r in rules for k in (*r.keyword.split("|"), r.needs)} - {""})
     table = _rule_table(rules)
     chunks = F.regexp_extract_all(words, F.lit(rf"(?s).{{1,{WINDOW}}}"), F.lit(0))
 
@@ -92,7 +94,10 @@ def detections(words: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
         def inside(seen: Column, from_: Column) -> Column:
             present = F.filter(F.array(*map(F.lit, keywords)), lambda k: seen.contains(k))
-            gate = lambda there: F.filter(table, lambda r: (F.size(there) > 0) & F.exists(r["keywords"], lambda k: F.array_contains(there, k)))
+            gate = lambda there: F.filter(
+                F.when(F.size(there) > 0, table).otherwise(F.slice(table, 1, 0)),
+                lambda r: F.exists(r["keywords"], lambda k: F.array_contains(there, k)) & ((r["needs"] == "") | F.array_contains(there, r["needs"])),
+            )
             every = F.flatten(F.transform(_once(present, gate), lambda r: _matches(seen, r)))
             # what starts at a cut may be the rest of a longer word
             every = F.filter(every, lambda d: (d["start"] > 0) | (from_ == 0))
