@@ -68,3 +68,58 @@ def slices(batch, column: str, most_bytes: int = 16 << 20):
             start, held = i, 0
         held += size
     yield batch.slice(start)
+
+
+def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int, label_bytes: int, id_col: str = "doc_id", text_col: str = "text", labels: DataFrame | None = None) -> list[tuple[str, object]]:
+    """(text, label) of a bounded sample on the driver, the same on every run.
+
+    Of the rows where `keep` holds, each label gives the rows with the least hash of
+    their id: at most `per_label` rows and `label_bytes` bytes of text. Both bounds are
+    parameters of the callers; nothing on the driver grows with the corpus.
+    `labels` (id, columns that `label` reads) is joined if given: its rows are few numbers,
+    so the sample is drawn from it first and only sampled texts are fetched.
+    """
+    spark = docs.sparkSession
+    order = F.xxhash64(F.lit("sample"), F.col("id").cast("string"))
+    base = (labels if labels is not None else docs).withColumn("id", F.col(id_col))
+    base = base.filter(keep).select("id", label.alias("label")).filter("id is not null and label is not null")
+    kinds = [r.label for r in base.select("label").distinct().limit(1000).collect()]
+    ids: list = []
+    for kind in kinds:
+        ids += [(r.id, kind) for r in base.filter(F.col("label") == F.lit(kind)).select("id", order.alias("h")).distinct().orderBy("h", "id").limit(per_label).collect()]
+    if not ids:
+        return []
+    schema = f"id {dict(base.dtypes)['id']}, label {dict(base.dtypes)['label']}"
+    wanted = F.broadcast(spark.createDataFrame(ids, schema))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null").join(wanted, "id")
+    sizes = texts.select("id", "label", F.octet_length("text").alias("n"), order.alias("h")).collect()
+    left = dict.fromkeys(kinds, label_bytes)
+    chosen = set()
+    for row in sorted(sizes, key=lambda r: (r.h, r.id, r.n)):
+        if row.n <= left[row.label]:
+            left[row.label] -= row.n
+            chosen.add((row.id, row.n))
+    if not chosen:
+        return []
+    picked = F.broadcast(spark.createDataFrame(sorted(chosen), f"id {dict(base.dtypes)['id']}, n int"))
+    rows = texts.withColumn("n", F.octet_length("text")).join(picked, ["id", "n"]).select("id", "text", "label", order.alias("h")).collect()
+    return [(r.text, r.label) for r in sorted(rows, key=lambda r: (r.h, r.id, r.text))]
+
+
+def apply_batches(docs: DataFrame, id_col: str, text_col: str, fields: str, make) -> DataFrame:
+    """id and `fields` for every row: `make()` gives, once a task, a function from a list of
+    texts to the columns (lists) of `fields`. Long batches come in slices."""
+    docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
+    kind = docs.schema[0].dataType.simpleString()
+    names = [f.strip().split(" ")[0] for f in fields.split(", ")]
+
+    def run(batches):
+        import pyarrow as pa
+
+        work = make()
+        for batch in batches:
+            for part in slices(batch, "__text"):
+                columns = work(part.column("__text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in columns)], [id_col, *names])
+
+    return docs.mapInArrow(run, f"`{id_col}` {kind}, {fields}")

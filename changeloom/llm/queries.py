@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from . import chat, licenses
+from . import chat, fingerprints, licenses, mixing, toxicity, transport
 
 
 def queries() -> dict:
-    return {"op6_license_scans": licenses.query, "op9_chat_formatting": chat.query}
+    return {
+        "op1_transport_streams": transport.query,
+        "op5_toxicity": toxicity.query,
+        "op6_license_scans": licenses.query,
+        "op7_document_fingerprints": fingerprints.query,
+        "op8_source_mixing": mixing.query,
+        "op9_chat_formatting": chat.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat_formatting": chat.ORACLE_SQL}
+    return {"op8_source_mixing": mixing.ORACLE_SQL, "op9_chat_formatting": chat.ORACLE_SQL}
