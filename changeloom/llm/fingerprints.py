@@ -22,13 +22,14 @@ than the named ones are ignored, whatever their names.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 BINS, BITS, SHINGLE, SEED = 128, 8, 5, 42
-_BIN_SHIFT = 64 - (BINS.bit_length() - 1)
 
 
 def _once(value: Column, then) -> Column:
@@ -65,19 +66,19 @@ def fingerprint(text: Column, bins: int = BINS, bits: int = BITS, shingle: int =
     bin_of = lambda h: F.shiftrightunsigned(h, shift).cast("int")
     # unsigned order within a bin is signed order, as all of a bin share their leading bit
     first = lambda s: F.filter(s, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(s, i - 1))))
-    orders = [F.array(*map(F.lit, order)) for order in _probe_orders(bins)]
+    # constant: parsed once, when the plan is optimised
+    table = F.from_json(F.lit(json.dumps(_probe_orders(bins))), "array<array<int>>")
 
     def pack(mins: Column) -> Column:
         full = F.transform(mins, bin_of)
 
-        def value(b: Column, own: Column, table: Column) -> Column:
+        def value(b: Column, own: Column) -> Column:
             at = F.array_position(own, b)
             donor = F.when(at > 0, at).otherwise(F.array_position(own, F.get(F.array_intersect(F.get(table, b), own), F.lit(0))))
             return F.lpad(F.lower(F.hex(F.get(mins, (donor - 1).cast("int")).bitwiseAND((1 << bits) - 1))), (bits + 3) // 4, "0")
 
-        table = F.array(*orders)
         every = F.sequence(F.lit(0), F.lit(bins - 1))
-        return _once(full, lambda own: F.array_join(F.transform(every, lambda b: value(b, own, table)), ""))
+        return _once(full, lambda own: F.array_join(F.transform(every, lambda b: value(b, own)), ""))
 
     # leading bits order the bins: as signed numbers the upper half comes first, which only renames bins
     mins = lambda hashes: _once(F.sort_array(hashes), first)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, fingerprints, licenses, mixing, toxicity, transport
+from . import bpe, chat, fingerprints, licenses, mixing, toxicity, transport
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op7_document_fingerprints": fingerprints.query,
         "op8_source_mixing": mixing.query,
         "op9_chat_formatting": chat.query,
+        "op10_byte_bpe": bpe.query,
     }
 
 
