@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprints, licenses, mixing, toxicity, transport
+from . import bpe, chat, fingerprints, langid, licenses, mixing, quality, toxicity, transport
 
 
 def queries() -> dict:
     return {
         "op1_transport_streams": transport.query,
+        "op2_quality_classifier": quality.query,
+        "op4_language_id": langid.query,
         "op5_toxicity": toxicity.query,
         "op6_license_scans": licenses.query,
         "op7_document_fingerprints": fingerprints.query,
