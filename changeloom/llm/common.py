@@ -123,3 +123,18 @@ def apply_batches(docs: DataFrame, id_col: str, text_col: str, fields: str, make
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in columns)], [id_col, *names])
 
     return docs.mapInArrow(run, f"`{id_col}` {kind}, {fields}")
+
+
+def keep_rows(docs: DataFrame, text_col: str, make) -> DataFrame:
+    """The rows of `docs` that `make()`, called once a task, chooses: a function from a list
+    of texts to a list of booleans. All columns stay as they are."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        keep = make()
+        for batch in batches:
+            for part in slices(batch, text_col):
+                yield part.filter(pa.array(keep(part.column(text_col).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -192,6 +192,17 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     return common.apply_batches(docs, id_col, text_col, "score double", make)
 
 
+def keep_good(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose score reaches the threshold, with all their columns."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        tokens = Tokens()
+        return lambda texts: [s >= threshold for s in score_texts(held.value, texts, tokens)]
+
+    return common.keep_rows(docs, text_col, make)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op2: quality of every whole text of documents."""
     docs = common.read_table(spark, sf_dir, "documents")

@@ -175,6 +175,17 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     return common.apply_batches(docs, id_col, text_col, "score double", make)
 
 
+def keep_clean(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose score stays under the threshold, with all their columns."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        scorer = Scorer(held.value)
+        return lambda texts: [scorer.score(t) < threshold for t in texts]
+
+    return common.keep_rows(docs, text_col, make)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: toxicity of every whole text of documents."""
     docs = common.read_table(spark, sf_dir, "documents")
