@@ -23,6 +23,7 @@ than the named ones are ignored, whatever their names.
 from __future__ import annotations
 
 import json
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -145,10 +146,13 @@ def _block_of(id_: Column, cuts: list) -> Column:
     while step * fan < n:
         step *= fan
     position = F.lit(0)
+
+    def advance(step: int, at: Column) -> Column:
+        above = lambda k: F.coalesce(F.get(table, at + k * step - 1) > id_, F.lit(False))
+        return at + step * F.size(F.filter(F.sequence(F.lit(1), F.lit(fan)), above))
+
     while step >= 1:
-        at = position
-        probes = F.sequence(F.lit(1), F.lit(fan))
-        position = at + step * F.size(F.filter(probes, lambda k, at=at, step=step: F.coalesce(F.get(table, at + k * step - 1) > id_, F.lit(False))))
+        position = _once(position, partial(advance, step))
         step //= fan
     return position
 
