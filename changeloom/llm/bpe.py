@@ -1,23 +1,25 @@
-"""Byte-level BPE: ranked merges folded over the bytes of distinct words.
+"""Byte-level BPE: ranked merges folded over the byte arrays of distinct words.
 
 Encoding, as tiktoken does it: a text is split by the tokenizer's pattern, each match
-is encoded apart. A match that is a token is that token; otherwise its bytes are merged,
-always the leftmost of the adjacent pairs whose joined bytes have the least rank.
+is encoded apart. A match's bytes are merged, always the leftmost of the adjacent pairs
+whose joined bytes have the least rank; a match that is a token itself ends as that token.
 
-The merges are a fold of Spark's higher-order functions over an array of byte pieces. A
-piece is held as the hex text of its bytes, so joining two pieces is joining two texts.
-Ranks are a literal in the plan: an array of maps, the bucket of a piece being its crc32;
-a bucket has about one entry, so that a look-up doesn't depend on the vocabulary's size.
+The merges are a fold of Spark's higher-order functions: the array of a word's bytes, each
+as the id of its one-byte token, loses one place a step. The rank map is a literal in the
+plan. As both parts of a pair are tokens, it goes from a pair of ids to the rank (which is
+the id) of the joined bytes: a perfect hash table in a constant array, one look-up a pair,
+whatever the vocabulary's size.
 
 Only distinct words are folded:
 1. The corpus' words are counted, all of them, and the most frequent ones folded once
    and broadcast: at most HOT_WORDS words of at most HOT_BYTES bytes, which bounds the
    broadcast, whatever the corpus.
-2. A document's other words are folded once a document, in its own row.
+2. The other words are folded once for each slice of about SLICE_BYTES of a partition's
+   texts: rows of words go ahead of the slice's documents, in the same task.
 So no word's places are ever shuffled; the counts are all that moves.
 
-A fold step costs the length of the word, so a word is folded up to LONG bytes; longer ones
-(text without any break) get the same merges from a linked list and a heap.
+A fold costs the square of the word's length, so words are folded up to LONG bytes; longer
+ones (text without any break) get the same merges from a linked list and a heap.
 
 Decoding puts each id's piece in place by position in a literal array and concatenates.
 
@@ -32,21 +34,21 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import zlib
 from collections import Counter
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-HOT_WORDS, HOT_BYTES, LONG = 1 << 17, 32, 256
-BUCKETS = 1 << 16
+HOT_WORDS, HOT_BYTES, LONG = 1 << 18, 32, 64
+SLICE_BYTES, COUNT_WORDS, TAIL_ROW = 16 << 20, 400_000, 1000
 
 
 @cache
@@ -56,58 +58,92 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-@cache
-def _rank_json(path: str) -> str:
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for piece, rank in load_ranks(path).items():
-        name = piece.hex().upper()
-        buckets[zlib.crc32(name.encode()) & BUCKETS - 1][name] = rank
-    return json.dumps(buckets, separators=(",", ":"))
+def _hash(a: int, b: int) -> int:
+    """What xxhash64(a, b) gives for two bigints, unsigned."""
+    return xxhash.xxh64_intdigest(b.to_bytes(8, "little"), seed=xxhash.xxh64_intdigest(a.to_bytes(8, "little"), seed=42))
+
+
+_EMPTY = 1 << 62
 
 
-def _ranks(path: str) -> Column:
-    """The literal rank map. Parsed once, when the plan is optimised, into a constant."""
-    return F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>")
+@cache
+def _pair_table(path: str) -> tuple[str, str, int, int]:
+    """A perfect hash table of all pairs of tokens whose joined bytes are a token.
+
+    An entry is a << 32 | b << 16 | rank. Pairs of one bucket are moved together by an
+    exclusive or with the bucket's displacement, the first that brings all to free places.
+    """
+    ranks = load_ranks(path)
+    if max(ranks.values()) >= 1 << 16:
+        raise ValueError("ids of more than 16 bits need a wider entry")
+    pairs = {}
+    for piece, rank in ranks.items():
+        for k in range(1, len(piece)):
+            a, b = ranks.get(piece[:k]), ranks.get(piece[k:])
+            if a is not None and b is not None:
+                pairs[a, b] = rank
+    size = 1 << (2 * max(len(pairs), 1)).bit_length()
+    n_buckets = size >> 2
+    buckets: dict[int, list[tuple[int, int, int]]] = {}
+    for (a, b), rank in pairs.items():
+        buckets.setdefault(a * 7 + b & n_buckets - 1, []).append((_hash(a, b) & size - 1, a << 32 | b << 16, rank))
+    table, moves = [_EMPTY] * size, [0] * n_buckets
+    for k, own in sorted(buckets.items(), key=lambda kv: -len(kv[1])):
+        if len({base for base, _, _ in own}) < len(own):
+            raise ValueError("two pairs of one bucket have one hash: take another seed")
+        move = next(m for m in range(size) if all(table[base ^ m] == _EMPTY for base, _, _ in own))
+        moves[k] = move
+        for base, pair, rank in own:
+            table[base ^ move] = pair | rank
+    compact = lambda x: json.dumps(x, separators=(",", ":"))
+    return compact(table), compact(moves), size, n_buckets
 
 
 def _let(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def fold_merges(word: Column, path: str) -> Column:
-    """Ids (array<int>) of one word given as hex text of its bytes; null for an unknown byte."""
-    ranks = _ranks(path)
-
-    def rank(piece: Column) -> Column:
-        return F.get(ranks, F.crc32(piece.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int"))[piece]
-
-    def merge(parts: Column) -> Column:
-        """The leftmost pair of least rank joined; the same parts if no pair has a rank."""
-        pairs = F.transform(F.sequence(F.lit(0), F.size(parts) - 2), lambda i: rank(F.concat(F.get(parts, i), F.get(parts, i + 1))))
-
-        def join(found: Column) -> Column:
-            least = F.array_min(found)
-            at = F.array_position(found, least).cast("int")
-            joined = F.array(F.concat(F.get(parts, at - 1), F.get(parts, at)))
-            return F.when(least.isNull(), parts).otherwise(
-                F.concat(F.slice(parts, F.lit(1), at - 1), joined, F.slice(parts, at + 2, F.size(parts)))
-            )
+_NO_RANK = 1 << 16
 
-        return F.when(F.size(parts) < 2, parts).otherwise(_let(pairs, join))
 
-    pieces = F.regexp_extract_all(word, F.lit(".."), F.lit(0))
-    # as many steps as could be needed; a step on finished parts changes nothing and `done` ends the work
-    start = F.struct(pieces.alias("parts"), F.lit(False).alias("done"))
-    steps = F.sequence(F.lit(2), F.greatest(F.size(pieces), F.lit(2)))
+def fold_merges(word: Column, path: str) -> Column:
+    """Ids (array<bigint>) of one word given as an array of its bytes (bigints 0 to 255)."""
+    entries, moves, size, n_buckets = _pair_table(path)
+    # constants: parsed once, when the plan is optimised
+    table = F.from_json(F.lit(entries), "array<bigint>")
+    move = F.from_json(F.lit(moves), "array<bigint>")
+    ranks = load_ranks(path)
+    of_byte = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<bigint>")
+
+    def rank(a: Column, b: Column) -> Column:
+        """The pair's rank, or a number of _NO_RANK or more: an entry of another pair differs above."""
+        place = F.xxhash64(a, b).bitwiseAND(size - 1).bitwiseXOR(move[(a * 7 + b).bitwiseAND(n_buckets - 1)])
+        return table[place].bitwiseXOR(F.shiftleft(a, 32) + F.shiftleft(b, 16))
 
     def step(state: Column, _: Column) -> Column:
-        after = lambda parts: F.struct(parts.alias("parts"), (F.size(parts) == F.size(state["parts"])).alias("done"))
-        return F.when(state["done"], state).otherwise(_let(merge(state["parts"]), after))
+        parts = state["parts"]
+        found = F.zip_with(F.slice(parts, F.lit(1), F.size(parts) - 1), F.slice(parts, F.lit(2), F.size(parts)), rank)
+        same = F.struct(parts.alias("parts"), F.lit(True).alias("done"))
+
+        def merge(pair_ranks: Column) -> Column:
+            def join(least: Column, at: Column) -> Column:
+                joined = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(least), F.slice(parts, at + 2, F.size(parts)))
+                return F.struct(joined.alias("parts"), F.lit(False).alias("done"))
+
+            return _let(
+                F.array_min(pair_ranks),
+                lambda least: F.when(least >= _NO_RANK, same).otherwise(
+                    _let(F.array_position(pair_ranks, least).cast("int"), lambda at: join(least, at))
+                ),
+            )
 
-    parts = F.aggregate(steps, start, step)["parts"]
-    return F.when(word == "", F.array().cast("array<int>")).otherwise(
-        _let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(parts, rank)))
-    )
+        return F.when(state["done"] | (F.size(parts) < 2), state).otherwise(_let(found, merge))
+
+    def fold(ids: Column) -> Column:
+        start = F.struct(ids.alias("parts"), F.lit(False).alias("done"))
+        return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(ids), F.lit(2))), start, step)["parts"]
+
+    return _let(F.transform(word, lambda byte: of_byte[byte]), fold)
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -138,26 +174,39 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def word_counts(docs: DataFrame, text_col: str = "text", pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """word, n: all distinct words of all texts. Counted batch by batch before they move."""
+    """word, n: all distinct words of all texts. Counted in the tasks that read them before they move."""
     texts = docs.select(F.col(text_col).cast("string").alias("text")).filter("text is not null")
 
     def run(batches):
         import regex
 
         find = regex.compile(pattern).findall
+        seen: Counter = Counter()
+
+        def told():
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+
         for batch in batches:
             for part in common.slices(batch, "text"):
-                seen: Counter = Counter()
                 for text in part.column("text").to_pylist():
                     seen.update(find(text))
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+                    if len(seen) > COUNT_WORDS:
+                        yield told()
+                        seen.clear()
+        yield told()
 
     return texts.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> dict[str, list[int]]:
-    """Folded ids of the most frequent words, `most` at most. Where equal frequencies would
-    pass the bound they are left out, all of them: such words are folded in their rows."""
+def bytes_of(word: Column) -> Column:
+    """A word's UTF-8 bytes as an array of bigints."""
+    return F.transform(F.regexp_extract_all(F.hex(word.cast("binary")), F.lit(".."), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("bigint"))
+
+
+def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> dict[str, bytes]:
+    """Folded ids (packed 32-bit integers) of the most frequent words, `most` at most. Where
+    equal frequencies would pass the bound they are left out, all of them: such words are
+    folded where they occur."""
     short = counts.filter(F.octet_length("word") <= HOT_BYTES)
     level = F.floor(F.log2(F.col("n").cast("double")) * 16)
     left, least = most, None
@@ -168,23 +217,26 @@ def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> dict[str,
         least = row["level"]
     if least is None:
         return {}
-    chosen = short.filter(level >= least).select("word", fold_merges(F.hex(F.col("word").cast("binary")), path).alias("ids"))
-    return {r.word: r.ids for r in chosen.collect()}
+    chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).alias("ids"))
+    return {r.word: np.array(r.ids, np.int32).tobytes() for r in chosen.toLocalIterator()}
 
 
-def _place(known: np.ndarray, tail: list[list[int]]) -> np.ndarray:
-    """`known` with each negative -1-k replaced by the ids of the k-th tail word."""
-    if not tail:
-        return known
-    sizes = np.array([len(t) for t in tail])
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) + len(known)
-    source = np.concatenate([known, np.concatenate([np.asarray(t, np.int32) for t in tail])])
+def _place(known: np.ndarray, source: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """`known` with each negative -1-k replaced by the k-th run of `source`."""
     gap = known < 0
+    if not gap.any():
+        return known
     which = -1 - known[gap]
-    length, begin = np.ones(len(known), np.int64), np.arange(len(known))
-    length[gap], begin[gap] = sizes[which], starts[which]
-    shift = begin - np.concatenate([[0], np.cumsum(length)[:-1]])
-    return source[np.repeat(shift, length) + np.arange(length.sum())]
+    length = np.ones(len(known), np.int64)
+    length[gap] = sizes[which]
+    ends = np.cumsum(length)
+    out = np.repeat(known, length)
+    # places inside the runs, and what stands there in the source
+    own = np.repeat(gap, length)
+    begin = np.repeat(starts[which], sizes[which])
+    first = np.repeat((ends - length)[gap], sizes[which])
+    out[own] = source[begin + np.flatnonzero(own) - first]
+    return out
 
 
 def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -197,48 +249,81 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     ranks = spark.sparkContext.broadcast(load_ranks(path))
     docs = docs.select(*(F.col(c) for c in id_cols), F.col(text_col).cast("string").alias("__text"))
     kinds = "".join(f"`{c}` {t}, " for c, t in docs.drop("__text").dtypes)
+    id_fields = [f.dataType for f in docs.drop("__text").schema]
 
     def split(batches):
         import regex
+        from pyspark.sql.pandas.types import to_arrow_type
 
         find, known_words = regex.compile(pattern).findall, hot.value
+        nulls = lambda n: [pa.nulls(n, to_arrow_type(t)) for t in id_fields]
+        of_word, of_words = pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))
+        names = [*id_cols, "known", "words", "long"]
         for batch in batches:
-            for part in common.slices(batch, "__text"):
-                known, tail, long = [], [], []
+            for part in common.slices(batch, "__text", SLICE_BYTES):
+                tail: dict[str, bytes] = {}
+                known = []
                 for text in part.column("__text").to_pylist():
-                    new: dict[str, list[int]] = {}
-                    ids: list[int] = []
-                    for word in find(text or ""):
-                        found = known_words.get(word)
-                        if found is None:
-                            found = new.get(word)
+                    words = find(text or "")
+                    ids = list(map(known_words.get, words))
+                    if None in ids:
+                        for k, found in enumerate(ids):
                             if found is None:
-                                found = new[word] = [-1 - len(new)]
-                        ids += found
-                    raw = [w.encode() for w in new]
-                    known.append(np.array(ids, np.int32).tobytes())
-                    tail.append([w if len(w) <= LONG else b"" for w in raw])
-                    long.append([w if len(w) > LONG else None for w in raw] if any(len(w) > LONG for w in raw) else None)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in id_cols), pa.array(known, pa.binary()), pa.array(tail, pa.list_(pa.binary())), pa.array(long, pa.list_(pa.binary()))],
-                    [*id_cols, "known", "tail", "long"],
-                )
+                                found = tail.get(words[k])
+                                if found is None:
+                                    found = tail[words[k]] = (-1 - len(tail)).to_bytes(4, "little", signed=True)
+                                ids[k] = found
+                    known.append(b"".join(ids))
+                raw = [w.encode() for w in tail]
+                # the slice's words go first, in rows of their own; a row without any starts the slice
+                for at in range(0, max(len(raw), 1), TAIL_ROW):
+                    run = raw[at : at + TAIL_ROW]
+                    short = [w if len(w) <= LONG else b"" for w in run]
+                    flat = pa.array(np.frombuffer(b"".join(short), np.uint8).astype(np.int64))
+                    inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(w) for w in short])]).astype(np.int32)), flat)
+                    words_row = pa.ListArray.from_arrays(pa.array([0, len(run)], pa.int32()), inner)
+                    long = pa.array([[w if len(w) > LONG else None for w in run]], pa.list_(pa.binary()))
+                    yield pa.RecordBatch.from_arrays([*nulls(1), pa.array([b"first" if not at else b"more"], pa.binary()), words_row.cast(of_words), long], names)
+                n = len(known)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), pa.array(known, pa.binary()), pa.nulls(n, of_words), pa.nulls(n, pa.list_(pa.binary()))], names)
 
     def join(batches):
+        held: list[np.ndarray] = []
+        source = sizes = starts = np.empty(0, np.int64)
+        stale = False
         for batch in batches:
-            for part in common.slices(batch, "known"):
-                packed = []
-                for known, tail, long in zip(part.column("known").to_pylist(), part.column("tail").to_pylist(), part.column("long").to_pylist(), strict=True):
-                    if long:
-                        tail = [t if w is None else merge_long(w, ranks.value) for t, w in zip(tail, long, strict=True)]
-                    packed.append(_place(np.frombuffer(known, np.int32), tail).astype("<u4"))
-                offsets = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).astype(np.int32)
-                values = np.concatenate(packed) if packed else np.empty(0, "<u4")
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), ids, pa.array([p.tobytes() for p in packed], pa.binary())], [*id_cols, "ids", "packed"])
-
-    rows = docs.mapInArrow(split, f"{kinds}known binary, tail array<binary>, long array<binary>")
-    rows = rows.withColumn("tail", F.transform("tail", lambda w: fold_merges(F.hex(w), path)))
+            words, long, known = batch.column("words"), batch.column("long"), batch.column("known")
+            is_doc = np.asarray(words.is_null())
+            # runs of rows of words and of documents, in order
+            cuts = [0, *(np.flatnonzero(np.diff(is_doc)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if not is_doc[a]:
+                    for k in range(a, b):
+                        if known[k].as_py() == b"first":
+                            held = []
+                        for ids, w in zip(words[k].as_py(), long[k].as_py(), strict=True):
+                            held.append(np.array(ids if w is None else merge_long(w, ranks.value), np.int32))
+                    stale = True
+                    continue
+                if stale:
+                    sizes = np.array([len(x) for x in held], np.int64)
+                    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(held) else sizes
+                    source = np.concatenate(held) if held else np.empty(0, np.int32)
+                    held, stale = [], False
+                for part in common.slices(batch.slice(a, b - a), "known"):
+                    packed = []
+                    for ids in part.column("known").to_pylist():
+                        ids = np.frombuffer(ids, np.int32)
+                        packed.append(_place(ids, source, sizes, starts).astype("<u4", copy=False))
+                    offsets = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).astype(np.int32)
+                    values = np.concatenate(packed) if packed else np.empty(0, "<u4")
+                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), lists, pa.array([p.tobytes() for p in packed], pa.binary())], [*id_cols, "ids", "packed"])
+
+    rows = docs.mapInArrow(split, f"{kinds}known binary, words array<array<bigint>>, long array<binary>")
+    rows = rows.withColumn("words", F.transform("words", lambda w: fold_merges(w, path)))
     return rows.mapInArrow(join, f"{kinds}ids array<int>, packed binary")
 
 

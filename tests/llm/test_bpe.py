@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -21,7 +22,7 @@ def check(spark, texts):
     for r in out:
         text = texts[r.doc_id] or ""
         want = OWN.encode_ordinary(text)
-        assert r.ids == want
+        assert r.ids == want, text
         assert bytes(r.packed) == b"".join(i.to_bytes(4, "little") for i in want)
         assert bytes(r.decoded) == text.encode()
 
@@ -64,9 +65,14 @@ def test_hot_words_are_bounded_and_exact(spark):
     assert {r.word: r.n for r in counts.collect()} == {"the": 3, " cat": 3, " sat": 3, " on": 3, " the": 3, " mat": 3}
     path = P.path(bpe.VOCABULARY)
     assert bpe.hot_words(counts, path, most=5) == {}
-    assert bpe.hot_words(counts, path, most=6) == {w: OWN.encode_ordinary(w) for w in ("the", " cat", " sat", " on", " the", " mat")}
+    assert bpe.hot_words(counts, path, most=6) == {w: np.array(OWN.encode_ordinary(w), np.int32).tobytes() for w in ("the", " cat", " sat", " on", " the", " mat")}
 
 
 def test_empty_table_and_unknown_ids(spark):
     assert bpe.digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert spark.createDataFrame([([1, 99_999],)], "ids array<int>").select(bpe.decode(F.col("ids")).alias("d")).first().d is None
+
+
+def test_more_words_than_a_row_holds(spark):
+    texts = [f"zq{i}x jkwv{i * 7919} {'y' * (i % 90)}" for i in range(3000)]
+    check(spark, texts)
