@@ -12,8 +12,8 @@ whatever the vocabulary's size.
 
 Only distinct words are folded:
 1. The corpus' words are counted, all of them, and the most frequent ones folded once
-   and broadcast: at most HOT_WORDS words of at most HOT_BYTES bytes, which bounds the
-   broadcast, whatever the corpus.
+   and broadcast as flat arrays: at most HOT_WORDS words of at most HOT_BYTES bytes, which
+   bounds the broadcast, whatever the corpus.
 2. The other words are folded once for each slice of about SLICE_BYTES of a partition's
    texts: rows of words go ahead of the slice's documents, in the same task.
 So no word's places are ever shuffled; the counts are all that moves.
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-HOT_WORDS, HOT_BYTES, LONG = 1 << 18, 32, 64
+HOT_WORDS, HOT_BYTES, LONG = 1 << 20, 32, 64
 SLICE_BYTES, COUNT_WORDS, TAIL_ROW = 16 << 20, 400_000, 1000
 
 
@@ -120,28 +120,18 @@ def fold_merges(word: Column, path: str) -> Column:
         place = F.xxhash64(a, b).bitwiseAND(size - 1).bitwiseXOR(move[(a * 7 + b).bitwiseAND(n_buckets - 1)])
         return table[place].bitwiseXOR(F.shiftleft(a, 32) + F.shiftleft(b, 16))
 
-    def step(state: Column, _: Column) -> Column:
-        parts = state["parts"]
+    def step(parts: Column, _: Column) -> Column:
+        """The leftmost pair of least rank joined; where no pair has a rank, the same parts."""
         found = F.zip_with(F.slice(parts, F.lit(1), F.size(parts) - 1), F.slice(parts, F.lit(2), F.size(parts)), rank)
-        same = F.struct(parts.alias("parts"), F.lit(True).alias("done"))
-
-        def merge(pair_ranks: Column) -> Column:
-            def join(least: Column, at: Column) -> Column:
-                joined = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(least), F.slice(parts, at + 2, F.size(parts)))
-                return F.struct(joined.alias("parts"), F.lit(False).alias("done"))
-
-            return _let(
-                F.array_min(pair_ranks),
-                lambda least: F.when(least >= _NO_RANK, same).otherwise(
-                    _let(F.array_position(pair_ranks, least).cast("int"), lambda at: join(least, at))
-                ),
-            )
-
-        return F.when(state["done"] | (F.size(parts) < 2), state).otherwise(_let(found, merge))
+        joined = lambda least, at: F.concat(F.slice(parts, F.lit(1), at - 1), F.array(least), F.slice(parts, at + 2, F.size(parts)))
+        merge = lambda ranks_: _let(
+            F.array_min(ranks_),
+            lambda least: F.when(least >= _NO_RANK, parts).otherwise(_let(F.array_position(ranks_, least).cast("int"), lambda at: joined(least, at))),
+        )
+        return F.when(F.size(parts) < 2, parts).otherwise(_let(found, merge))
 
     def fold(ids: Column) -> Column:
-        start = F.struct(ids.alias("parts"), F.lit(False).alias("done"))
-        return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(ids), F.lit(2))), start, step)["parts"]
+        return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(ids), F.lit(2))), ids, step)
 
     return _let(F.transform(word, lambda byte: of_byte[byte]), fold)
 
@@ -203,10 +193,36 @@ def bytes_of(word: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.hex(word.cast("binary")), F.lit(".."), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("bigint"))
 
 
-def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> dict[str, bytes]:
-    """Folded ids (packed 32-bit integers) of the most frequent words, `most` at most. Where
-    equal frequencies would pass the bound they are left out, all of them: such words are
-    folded where they occur."""
+class HotWords:
+    """Ids of a bounded number of words in flat arrays: found by hash, confirmed by bytes."""
+
+    def __init__(self, words: list[bytes], ids: list[np.ndarray]):
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+        # of words with one hash the first stays; the others are folded where they occur
+        self.hashes, order = np.unique(hashes, return_index=True)
+        starts = lambda sizes: np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        chosen = [words[k] for k in order]
+        self.bytes, self.byte_starts = b"".join(chosen), starts([len(w) for w in chosen])
+        self.ids = np.concatenate([ids[k] for k in order]).astype(np.int32) if len(order) else np.empty(0, np.int32)
+        self.id_starts = starts([len(ids[k]) for k in order])
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word, or -1."""
+        if not len(self.hashes) or not words:
+            return np.full(len(words), -1)
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        at[self.hashes[at] != hashes] = -1
+        begin, end, held = self.byte_starts[at].tolist(), self.byte_starts[at + 1].tolist(), self.bytes
+        for k in np.flatnonzero(at >= 0).tolist():
+            if held[begin[k] : end[k]] != words[k]:
+                at[k] = -1
+        return at
+
+
+def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> HotWords:
+    """The most frequent words, folded; `most` at most. Where equal frequencies would pass the
+    bound they are left out, all of them: such words are folded where they occur."""
     short = counts.filter(F.octet_length("word") <= HOT_BYTES)
     level = F.floor(F.log2(F.col("n").cast("double")) * 16)
     left, least = most, None
@@ -216,27 +232,26 @@ def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> dict[str,
             break
         least = row["level"]
     if least is None:
-        return {}
-    chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).alias("ids"))
-    return {r.word: np.array(r.ids, np.int32).tobytes() for r in chosen.toLocalIterator()}
+        return HotWords([], [])
+    chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).cast("array<int>").alias("ids")).toArrow()
+    words, ids = chosen.column("word").combine_chunks(), chosen.column("ids").combine_chunks()
+    offsets = ids.offsets.to_numpy()
+    return HotWords([w.encode() for w in words.to_pylist()], np.split(ids.flatten().to_numpy(), offsets[1:-1] - offsets[0]))
 
 
-def _place(known: np.ndarray, source: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """`known` with each negative -1-k replaced by the k-th run of `source`."""
-    gap = known < 0
-    if not gap.any():
-        return known
-    which = -1 - known[gap]
-    length = np.ones(len(known), np.int64)
-    length[gap] = sizes[which]
+class _Numbers(dict):
+    """word -> number, in order of first sight."""
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = len(self)
+        return found
+
+
+def _runs(number: np.ndarray, source: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of `source` that the numbers name, one after another."""
+    length = sizes[number]
     ends = np.cumsum(length)
-    out = np.repeat(known, length)
-    # places inside the runs, and what stands there in the source
-    own = np.repeat(gap, length)
-    begin = np.repeat(starts[which], sizes[which])
-    first = np.repeat((ends - length)[gap], sizes[which])
-    out[own] = source[begin + np.flatnonzero(own) - first]
-    return out
+    return source[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[number] - (ends - length), length)]
 
 
 def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -255,45 +270,41 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
         import regex
         from pyspark.sql.pandas.types import to_arrow_type
 
-        find, known_words = regex.compile(pattern).findall, hot.value
+        find, table = regex.compile(pattern).findall, hot.value
         nulls = lambda n: [pa.nulls(n, to_arrow_type(t)) for t in id_fields]
-        of_word, of_words = pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))
+        of_words = pa.list_(pa.list_(pa.int64()))
         names = [*id_cols, "known", "words", "long"]
         for batch in batches:
             for part in common.slices(batch, "__text", SLICE_BYTES):
-                tail: dict[str, bytes] = {}
-                known = []
-                for text in part.column("__text").to_pylist():
-                    words = find(text or "")
-                    ids = list(map(known_words.get, words))
-                    if None in ids:
-                        for k, found in enumerate(ids):
-                            if found is None:
-                                found = tail.get(words[k])
-                                if found is None:
-                                    found = tail[words[k]] = (-1 - len(tail)).to_bytes(4, "little", signed=True)
-                                ids[k] = found
-                    known.append(b"".join(ids))
-                raw = [w.encode() for w in tail]
-                # the slice's words go first, in rows of their own; a row without any starts the slice
-                for at in range(0, max(len(raw), 1), TAIL_ROW):
-                    run = raw[at : at + TAIL_ROW]
+                seen = _Numbers()
+                number = seen.__getitem__
+                told = [np.array(list(map(number, find(text or ""))), np.int32) for text in part.column("__text").to_pylist()]
+                raw = [w.encode() for w in seen]
+                at = table.find(raw)
+                # hot words give their ids, the k-th other word gives -1-k until it is folded
+                other = np.flatnonzero(at < 0)
+                begin, sizes = table.id_starts[at], np.diff(table.id_starts)[at] if len(table.hashes) else np.ones(len(at), np.int64)
+                source = np.concatenate([table.ids, -1 - np.arange(len(other), dtype=np.int32)]).astype(np.int32)
+                begin[other], sizes[other] = len(table.ids) + np.arange(len(other)), 1
+                tail = [raw[k] for k in other.tolist()]
+                # the slice's words go first, in rows of their own; the first of them starts the slice
+                for k in range(0, max(len(tail), 1), TAIL_ROW):
+                    run = tail[k : k + TAIL_ROW]
                     short = [w if len(w) <= LONG else b"" for w in run]
                     flat = pa.array(np.frombuffer(b"".join(short), np.uint8).astype(np.int64))
                     inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(w) for w in short])]).astype(np.int32)), flat)
                     words_row = pa.ListArray.from_arrays(pa.array([0, len(run)], pa.int32()), inner)
                     long = pa.array([[w if len(w) > LONG else None for w in run]], pa.list_(pa.binary()))
-                    yield pa.RecordBatch.from_arrays([*nulls(1), pa.array([b"first" if not at else b"more"], pa.binary()), words_row.cast(of_words), long], names)
-                n = len(known)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), pa.array(known, pa.binary()), pa.nulls(n, of_words), pa.nulls(n, pa.list_(pa.binary()))], names)
+                    yield pa.RecordBatch.from_arrays([*nulls(1), pa.array([b"more" if k else b"first"], pa.binary()), words_row.cast(of_words), long], names)
+                known = pa.array([_runs(n, source, begin, sizes).tobytes() for n in told], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), known, pa.nulls(len(told), of_words), pa.nulls(len(told), pa.list_(pa.binary()))], names)
 
     def join(batches):
-        held: list[np.ndarray] = []
+        folded: list[np.ndarray] = []  # pairs of ids and sizes, row by row of words
         source = sizes = starts = np.empty(0, np.int64)
         stale = False
         for batch in batches:
-            words, long, known = batch.column("words"), batch.column("long"), batch.column("known")
-            is_doc = np.asarray(words.is_null())
+            is_doc = np.asarray(batch.column("words").is_null())
             # runs of rows of words and of documents, in order
             cuts = [0, *(np.flatnonzero(np.diff(is_doc)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -301,32 +312,54 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
                     continue
                 if not is_doc[a]:
                     for k in range(a, b):
-                        if known[k].as_py() == b"first":
-                            held = []
-                        for ids, w in zip(words[k].as_py(), long[k].as_py(), strict=True):
-                            held.append(np.array(ids if w is None else merge_long(w, ranks.value), np.int32))
+                        row = batch.slice(k, 1)
+                        if row.column("known")[0].as_py() == b"first":
+                            folded = []
+                        folded.append(_folded(row.column("words"), row.column("long"), ranks.value))
                     stale = True
                     continue
                 if stale:
-                    sizes = np.array([len(x) for x in held], np.int64)
-                    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(held) else sizes
-                    source = np.concatenate(held) if held else np.empty(0, np.int32)
-                    held, stale = [], False
+                    source = np.concatenate([ids for ids, _ in folded])
+                    sizes = np.concatenate([n for _, n in folded])
+                    starts = np.cumsum(sizes) - sizes
+                    folded, stale = [], False
                 for part in common.slices(batch.slice(a, b - a), "known"):
-                    packed = []
-                    for ids in part.column("known").to_pylist():
-                        ids = np.frombuffer(ids, np.int32)
-                        packed.append(_place(ids, source, sizes, starts).astype("<u4", copy=False))
+                    packed = [_place(np.frombuffer(ids, np.int32), source, sizes, starts) for ids in part.column("known").to_pylist()]
                     offsets = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).astype(np.int32)
-                    values = np.concatenate(packed) if packed else np.empty(0, "<u4")
-                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
-                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), lists, pa.array([p.tobytes() for p in packed], pa.binary())], [*id_cols, "ids", "packed"])
+                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(packed).astype(np.int32, copy=False)))
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), lists, pa.array([p.astype("<u4", copy=False).tobytes() for p in packed], pa.binary())], [*id_cols, "ids", "packed"])
 
     rows = docs.mapInArrow(split, f"{kinds}known binary, words array<array<bigint>>, long array<binary>")
     rows = rows.withColumn("words", F.transform("words", lambda w: fold_merges(w, path)))
     return rows.mapInArrow(join, f"{kinds}ids array<int>, packed binary")
 
 
+def _folded(words: pa.Array, long: pa.Array, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a row's words, one after another, and how many each has."""
+    inner = words.flatten()
+    sizes = np.diff(inner.offsets.to_numpy()).astype(np.int64)
+    ids = inner.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    given = long.flatten()
+    if given.null_count < len(given):
+        each = np.split(ids, np.cumsum(sizes)[:-1])
+        each = [e if w is None else np.array(merge_long(w, ranks), np.int32) for e, w in zip(each, given.to_pylist(), strict=True)]
+        ids, sizes = np.concatenate(each), np.array([len(e) for e in each], np.int64)
+    return ids, sizes
+
+
+def _place(known: np.ndarray, source: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """`known` with each negative -1-k replaced by the k-th run of `source`."""
+    gap = known < 0
+    if not gap.any():
+        return known
+    which = -1 - known[gap]
+    length = np.ones(len(known), np.int64)
+    length[gap] = sizes[which]
+    out = np.repeat(known, length)
+    out[np.repeat(gap, length)] = _runs(which, source, starts, sizes)
+    return out
+
+
 def decode(ids: Column, vocabulary: str | None = None) -> Column:
     """The bytes of an array of ids: its pieces concatenated."""
     ranks = load_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
@@ -335,8 +368,8 @@ def decode(ids: Column, vocabulary: str | None = None) -> Column:
         pieces[rank] = piece.hex()
     # a literal array: the split of a constant is a constant
     table = F.split(F.lit(",".join(pieces)), ",")
-    found = F.transform(ids, lambda i: F.get(table, i))
-    return F.when(F.exists(found, lambda p: p.isNull()), F.lit(None).cast("binary")).otherwise(F.unhex(F.array_join(found, "")))
+    known = (F.size(ids) == 0) | ((F.array_min(ids) >= 0) & (F.array_max(ids) < len(pieces)))
+    return F.when(known, F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")))
 
 
 def digests(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -1,7 +1,6 @@
 import hashlib
 import random
 
-import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -64,8 +63,14 @@ def test_hot_words_are_bounded_and_exact(spark):
     counts = bpe.word_counts(docs)
     assert {r.word: r.n for r in counts.collect()} == {"the": 3, " cat": 3, " sat": 3, " on": 3, " the": 3, " mat": 3}
     path = P.path(bpe.VOCABULARY)
-    assert bpe.hot_words(counts, path, most=5) == {}
-    assert bpe.hot_words(counts, path, most=6) == {w: np.array(OWN.encode_ordinary(w), np.int32).tobytes() for w in ("the", " cat", " sat", " on", " the", " mat")}
+    assert len(bpe.hot_words(counts, path, most=5).hashes) == 0
+    hot = bpe.hot_words(counts, path, most=6)
+    words = [b"the", b" cat", b" dog", b" sat", b" on", b" the", b" mat"]
+    at = hot.find(words)
+    assert (at >= 0).tolist() == [w != b" dog" for w in words]
+    for w, k in zip(words, at, strict=True):
+        if k >= 0:
+            assert hot.ids[hot.id_starts[k] : hot.id_starts[k + 1]].tolist() == OWN.encode_ordinary(w.decode())
 
 
 def test_empty_table_and_unknown_ids(spark):
