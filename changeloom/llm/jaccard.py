@@ -21,6 +21,10 @@ is bounded, and every pair of blocks has a task. Links are counted where they ar
 summed by node. Neither pairs nor components nor signatures come to the driver: it sees
 counts of changed rows only. Cut points are Parquet files in the shared folder.
 
+Moving whole texts is what a join like this costs most, so only texts of nodes with survivors
+move: a Bloom filter of at most BLOOM_BITS bits, whatever the number of nodes, tells most
+others apart where they lie (a full filter only lets more texts move).
+
 Result: one row per row of the input with class_id (least id of the class) and n_links
 (other rows at or above the threshold, copies included).
 
@@ -48,6 +52,7 @@ SHINGLE, THRESHOLD = 5, (4, 5)  # as a fraction, so that verification is exact
 BANDS, BAND_ROWS, STEP, TOLERANCE, SEED = 24, 4, 16, 1e-6, 5
 HASHES = BANDS * BAND_ROWS
 BUCKET_BLOCK, NODE_BLOCK, SHINGLE_BLOCK = 1024, 1024, 1 << 21
+BLOOM_BITS = 1 << 26
 _CACHE = 300_000
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -137,7 +142,7 @@ def surviving(signatures: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.
     return i, j
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray, names: list[bytes]) -> list[tuple[bytes, bytes]]:
+def forest(n: int, i: np.ndarray, j: np.ndarray, names: list[int]) -> list[tuple[int, int]]:
     """Edges from the least name of each connected set to its other members."""
     label = np.arange(n)
     while len(i):
@@ -151,7 +156,7 @@ def forest(n: int, i: np.ndarray, j: np.ndarray, names: list[bytes]) -> list[tup
         if (new == label).all():
             break
         label = new
-    sets: dict[int, list[bytes]] = {}
+    sets: dict[int, list[int]] = {}
     for k in np.flatnonzero(np.bincount(label, minlength=n)[label] > 1):
         sets.setdefault(int(label[k]), []).append(names[k])
     return [(least, other) for own in sets.values() for least in [min(own)] for other in own if other != least]
@@ -235,24 +240,24 @@ def row_of(id_: Column, text: Column) -> Column:
     return F.xxhash64(id_, text, text.isNull())
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """Edges (a, b) between keys: a spanning forest of the pairs that survive in each bucket."""
+def candidates(one: DataFrame) -> DataFrame:
+    """Edges (a, b) between nodes: a spanning forest of the pairs that survive in each bucket."""
 
     def bands(batches):
         for batch in batches:
             h = [band_hashes(np.frombuffer(s, np.uint32)) for s in batch.column("signature").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(h, pa.list_(pa.int64()))], ["key", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(h, pa.list_(pa.int64()))], ["node", "bands"])
 
-    entries = signed.select("key", "signature").mapInArrow(bands, "key binary, bands array<bigint>")
-    entries = entries.select("key", F.explode("bands").alias("bucket"))
+    entries = one.select("node", "signature").mapInArrow(bands, "node bigint, bands array<bigint>")
+    entries = entries.select("node", F.explode("bands").alias("bucket"))
     entries = entries.withColumn("members", F.count("*").over(Window.partitionBy("bucket"))).filter("members > 1")
-    members = entries.join(signed.select("key", "signature"), "key")
-    members = _block_pairs(members, F.ceil(F.col("members") / BUCKET_BLOCK), "key").drop("members")
+    members = entries.join(one.select("node", "signature"), "node")
+    members = _block_pairs(members, F.ceil(F.col("members") / BUCKET_BLOCK), "node").drop("members")
     members = members.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
     def run(batches):
         for group in _groups(batches, ("bucket", "low", "high")):
-            names = group.column("key").to_pylist()
+            names = group.column("node").to_pylist()
             if len(names) < 2:
                 continue
             signatures = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
@@ -260,9 +265,9 @@ def candidates(signed: DataFrame) -> DataFrame:
             kept = [surviving(signatures, i, j) for i, j in _pairs(len(names), blocks, group.column("low")[0].as_py(), group.column("high")[0].as_py())]
             edges = forest(len(names), np.concatenate([k[0] for k in kept]), np.concatenate([k[1] for k in kept]), names)
             if edges:
-                yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.binary()), pa.array([e[1] for e in edges], pa.binary())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], ["a", "b"])
 
-    return members.select("bucket", "low", "high", "block", "key", "signature").mapInArrow(run, "a binary, b binary").distinct()
+    return members.select("bucket", "low", "high", "block", "node", "signature").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -271,9 +276,10 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     Labels go to neighbours and then to the label's own label, until none changes; forests
     of stars need few rounds. Each round is a written table, and only a count is collected.
     """
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
     both = common.materialize(both, f"{label}-edges")
-    labels = common.materialize(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component")), f"{label}-labels")
+    labels = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component"))
+    labels = common.materialize(labels, f"{label}-labels")
     while True:
         sent = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("told"))
         heard = labels.join(sent, labels.node == sent.a, "left").select("node", F.col("component").alias("old"), F.least("component", "told").alias("component"))
@@ -286,6 +292,28 @@ def components(edges: DataFrame, label: str) -> DataFrame:
             return labels
 
 
+def likely(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows whose 64-bit `column` may be among those of `wanted`: all that are, few others.
+
+    A Bloom filter with one hash: its bits are gathered as words of 64, BLOOM_BITS / 64 of
+    them at most.
+    """
+    place = F.pmod(F.xxhash64(column, F.lit("bloom")), F.lit(BLOOM_BITS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(`{column}`, 'bloom'), {BLOOM_BITS}), 64) as int))")
+    words = wanted.select(F.floor(place / 64).cast("int").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    held = np.zeros(BLOOM_BITS // 64, np.int64)
+    held[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    bloom = rows.sparkSession.sparkContext.broadcast(held.view(np.uint64))
+
+    def run(batches):
+        for batch in batches:
+            at = batch.column("__place").to_numpy()
+            keep = (bloom.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.drop_columns(["__place"]).filter(pa.array(keep.astype(bool)))
+
+    return rows.withColumn("__place", place).mapInArrow(run, rows.schema)
+
+
 def _linked(sets: list[np.ndarray], blocks: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
     """Exactly verified pairs of a task of two blocks."""
     left = np.flatnonzero(blocks == low)
@@ -318,9 +346,9 @@ def _linked(sets: list[np.ndarray], blocks: np.ndarray, low: int, high: int) ->
 
 
 def verify(members: DataFrame) -> DataFrame:
-    """members: component, blocks, key, n_docs, text. Rows (a, b, links): a node's number of
-    linked rows with null b, or an edge of a spanning forest of the links."""
-    rows = _block_pairs(members, F.col("blocks"), "key")
+    """members: component, blocks, node, key, n_docs, text. Rows (a, b, links): a node's number
+    of linked rows with null b, or an edge of a spanning forest of the links."""
+    rows = _block_pairs(members, F.col("blocks"), "node")
     rows = rows.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high")
 
     def run(batches):
@@ -328,9 +356,9 @@ def verify(members: DataFrame) -> DataFrame:
         for group in _groups(batches, ("component", "low", "high")):
             names, sets, docs, blocks = [], [], [], []
             seen = set()
-            for name, text, n, block in zip(*(group.column(c).to_pylist() for c in ("key", "text", "n_docs", "block")), strict=True):
+            for name, key, text, n, block in zip(*(group.column(c).to_pylist() for c in ("node", "key", "text", "n_docs", "block")), strict=True):
                 own = shingles(text, hashes)
-                if name in seen or set_key(own) != name:  # a repeated row, or another text of the same id
+                if name in seen or set_key(own) != key:  # a repeated row, or another text of the same row hash
                     continue
                 seen.add(name)
                 names.append(name)
@@ -347,61 +375,64 @@ def verify(members: DataFrame) -> DataFrame:
             if len(counted):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([names[k] for k in counted] + [e[0] for e in edges], pa.binary()),
-                        pa.array([None] * len(counted) + [e[1] for e in edges], pa.binary()),
+                        pa.array([names[k] for k in counted] + [e[0] for e in edges], pa.int64()),
+                        pa.array([None] * len(counted) + [e[1] for e in edges], pa.int64()),
                         pa.array([*links[counted].tolist(), *[None] * len(edges)], pa.int64()),
                     ],
                     ["a", "b", "links"],
                 )
 
-    return rows.select("component", "low", "high", "block", "key", "n_docs", "text").mapInArrow(run, "a binary, b binary, links bigint")
+    return rows.select("component", "low", "high", "block", "node", "key", "n_docs", "text").mapInArrow(run, "a bigint, b bigint, links bigint")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: id, row, class_key, class_id, n_links."""
+    """One row per row: id, row, node of its class (null without words), class_id, n_links."""
     signed = common.materialize(keys(docs, id_col, text_col), "jaccard-keys")
-    nodes = signed.filter("key is not null").groupBy("key").agg(F.min("id").alias("node_id"), F.count("*").alias("n_docs"), F.max("shingles").alias("shingles"))
-    nodes = common.materialize(nodes, "jaccard-nodes")
-    # one row of each key: the one of its least id, which spreads even if one key has most rows
-    one = signed.join(nodes, (signed.key == nodes.key) & signed.id.eqNullSafe(nodes.node_id), "left_semi").dropDuplicates(["key"])
-    edges = candidates(one)
+    nodes = signed.filter("key is not null").groupBy("key").agg(F.min("id").alias("node_id"), F.min("row").alias("node_row"), F.count("*").alias("n_docs"), F.max("shingles").alias("shingles"))
+    # numbers are given once and written: all that follows reads the same ones
+    nodes = common.materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
+    # a node's signature comes from one of its rows
+    names = nodes.select("node", F.col("key").alias("node_key"), "node_row")
+    one = signed.join(names, (F.col("key") == F.col("node_key")) & (F.col("row") == F.col("node_row"))).select("node", "signature")
+    if rows_repeat(signed):
+        one = one.dropDuplicates(["node"])
+    edges = candidates(common.materialize(one, "jaccard-signatures"))
     found = components(edges, "jaccard-candidates")
-    named = found.withColumnRenamed("node", "key").join(nodes, "key")
+    named = found.join(nodes, "node")
     size = named.groupBy("component").agg(F.greatest(F.ceil(F.sum("shingles") / SHINGLE_BLOCK), F.ceil(F.count("*") / NODE_BLOCK)).alias("blocks"))
     named = common.materialize(named.join(size, "component"), "jaccard-members")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
-    members = texts.join(named, texts.id.eqNullSafe(named.node_id)).select("component", "blocks", "key", "n_docs", "text")
+    texts = docs.select(row_of(F.col(id_col), F.col(text_col).cast("string")).alias("row"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
+    texts = likely(texts, named.select(F.col("node_row").alias("row")), "row")
+    members = texts.join(named, texts.row == named.node_row).select("component", "blocks", "node", "key", "n_docs", "text")
     verified = common.materialize(verify(members), "jaccard-verified")
-    links = verified.filter("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
+    links = verified.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = components(verified.filter("b is not null").select("a", "b").distinct(), "jaccard-links")
-    nodes = nodes.join(joined.withColumnRenamed("node", "key"), "key", "left").join(links, "key", "left")
-    nodes = nodes.withColumn("class_key", F.coalesce("component", "key"))
-    least = nodes.groupBy("class_key").agg(F.min("node_id").alias("class_id"))
-    nodes = common.materialize(
-        nodes.join(least, "class_key").select("key", "class_key", "class_id", (F.col("n_docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "jaccard-classes"
-    )
+    nodes = nodes.join(joined, "node", "left").join(links, "node", "left").withColumn("class_node", F.coalesce("component", "node"))
+    least = nodes.groupBy("class_node").agg(F.min("node_id").alias("class_id"))
+    nodes = nodes.join(least, "class_node").select("key", "class_node", "class_id", (F.col("n_docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    nodes = common.materialize(nodes, "jaccard-classes")
     rows = signed.select("id", "row", "key").join(nodes, "key", "left")
     return rows.select(
         "id",
         "row",
-        "class_key",
-        F.when(F.col("class_key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.col("class_node").alias("node"),
+        F.when(F.col("class_node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, one of each class: that of the least id. Rows without words stay."""
-    found = classes(docs, id_col, text_col)
-    kept = found.filter(F.col("class_key").isNull() | F.col("id").eqNullSafe(F.col("class_id")))
+    found = common.materialize(classes(docs, id_col, text_col), "jaccard-rows")
+    kept = found.filter(F.col("node").isNull() | F.col("id").eqNullSafe(F.col("class_id")))
     # of several rows with a class' least id, one; without words there is no class
-    alone = kept.filter("class_key is null").select("row").distinct()
-    kept = kept.filter("class_key is not null").groupBy("class_key").agg(F.min("row").alias("row")).select("row").distinct().unionByName(alone)
+    alone = kept.filter("node is null").select("row").distinct()
+    kept = kept.filter("node is not null").groupBy("node").agg(F.min("row").alias("row")).select("row").distinct().unionByName(alone)
     kept = common.materialize(kept.withColumnRenamed("row", "__jaccard_kept"), "jaccard-kept")
     rows = docs.withColumn("__jaccard_row", row_of(F.col(id_col), F.col(text_col).cast("string")))
     rows = rows.join(kept, F.col("__jaccard_row") == F.col("__jaccard_kept"))
     if rows_repeat(found):
-        worded = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"(?U)\w")
+        worded = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[\p{L}\p{N}_]")
         rows = rows.filter(~worded).unionByName(rows.filter(worded).dropDuplicates(["__jaccard_row"]))
     return rows.select(*docs.columns)
 
