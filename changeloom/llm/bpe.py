@@ -48,7 +48,7 @@ from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 HOT_WORDS, HOT_BYTES, LONG = 1 << 20, 32, 64
-SLICE_BYTES, COUNT_WORDS, TAIL_ROW = 16 << 20, 400_000, 1000
+SLICE_BYTES, COUNT_WORDS, TAIL_ROW = 4 << 20, 100_000, 1000
 
 
 @cache
