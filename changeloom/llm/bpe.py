@@ -196,23 +196,26 @@ def bytes_of(word: Column) -> Column:
 class HotWords:
     """Ids of a bounded number of words in flat arrays: found by hash, confirmed by bytes."""
 
-    def __init__(self, words: list[bytes], ids: list[np.ndarray]):
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    def __init__(self, words: pa.Array, ids: pa.Array):
+        words = words.cast(pa.large_binary())
+        self.byte_starts = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1].copy() if len(words) else np.zeros(1, np.int64)
+        self.bytes = words.buffers()[2].to_pybytes() if len(words) else b""
+        cuts = self.byte_starts.tolist()
+        hashes = np.fromiter((xxhash.xxh64_intdigest(self.bytes[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)), np.uint64, len(words))
         # of words with one hash the first stays; the others are folded where they occur
         self.hashes, order = np.unique(hashes, return_index=True)
-        starts = lambda sizes: np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        chosen = [words[k] for k in order]
-        self.bytes, self.byte_starts = b"".join(chosen), starts([len(w) for w in chosen])
-        self.ids = np.concatenate([ids[k] for k in order]).astype(np.int32) if len(order) else np.empty(0, np.int32)
-        self.id_starts = starts([len(ids[k]) for k in order])
+        self.order = order.astype(np.int32)
+        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        ends = ids.offsets.to_numpy().astype(np.int64)
+        self.id_starts, self.id_sizes = ends[:-1] - ends[0], np.diff(ends)
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """The number of each word, or -1."""
         if not len(self.hashes) or not words:
             return np.full(len(words), -1)
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        at[self.hashes[at] != hashes] = -1
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        at = np.where(self.hashes[place] == hashes, self.order[place], -1)
         begin, end, held = self.byte_starts[at].tolist(), self.byte_starts[at + 1].tolist(), self.bytes
         for k in np.flatnonzero(at >= 0).tolist():
             if held[begin[k] : end[k]] != words[k]:
@@ -232,11 +235,9 @@ def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> HotWords:
             break
         least = row["level"]
     if least is None:
-        return HotWords([], [])
+        return HotWords(pa.array([], pa.string()), pa.array([], pa.list_(pa.int32())))
     chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).cast("array<int>").alias("ids")).toArrow()
-    words, ids = chosen.column("word").combine_chunks(), chosen.column("ids").combine_chunks()
-    offsets = ids.offsets.to_numpy()
-    return HotWords([w.encode() for w in words.to_pylist()], np.split(ids.flatten().to_numpy(), offsets[1:-1] - offsets[0]))
+    return HotWords(chosen.column("word").combine_chunks(), chosen.column("ids").combine_chunks())
 
 
 class _Numbers(dict):
@@ -283,7 +284,7 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
                 at = table.find(raw)
                 # hot words give their ids, the k-th other word gives -1-k until it is folded
                 other = np.flatnonzero(at < 0)
-                begin, sizes = table.id_starts[at], np.diff(table.id_starts)[at] if len(table.hashes) else np.ones(len(at), np.int64)
+                begin, sizes = (table.id_starts[at], table.id_sizes[at]) if len(table.hashes) else (np.zeros(len(at), np.int64), np.ones(len(at), np.int64))
                 source = np.concatenate([table.ids, -1 - np.arange(len(other), dtype=np.int32)]).astype(np.int32)
                 begin[other], sizes[other] = len(table.ids) + np.arange(len(other)), 1
                 tail = [raw[k] for k in other.tolist()]

@@ -70,7 +70,7 @@ def test_hot_words_are_bounded_and_exact(spark):
     assert (at >= 0).tolist() == [w != b" dog" for w in words]
     for w, k in zip(words, at, strict=True):
         if k >= 0:
-            assert hot.ids[hot.id_starts[k] : hot.id_starts[k + 1]].tolist() == OWN.encode_ordinary(w.decode())
+            assert hot.ids[hot.id_starts[k] : hot.id_starts[k] + hot.id_sizes[k]].tolist() == OWN.encode_ordinary(w.decode())
 
 
 def test_empty_table_and_unknown_ids(spark):
