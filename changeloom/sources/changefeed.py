@@ -12,14 +12,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RAW_SCHEMA = T.StructType.fromDDL(
-    "event_type string, server_id string, txn_id long, event_no long, commit_ts timestamp, "
-    "db string, table string, column_names array<string>, rows array<array<string>>"
-)
-ENVELOPE_SCHEMA = T.StructType.fromDDL(
-    "server_id string, txn_id long, event_no long, row_no int, action string, commit_ts timestamp, "
-    "db string, table string, column_names array<string>, before array<string>, after array<string>"
-)
+_TEXTS = T.ArrayType(T.StringType())
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+RAW_SCHEMA = _struct(
+    event_type=T.StringType(), server_id=T.StringType(), txn_id=T.LongType(), event_no=T.LongType(), commit_ts=T.TimestampType(),
+    db=T.StringType(), table=T.StringType(), column_names=_TEXTS, rows=T.ArrayType(_TEXTS),
+)
+ENVELOPE_SCHEMA = _struct(
+    server_id=T.StringType(), txn_id=T.LongType(), event_no=T.LongType(), row_no=T.IntegerType(), action=T.StringType(), commit_ts=T.TimestampType(),
+    db=T.StringType(), table=T.StringType(), column_names=_TEXTS, before=_TEXTS, after=_TEXTS,
+)
 #: Rows events by kind of change; the log has other events, which carry no rows.
 ACTIONS = {
     "WriteRowsEventV0": "insert", "WriteRowsEventV1": "insert", "WriteRowsEventV2": "insert",
