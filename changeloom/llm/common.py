@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def slices(batch, column: str, most_bytes: int = 16 << 20):
     yield batch.slice(start)
 
 
-def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int, label_bytes: int, id_col: str = "doc_id", text_col: str = "text", labels: DataFrame | None = None) -> list[tuple[str, object]]:
+def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int, label_bytes: int, id_col: str = "doc_id", text_col: str = "text", labels: DataFrame | None = None) -> Iterator[tuple[str, object]]:
     """(text, label) of a bounded sample on the driver, the same on every run.
 
     Of the rows where `keep` holds, each label gives the rows with the least hash of
@@ -88,7 +89,7 @@ def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int,
     for kind in kinds:
         ids += [(r.id, kind) for r in base.filter(F.col("label") == F.lit(kind)).select("id", order.alias("h")).distinct().orderBy("h", "id").limit(per_label).collect()]
     if not ids:
-        return []
+        return
     schema = f"id {dict(base.dtypes)['id']}, label {dict(base.dtypes)['label']}"
     wanted = F.broadcast(spark.createDataFrame(ids, schema))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null").join(wanted, "id")
@@ -100,10 +101,12 @@ def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int,
             left[row.label] -= row.n
             chosen.add((row.id, row.n))
     if not chosen:
-        return []
+        return
     picked = F.broadcast(spark.createDataFrame(sorted(chosen), f"id {dict(base.dtypes)['id']}, n int"))
-    rows = texts.withColumn("n", F.octet_length("text")).join(picked, ["id", "n"]).select("id", "text", "label", order.alias("h")).collect()
-    return [(r.text, r.label) for r in sorted(rows, key=lambda r: (r.h, r.id, r.text))]
+    rows = texts.withColumn("n", F.octet_length("text")).join(picked, ["id", "n"]).select("id", "text", "label", order.alias("h")).toArrow()
+    # the texts stay in Arrow's memory; callers read them one by one and keep what they make of them
+    for batch in rows.sort_by([("h", "ascending"), ("id", "ascending"), ("text", "ascending")]).to_batches(max_chunksize=256):
+        yield from zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True)
 
 
 def apply_batches(docs: DataFrame, id_col: str, text_col: str, fields: str, make) -> DataFrame:

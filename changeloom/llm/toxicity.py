@@ -33,6 +33,8 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -125,7 +127,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
     return w
 
 
-def train(sample: list[tuple[str, int]], share: float) -> dict:
+def train(sample: Iterable[tuple[str, int]], share: float) -> dict:
     """A model from (text, label); `share` is that of label 1 among all rows to learn from."""
     import zstandard
 
@@ -138,11 +140,16 @@ def train(sample: list[tuple[str, int]], share: float) -> dict:
     seen_toxic, seen_ordinary = toxic[: cut(toxic)], ordinary[: cut(ordinary)]
     if min(len(toxic) - len(seen_toxic), len(ordinary) - len(seen_ordinary)) < 1:
         return {"share": share}
-    of = [np.array(_segments(w), np.uint32) for w in words]
+    # all words' segments in one array; a word's own stand between its starts
+    flat, starts = array("I"), [0]
+    for w in words:
+        flat.extend(_segments(w))
+        starts.append(len(flat))
+    of = np.frombuffer(flat, np.uint32) if len(flat) else np.empty(0, np.uint32)
 
     def texts_with(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Segments and in how many texts each is."""
-        each = [np.unique(np.concatenate([of[w] for w in np.unique(c)])) for c in rows if len(c)]
+        each = [np.unique(np.concatenate([of[starts[w] : starts[w + 1]] for w in np.unique(c)])) for c in rows if len(c)]
         return np.unique(np.concatenate(each), return_counts=True) if each else (np.empty(0, np.uint32), np.empty(0, np.int64))
 
     segments, a = texts_with(seen_toxic)
@@ -153,8 +160,9 @@ def train(sample: list[tuple[str, int]], share: float) -> dict:
     p = (a + b) / (n_a + n_b)
     z = (a / n_a - b / n_b) / np.sqrt(p * (1 - p) * (1 / n_a + 1 / n_b) + 1e-12)
     marked = segments[(a >= MIN_TEXTS) & (z >= MIN_Z)]
-    is_hit = np.array([bool(np.isin(own, marked).any()) for own in of]) if len(marked) else np.zeros(len(words), bool)
-    del of, segments, others
+    hits = np.concatenate([[0], np.cumsum(np.isin(of, marked))])
+    is_hit = hits[starts[1:]] > hits[starts[:-1]]  # short words have no segment
+    del flat, of, segments, others
     in_texts = np.bincount(np.concatenate([np.unique(c) for c in seen_toxic]), minlength=len(words)) * is_hit
     everywhere = np.bincount(np.concatenate(seen_ordinary), minlength=len(words))
     first = lambda counts, n: [words[k] for k in sorted(np.flatnonzero(counts).tolist(), key=lambda k: (-counts[k], words[k]))[:n]]
