@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ SAMPLE_ROWS, SAMPLE_BYTES = 800, 1 << 20
 FOLDS, HELD_OUT, UNKNOWN = 3, 1, "und"
 ROWS, LEXICON, MOST_FEATURES, CHAIN = 1 << 15, 1500, 40, 64
 TRAIN_CHAIN, TRAIN_CHAINS, BATCH, EPOCHS, RATE, SEED = 24, 6000, 64, 3, 0.3, 11
-_CACHE, _GROUP = 300_000, 200_000
+_CACHE, _GROUP = 500_000, 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -45,13 +46,27 @@ def words_of(text: str | None) -> list[str]:
     return words if any(w.isalpha() or any(map(str.isalpha, w)) for w in words) else []
 
 
+class _Rows(dict):
+    """Row of a feature's name, remembered for a bounded number of names."""
+
+    def __missing__(self, name: str) -> int:
+        if len(self) >= _CACHE:
+            self.clear()
+        found = self[name] = zlib.crc32(name.encode()) % ROWS
+        return found
+
+
+_rows = _Rows()
+
+
 def feature_rows(word: str, lexicon: dict[str, int]) -> list[int]:
     """Rows of a word's features. Row ROWS + k is the k-th lexicon word."""
     own = word if len(word) <= 24 else word[:12] + word[-12:]
-    names = {f"p{own[:k]}" for k in (1, 2, 3)} | {f"s{own[-k:]}" for k in (1, 2, 3)}
     marked = f"<{own}>"
-    names |= {marked[i : i + k] for k in (2, 3) for i in range(len(marked) - k + 1)}
-    rows = sorted(zlib.crc32(n.encode()) % ROWS for n in names)[: MOST_FEATURES - 1]
+    # affixes carry their side; an n-gram at a border carries the border
+    names = {"p" + own[:1], "p" + own[:2], "p" + own[:3], "s" + own[-1:], "s" + own[-2:], "s" + own[-3:]}
+    names.update(map("".join, zip(marked, marked[1:], strict=False)), map("".join, zip(marked, marked[1:], marked[2:], strict=False)))
+    rows = sorted(map(_rows.__getitem__, names))[: MOST_FEATURES - 1]
     return rows + ([ROWS + lexicon[word]] if word in lexicon else [])
 
 
@@ -64,10 +79,11 @@ def forward_backward(scores: np.ndarray, mask: np.ndarray, start: np.ndarray, tr
     now = psi[:, 0] * np.exp(start - start.max())
     ahead[:, 0] = now / now.sum(1, keepdims=True)
     for t in range(1, psi.shape[1]):
-        now = (ahead[:, t - 1] @ step) * psi[:, t]
+        # elementwise: a matrix product may round a chain differently by its place in the batch
+        now = (ahead[:, t - 1, :, None] * step).sum(1) * psi[:, t]
         ahead[:, t] = now / now.sum(1, keepdims=True)
     for t in range(psi.shape[1] - 2, -1, -1):
-        now = (psi[:, t + 1] * back[:, t + 1]) @ step.T
+        now = ((psi[:, t + 1] * back[:, t + 1])[:, None, :] * step).sum(2)
         now /= now.sum(1, keepdims=True)
         # behind the last word of a chain nothing speaks for any label
         back[:, t] = np.where(mask[:, t + 1, None], now, 1.0)
@@ -75,8 +91,9 @@ def forward_backward(scores: np.ndarray, mask: np.ndarray, start: np.ndarray, tr
     return both / both.sum(2, keepdims=True), ahead, back, psi, step
 
 
-def train(sample: list[tuple[str, str]]) -> dict:
+def train(sample: Iterable[tuple[str, str]]) -> dict:
     """A model from (text, language)."""
+    sample = list(sample)
     langs = sorted({lang for _, lang in sample})
     texts = [(words_of(t), langs.index(lang)) for t, lang in sample]
     texts = [(w, k) for w, k in texts if w]

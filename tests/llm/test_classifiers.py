@@ -108,7 +108,7 @@ def test_language_of_hard_texts_and_no_labels(spark):
 
 def test_sample_is_bounded_and_stable(spark):
     docs = spark.createDataFrame([(i, "y" * (i % 50), "a" if i % 2 else "b") for i in range(400)], "doc_id long, text string, lang string")
-    draw = lambda d, rows, size: common.bounded_sample(d, F.lit(True), F.col("lang"), rows, size)
+    draw = lambda d, rows, size: list(common.bounded_sample(d, F.lit(True), F.col("lang"), rows, size))
     sample = draw(docs, 30, 500)
     assert sample == draw(docs.repartition(7), 30, 500)
     for label in "ab":
