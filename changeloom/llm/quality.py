@@ -25,6 +25,7 @@ columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -120,13 +121,13 @@ def _forward(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hidden, hidden @ model["w2"] + model["b2"]
 
 
-def train(sample: list[tuple[str, int]], share: float) -> dict:
+def train(sample: Iterable[tuple[str, int]], share: float) -> dict:
     """A model from (text, label); `share` is that of label 1 among all rows to learn from."""
-    y = np.array([k for _, k in sample], np.float64)
+    tokens = Tokens()
+    coded = [(tokens.rows(t).astype(np.int32), k) for t, k in sample]
+    rows, y = [own for own, _ in coded], np.array([k for _, k in coded], np.float64)
     if len(set(y.tolist())) < 2:
         return {"share": share}
-    tokens = Tokens()
-    rows = [tokens.rows(t) for t, _ in sample]
     vectors = word_vectors(rows)
     x = np.array([pool(own, vectors) for own in rows], np.float64)
     mean, scale = x.mean(0), x.std(0) + 1e-4
@@ -177,7 +178,8 @@ def score_texts(model: dict, texts: list[str | None], tokens: Tokens) -> list[fl
     if not texts:
         return []
     x = (np.array([pool(tokens.rows(t), model["vectors"]) for t in texts], np.float64) - model["mean"]) / model["scale"]
-    logit = _forward(model, x)[1] / model["temperature"]
+    # row by row: a product over many rows may round a row differently by its place
+    logit = np.array([float(_forward(model, row)[1]) for row in x]) / model["temperature"]
     return (1 / (1 + np.exp(-np.clip(logit, -500, 500)))).tolist()
 
 
