@@ -49,7 +49,8 @@ ENCODING = "utf-16-le"
 WINDOW_WORDS, SEPARATOR, CARRIER, MIN_MATCH = 1, " | ".encode(ENCODING), b"." * 32, 6
 SEGMENTS, MIN_Z, MIN_TEXTS, MOST_PASSAGES, BODY_BYTES = (5, 6, 7), 6.0, 4, 400, 12 << 10
 THRESHOLDS, WHOLE_THRESHOLDS = (2, 4, 6, 8, 10, 12, 16), (2, 4, 6)
-_CACHE = 200_000
+_CACHE, _SHIFT = 400_000, 24
+_NO_LENGTH = (1 << _SHIFT) - 1
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -67,14 +68,13 @@ def _window(words: list[str]) -> bytes:
     return SEPARATOR + SEPARATOR.join(w.encode(ENCODING) for w in words) + SEPARATOR
 
 
-class Scorer:
-    """Gains of windows under two dictionaries, and the calibrated score of a text."""
+class _Lengths(dict):
+    """Words of a window, joined by a space -> its gain << _SHIFT, plus its length under the
+    toxic dictionary; remembered for a bounded number of windows."""
 
     def __init__(self, model: dict):
         import zstandard
 
-        self.model = model
-        self.cache: dict[bytes, tuple[int, int]] = {}
         settings = zstandard.ZstdCompressionParameters(
             window_log=15, chain_log=13, hash_log=13, search_log=4, min_match=MIN_MATCH, target_length=64,
             strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_dict_id=False,
@@ -83,27 +83,32 @@ class Scorer:
         def compressor(content: bytes):
             held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(compression_params=settings)
-            return zstandard.ZstdCompressor(dict_data=held, compression_params=settings)
-
-        if "toxic" in model:
-            self.toxic, self.ordinary = compressor(model["toxic"]), compressor(model["ordinary"])
-
-    def lengths(self, window: bytes) -> tuple[int, int]:
-        """The window's gain, and its length under the toxic dictionary."""
-        found = self.cache.get(window)
-        if found is None:
-            if len(self.cache) >= _CACHE:
-                self.cache.clear()
-            framed = CARRIER + window + CARRIER
-            toxic = len(self.toxic.compress(framed))
-            found = self.cache[window] = len(self.ordinary.compress(framed)) - toxic, toxic
+            return zstandard.ZstdCompressor(dict_data=held, compression_params=settings).compress
+
+        self.toxic, self.ordinary = compressor(model["toxic"]), compressor(model["ordinary"])
+
+    def __missing__(self, words: str) -> int:
+        if len(self) >= _CACHE:
+            self.clear()
+        framed = CARRIER + _window(words.split(" ")) + CARRIER
+        toxic = len(self.toxic(framed))
+        found = self[words] = (len(self.ordinary(framed)) - toxic << _SHIFT) + min(toxic, _NO_LENGTH)
         return found
 
+
+class Scorer:
+    """Gains of windows under two dictionaries, and the calibrated score of a text."""
+
+    def __init__(self, model: dict):
+        self.model = model
+        self.lengths = _Lengths(model) if "toxic" in model else None
+
     def features(self, words: list[str]) -> list[float]:
         n = WINDOW_WORDS
-        both = np.array([self.lengths(_window(words[i : i + n])) for i in range(0, len(words), n)] or [(0, 1 << 20)], float)
-        gains, m = both[:, 0], len(both)
-        whole = both[:, 1] <= self.model["whole"]
+        windows = words if n == 1 else [" ".join(words[i : i + n]) for i in range(0, len(words), n)]
+        both = np.array(list(map(self.lengths.__getitem__, windows)) or [_NO_LENGTH], np.int64)
+        gains, m = both >> _SHIFT, len(both)
+        whole = (both & _NO_LENGTH) <= self.model["whole"]
         over = [float((gains >= t).sum()) for t in THRESHOLDS] + [float((whole & (gains >= t)).sum()) for t in WHOLE_THRESHOLDS]
         return [*(math.log1p(x) for x in over), *(math.sqrt(x / m) for x in over), math.log1p(m), float(gains.mean()), float(gains.max()) / 10]
 
@@ -179,7 +184,7 @@ def train(sample: Iterable[tuple[str, int]], share: float) -> dict:
         body = b"".join(runs)[:BODY_BYTES]
     model = {"share": share, "toxic": body + _window(passages[::-1]) + CARRIER, "ordinary": body + _window(plain[::-1]) + CARRIER}
     own = Scorer(model | {"whole": 0})
-    model["whole"] = float(np.median([own.lengths(_window([w]))[1] for w in passages])) if passages else 0.0
+    model["whole"] = float(np.median([own.lengths[w] & _NO_LENGTH for w in passages])) if passages else 0.0
     scorer = Scorer(model)
     rest = [(c, 1) for c in toxic[len(seen_toxic) :]] + [(c, 0) for c in ordinary[len(seen_ordinary) :]]
     x, y = np.array([scorer.features([words[w] for w in c]) for c, _ in rest]), np.array([k for _, k in rest], float)
