@@ -16,14 +16,14 @@ OWN = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special
 
 def check(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumns({"ids": F.lit("clash"), "tail": F.lit(1)})
-    out = bpe.encode(df).withColumn("decoded", bpe.decode(F.col("ids"))).collect()
+    out = bpe.encode(df, outputs=("ids", "packed", "decoded")).withColumn("again", bpe.decode(F.col("ids"))).collect()
     assert len(out) == len(texts)
     for r in out:
         text = texts[r.doc_id] or ""
         want = OWN.encode_ordinary(text)
         assert r.ids == want, text
         assert bytes(r.packed) == b"".join(i.to_bytes(4, "little") for i in want)
-        assert bytes(r.decoded) == text.encode()
+        assert bytes(r.decoded) == bytes(r.again) == text.encode()
 
 
 def test_against_tiktoken(spark):
@@ -81,3 +81,21 @@ def test_empty_table_and_unknown_ids(spark):
 def test_more_words_than_a_row_holds(spark):
     texts = [f"zq{i}x jkwv{i * 7919} {'y' * (i % 90)}" for i in range(3000)]
     check(spark, texts)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.characters(max_codepoint=255), st.sampled_from(" \n\t'srtvmld\x1c\x85\xa0\xb2\xbc")), max_size=40))
+def test_spelled_out_classes_split_alike(text):
+    import regex
+
+    assert bpe.splitter(P.PATTERN)(text) == regex.findall(P.PATTERN, text)
+
+
+def test_all_near_characters_split_alike():
+    import regex
+
+    split = bpe.splitter(P.PATTERN)
+    for i in range(256):
+        for text in (chr(i), f"a{chr(i)}b", f" {chr(i)}{chr(i)} 1", f"{chr(i)} {chr(i)}\n{chr(i)}x"):
+            assert split(text) == regex.findall(P.PATTERN, text), repr(text)
+    assert split("日本 a") == regex.findall(P.PATTERN, "日本 a")
