@@ -214,7 +214,7 @@ def word_counts(docs: DataFrame, text_col: str = "text", pattern: str = public_t
                         seen.clear()
         yield told()
 
-    return texts.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(common.tidy(run), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def bytes_of(word: Column) -> Column:
@@ -393,9 +393,9 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
 
     made = {"ids": as_lists, "packed": as_bytes, "decoded": as_decoded}
     spelled = {"ids": "ids array<int>", "packed": "packed binary", "decoded": "decoded binary"}
-    rows = docs.mapInArrow(split, f"{kinds}known binary, words array<array<bigint>>, long array<binary>")
+    rows = docs.mapInArrow(common.tidy(split), f"{kinds}known binary, words array<array<bigint>>, long array<binary>")
     rows = rows.withColumn("words", F.transform("words", lambda w: fold_merges(w, path)))
-    return rows.mapInArrow(join, kinds + ", ".join(spelled[o] for o in outputs))
+    return rows.mapInArrow(common.tidy(join), kinds + ", ".join(spelled[o] for o in outputs))
 
 
 def _folded(words: pa.Array, long: pa.Array, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:

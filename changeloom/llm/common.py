@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -109,6 +110,30 @@ def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int,
         yield from zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. Python workers are kept for later tasks, and
+    allocators keep what a task has freed; beside a full JVM heap that adds up."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """`run`, a function over a task's batches, with its memory released at the end."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return wrapped
+
+
 def apply_batches(docs: DataFrame, id_col: str, text_col: str, fields: str, make) -> DataFrame:
     """id and `fields` for every row: `make()` gives, once a task, a function from a list of
     texts to the columns (lists) of `fields`. Long batches come in slices."""
@@ -125,7 +150,7 @@ def apply_batches(docs: DataFrame, id_col: str, text_col: str, fields: str, make
                 columns = work(part.column("__text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in columns)], [id_col, *names])
 
-    return docs.mapInArrow(run, f"`{id_col}` {kind}, {fields}")
+    return docs.mapInArrow(tidy(run), f"`{id_col}` {kind}, {fields}")
 
 
 def keep_rows(docs: DataFrame, text_col: str, make) -> DataFrame:
@@ -140,4 +165,4 @@ def keep_rows(docs: DataFrame, text_col: str, make) -> DataFrame:
             for part in slices(batch, text_col):
                 yield part.filter(pa.array(keep(part.column(text_col).to_pylist()), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

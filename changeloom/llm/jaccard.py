@@ -233,7 +233,7 @@ def keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                     ["id", "row", "key", "shingles", "signature"],
                 )
 
-    return docs.select("id", "row", "text").mapInArrow(run, f"id {kind}, row bigint, key binary, shingles int, signature binary")
+    return docs.select("id", "row", "text").mapInArrow(common.tidy(run), f"id {kind}, row bigint, key binary, shingles int, signature binary")
 
 
 def row_of(id_: Column, text: Column) -> Column:
@@ -248,7 +248,7 @@ def candidates(one: DataFrame) -> DataFrame:
             h = [band_hashes(np.frombuffer(s, np.uint32)) for s in batch.column("signature").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(h, pa.list_(pa.int64()))], ["node", "bands"])
 
-    entries = one.select("node", "signature").mapInArrow(bands, "node bigint, bands array<bigint>")
+    entries = one.select("node", "signature").mapInArrow(common.tidy(bands), "node bigint, bands array<bigint>")
     entries = entries.select("node", F.explode("bands").alias("bucket"))
     entries = entries.withColumn("members", F.count("*").over(Window.partitionBy("bucket"))).filter("members > 1")
     members = entries.join(one.select("node", "signature"), "node")
@@ -267,7 +267,7 @@ def candidates(one: DataFrame) -> DataFrame:
             if edges:
                 yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], ["a", "b"])
 
-    return members.select("bucket", "low", "high", "block", "node", "signature").mapInArrow(run, "a bigint, b bigint").distinct()
+    return members.select("bucket", "low", "high", "block", "node", "signature").mapInArrow(common.tidy(run), "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -311,7 +311,7 @@ def likely(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
             keep = (bloom.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
             yield batch.drop_columns(["__place"]).filter(pa.array(keep.astype(bool)))
 
-    return rows.withColumn("__place", place).mapInArrow(run, rows.schema)
+    return rows.withColumn("__place", place).mapInArrow(common.tidy(run), rows.schema)
 
 
 def _linked(sets: list[np.ndarray], blocks: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
@@ -382,7 +382,7 @@ def verify(members: DataFrame) -> DataFrame:
                     ["a", "b", "links"],
                 )
 
-    return rows.select("component", "low", "high", "block", "node", "key", "n_docs", "text").mapInArrow(run, "a bigint, b bigint, links bigint")
+    return rows.select("component", "low", "high", "block", "node", "key", "n_docs", "text").mapInArrow(common.tidy(run), "a bigint, b bigint, links bigint")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -49,7 +49,7 @@ ENCODING = "utf-16-le"
 WINDOW_WORDS, SEPARATOR, CARRIER, MIN_MATCH = 1, " | ".encode(ENCODING), b"." * 32, 6
 SEGMENTS, MIN_Z, MIN_TEXTS, MOST_PASSAGES, BODY_BYTES = (5, 6, 7), 6.0, 4, 400, 12 << 10
 THRESHOLDS, WHOLE_THRESHOLDS = (2, 4, 6, 8, 10, 12, 16), (2, 4, 6)
-_CACHE, _SHIFT = 400_000, 24
+_CACHE, _SHIFT = 300_000, 24
 _NO_LENGTH = (1 << _SHIFT) - 1
 _WORD = re.compile(r"[^\W\d_]+")
 

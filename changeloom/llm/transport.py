@@ -314,7 +314,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 media = pa.array([mux(payload_of(t)) for t in texts], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), sizes, media], [id_col, "n_bytes", "media"])
 
-    return docs.mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, media binary")
+    return docs.mapInArrow(common.tidy(run), f"`{id_col}` {kind}, n_bytes bigint, media binary")
 
 
 def parse(df: DataFrame, media_col: str = "media", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -338,7 +338,7 @@ def parse(df: DataFrame, media_col: str = "media", keep: tuple[str, ...] = ()) -
                 names = [*keep, "programs", "units", *_COUNTS, "payload", "feature", "media_bytes", "media_sha256"]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *new], names)
 
-    return df.mapInArrow(run, fields + MEDIA_FIELDS)
+    return df.mapInArrow(common.tidy(run), fields + MEDIA_FIELDS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
