@@ -268,7 +268,9 @@ def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> HotWords:
     if least is None:
         return HotWords(pa.array([], pa.string()), pa.array([], pa.list_(pa.int32())))
     chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).cast("array<int>").alias("ids")).toArrow()
-    return HotWords(chosen.column("word").combine_chunks(), chosen.column("ids").combine_chunks())
+    words, ids = chosen.column("word").combine_chunks(), chosen.column("ids").combine_chunks()
+    del chosen
+    return HotWords(words, ids)
 
 
 class _Pieces:
@@ -313,7 +315,9 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     spark = docs.sparkSession
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     counts = common.materialize(word_counts(docs, text_col, pattern), "bpe-words")
+    common.release_memory()
     hot = spark.sparkContext.broadcast(hot_words(counts, path))
+    common.release_memory()  # the driver needs the words no longer
     # the long words' merges need the ranks on the executors: a bounded table, as the literal is
     ranks = spark.sparkContext.broadcast(load_ranks(path))
     docs = docs.select(*(F.col(c) for c in id_cols), F.col(text_col).cast("string").alias("__text"))

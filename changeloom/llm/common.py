@@ -111,8 +111,8 @@ def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int,
 
 
 def release_memory() -> None:
-    """Give freed memory back to the system. Python workers are kept for later tasks, and
-    allocators keep what a task has freed; beside a full JVM heap that adds up."""
+    """Give freed memory back to the system. Python workers are kept for later tasks and the
+    driver for later stages, and allocators keep what was freed; beside a full JVM heap that adds up."""
     import ctypes
 
     import pyarrow as pa

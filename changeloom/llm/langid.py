@@ -246,7 +246,9 @@ class Labeller:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, bytes_: int = SAMPLE_BYTES) -> dict:
     """Learn only from rows with a language outside the held-out fold."""
     learn = (common.fold_of(F.col(id_col), FOLDS) != HELD_OUT) & F.col(lang_col).isNotNull()
-    return train(common.bounded_sample(docs, learn, F.col(lang_col), rows, bytes_, id_col, text_col))
+    model = train(common.bounded_sample(docs, learn, F.col(lang_col), rows, bytes_, id_col, text_col))
+    common.release_memory()
+    return model
 
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

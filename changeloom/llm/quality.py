@@ -169,7 +169,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     label = F.col(label_col).cast("int")
     seen = labels.filter(learn & label.isin(0, 1)).agg(F.avg(label.cast("double")).alias("share")).first()
     sample = common.bounded_sample(docs, learn & label.isin(0, 1), label, rows, bytes_, id_col, text_col, labels)
-    return train(sample, 0.5 if seen.share is None else seen.share)
+    model = train(sample, 0.5 if seen.share is None else seen.share)
+    common.release_memory()
+    return model
 
 
 def score_texts(model: dict, texts: list[str | None], tokens: Tokens) -> list[float]:

@@ -200,7 +200,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     label = F.col(label_col).cast("int")
     seen = labels.filter(learn & label.isin(0, 1)).agg(F.avg(label.cast("double")).alias("share")).first()
     sample = common.bounded_sample(docs, learn & label.isin(0, 1), label, rows, bytes_, id_col, text_col, labels)
-    return train(sample, seen.share or 0.0)
+    model = train(sample, seen.share or 0.0)
+    common.release_memory()
+    return model
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
