@@ -146,16 +146,23 @@ def train(sample: Iterable[tuple[str, int]], share: float) -> dict:
     if min(len(toxic) - len(seen_toxic), len(ordinary) - len(seen_ordinary)) < 1:
         return {"share": share}
     # all words' segments in one array; a word's own stand between its starts
-    flat, starts = array("I"), [0]
+    flat, ends = array("I"), array("q", [0])
     for w in words:
         flat.extend(_segments(w))
-        starts.append(len(flat))
-    of = np.frombuffer(flat, np.uint32) if len(flat) else np.empty(0, np.uint32)
+        ends.append(len(flat))
+    of, starts = np.frombuffer(flat, np.uint32) if len(flat) else np.empty(0, np.uint32), np.frombuffer(ends, np.int64)
 
     def texts_with(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Segments and in how many texts each is."""
-        each = [np.unique(np.concatenate([of[starts[w] : starts[w + 1]] for w in np.unique(c)])) for c in rows if len(c)]
-        return np.unique(np.concatenate(each), return_counts=True) if each else (np.empty(0, np.uint32), np.empty(0, np.int64))
+        """Segments and in how many texts each is; a few hundred texts at a time."""
+        found, counts = np.empty(0, np.uint32), np.empty(0, np.int64)
+        for k in range(0, len(rows), 300):
+            each = [np.unique(np.concatenate([of[starts[w] : starts[w + 1]] for w in np.unique(c)])) for c in rows[k : k + 300] if len(c)]
+            new, n = np.unique(np.concatenate([found[:0], *each]), return_counts=True)
+            del each
+            merged, place = np.unique(np.concatenate([found, new]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, n]), len(merged)).astype(np.int64)
+            found = merged
+        return found, counts
 
     segments, a = texts_with(seen_toxic)
     others, n_others = texts_with(seen_ordinary)
@@ -165,8 +172,12 @@ def train(sample: Iterable[tuple[str, int]], share: float) -> dict:
     p = (a + b) / (n_a + n_b)
     z = (a / n_a - b / n_b) / np.sqrt(p * (1 - p) * (1 / n_a + 1 / n_b) + 1e-12)
     marked = segments[(a >= MIN_TEXTS) & (z >= MIN_Z)]
-    hits = np.concatenate([[0], np.cumsum(np.isin(of, marked))])
-    is_hit = hits[starts[1:]] > hits[starts[:-1]]  # short words have no segment
+    is_hit = np.zeros(len(words), bool)
+    for k in range(0, len(of) if len(marked) else 0, 1 << 19):
+        part = of[k : k + (1 << 19)]
+        at = np.minimum(np.searchsorted(marked, part), len(marked) - 1)
+        # the word of a place is the last that starts at or before it; short words have no segment
+        is_hit[np.searchsorted(starts, np.flatnonzero(marked[at] == part) + k, side="right") - 1] = True
     del flat, of, segments, others
     in_texts = np.bincount(np.concatenate([np.unique(c) for c in seen_toxic]), minlength=len(words)) * is_hit
     everywhere = np.bincount(np.concatenate(seen_ordinary), minlength=len(words))
