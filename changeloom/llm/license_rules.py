@@ -1,11 +1,12 @@
 r"""Signature rules for licence scans.
 
-A rule is (id, label, priority, keyword, regex, confidence, needs). Regexes run over
+A rule is (id, label, priority, keyword, regex, confidence). Regexes run over
 normalised text: words in lower case, one space between them (so "CC BY-NC 4.0" reads
 "cc by nc 4 0"). Every regex keeps to bounded repeats, which bounds a match's length
 by MAX_MATCH_CHARS; the scanner relies on that when it cuts long texts into windows.
 The rules are ordered: a smaller priority is the stronger statement. Families give a
-label, keywords of which any match holds one (split by |), the regex of the name as people write it,
+label, keywords of which any match holds one (split by |; a leading space is a word's start, "&licen"
+behind a keyword says that a match which holds it also holds that), the regex of the name as people write it,
 and the identifier in SPDX spelling (normalised); forms wrap a name into statements.
 """
 
@@ -24,7 +25,6 @@ class Rule(NamedTuple):
     keyword: str
     regex: str
     confidence: float
-    needs: str = ""
 
 
 #: The phrases whose places are counted, with their labels, in priority 0: they are never suppressed.
@@ -38,15 +38,15 @@ _V = r"(?:v|version|ver)? ?"
 
 #: label, keyword, name, SPDX identifier
 FAMILIES = (
-    ("mit", "mit", r"(?:mit|expat|x11)(?: style)?(?: open source)? licen[cs]e", r"mit"),
+    ("mit", "mit&licen", r"(?:mit|expat|x11)(?: style)?(?: open source)? licen[cs]e", r"mit"),
     ("mit-0", "mit", r"mit no attribution(?: licen[cs]e)?", r"mit 0"),
-    ("apache-1", "apache", r"apache(?: software)? licen[cs]e " + _V + r"1(?: [01])?", r"apache 1 [01]"),
+    ("apache-1", "apache&licen", r"apache(?: software)? licen[cs]e " + _V + r"1(?: [01])?", r"apache 1 [01]"),
     ("apache-2", "apache", r"apache(?: software)?(?: licen[cs]e)? " + _V + r"2(?: 0)?", r"apache 2 0"),
     ("bsd-2-clause", "bsd", r"(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd|two clause bsd)(?: licen[cs]e)?", r"bsd 2 clause"),
     ("bsd-3-clause", "bsd", r"(?:new bsd|revised bsd|modified bsd|bsd 3 clause|3 clause bsd|three clause bsd)(?: licen[cs]e)?", r"bsd 3 clause"),
     ("bsd-4-clause", "bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd)(?: licen[cs]e)?", r"bsd 4 clause"),
     ("0bsd", "bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)(?: licen[cs]e)?", r"0bsd"),
-    ("bsd", "bsd", r"bsd(?: style)? licen[cs]e", r"bsd"),
+    ("bsd", "bsd&licen", r"bsd(?: style)? licen[cs]e", r"bsd"),
     ("gpl-1", "gpl|general public", r"(?:gnu )?(?:gpl|general public licen[cs]e) " + _V + r"1(?: 0)?", r"gpl 1 0(?: only| or later)?"),
     ("gpl-2", "gpl|general public", r"(?:gnu )?(?:gpl|general public licen[cs]e) ?" + _V + r"2(?: 0)?", r"gpl 2 0(?: only| or later)?"),
     ("gpl-3", "gpl|general public", r"(?:gnu )?(?:gpl|general public licen[cs]e) ?" + _V + r"3(?: 0)?", r"gpl 3 0(?: only| or later)?"),
@@ -57,38 +57,38 @@ FAMILIES = (
     ("lgpl", "lgpl|general public", r"(?:gnu )?(?:lgpl|lesser general public licen[cs]e)", r"lgpl"),
     ("agpl-3", "agpl|affero", r"(?:gnu )?(?:agpl|affero general public licen[cs]e) ?" + _V + r"3(?: 0)?", r"agpl 3 0(?: only| or later)?"),
     ("agpl", "agpl|affero", r"(?:gnu )?(?:agpl|affero general public licen[cs]e)", r"agpl"),
-    ("gfdl-1.2", "free documentation", r"(?:gnu )?free documentation licen[cs]e " + _V + r"1 2", r"gfdl 1 2(?: only| or later)?"),
-    ("gfdl-1.3", "free documentation", r"(?:gnu )?free documentation licen[cs]e " + _V + r"1 3", r"gfdl 1 3(?: only| or later)?"),
-    ("gfdl", "free documentation", r"(?:gnu )?free documentation licen[cs]e", r"gfdl"),
-    ("mpl-1.1", "mpl|mozilla", r"(?:mozilla public licen[cs]e|mpl) ?" + _V + r"1 1", r"mpl 1 1"),
-    ("mpl-2", "mpl|mozilla", r"(?:mozilla public licen[cs]e|mpl) ?" + _V + r"2(?: 0)?", r"mpl 2 0"),
-    ("mpl", "mozilla", r"mozilla public licen[cs]e", r"mpl"),
-    ("epl-1", "epl|eclipse", r"(?:eclipse public licen[cs]e|epl) ?" + _V + r"1(?: 0)?", r"epl 1 0"),
-    ("epl-2", "epl|eclipse", r"(?:eclipse public licen[cs]e|epl) ?" + _V + r"2(?: 0)?", r"epl 2 0"),
-    ("cddl-1", "cddl|common development", r"(?:common development and distribution licen[cs]e|cddl)(?: " + _V + r"1 [01])?", r"cddl 1 [01]"),
-    ("cpl-1", "common public", r"common public licen[cs]e(?: " + _V + r"1 0)?", r"cpl 1 0"),
-    ("eupl-1.2", "eupl|european union", r"(?:european union public licen[cs]e|eupl)(?: " + _V + r"1 [12])?", r"eupl 1 [12]"),
-    ("artistic-1", "artistic", r"artistic licen[cs]e " + _V + r"1(?: 0)?", r"artistic 1 0"),
-    ("artistic-2", "artistic", r"artistic licen[cs]e " + _V + r"2(?: 0)?", r"artistic 2 0"),
-    ("isc", "isc", r"isc licen[cs]e", r"isc"),
-    ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e", r"zlib"),
-    ("libpng", "libpng", r"libpng licen[cs]e(?: " + _V + r"2)?", r"libpng(?: 2 0)?"),
-    ("boost-1", "boost|bsl", r"(?:boost software licen[cs]e|bsl)(?: " + _V + r"1 0)?", r"bsl 1 0"),
+    ("gfdl-1.2", "free documentation&licen", r"(?:gnu )?free documentation licen[cs]e " + _V + r"1 2", r"gfdl 1 2(?: only| or later)?"),
+    ("gfdl-1.3", "free documentation&licen", r"(?:gnu )?free documentation licen[cs]e " + _V + r"1 3", r"gfdl 1 3(?: only| or later)?"),
+    ("gfdl", "free documentation&licen", r"(?:gnu )?free documentation licen[cs]e", r"gfdl"),
+    ("mpl-1.1", " mpl|mozilla&licen", r"(?:mozilla public licen[cs]e|mpl) ?" + _V + r"1 1", r"mpl 1 1"),
+    ("mpl-2", " mpl|mozilla&licen", r"(?:mozilla public licen[cs]e|mpl) ?" + _V + r"2(?: 0)?", r"mpl 2 0"),
+    ("mpl", "mozilla&licen", r"mozilla public licen[cs]e", r"mpl"),
+    ("epl-1", " epl|eclipse&licen", r"(?:eclipse public licen[cs]e|epl) ?" + _V + r"1(?: 0)?", r"epl 1 0"),
+    ("epl-2", " epl|eclipse&licen", r"(?:eclipse public licen[cs]e|epl) ?" + _V + r"2(?: 0)?", r"epl 2 0"),
+    ("cddl-1", "cddl|common development&licen", r"(?:common development and distribution licen[cs]e|cddl)(?: " + _V + r"1 [01])?", r"cddl 1 [01]"),
+    ("cpl-1", "common public&licen", r"common public licen[cs]e(?: " + _V + r"1 0)?", r"cpl 1 0"),
+    ("eupl-1.2", "eupl|european union&licen", r"(?:european union public licen[cs]e|eupl)(?: " + _V + r"1 [12])?", r"eupl 1 [12]"),
+    ("artistic-1", "artistic&licen", r"artistic licen[cs]e " + _V + r"1(?: 0)?", r"artistic 1 0"),
+    ("artistic-2", "artistic&licen", r"artistic licen[cs]e " + _V + r"2(?: 0)?", r"artistic 2 0"),
+    ("isc", "isc&licen", r"isc licen[cs]e", r"isc"),
+    ("zlib", "zlib&licen", r"zlib(?: libpng)? licen[cs]e", r"zlib"),
+    ("libpng", "libpng&licen", r"libpng licen[cs]e(?: " + _V + r"2)?", r"libpng(?: 2 0)?"),
+    ("boost-1", " bsl|boost&licen", r"(?:boost software licen[cs]e|bsl)(?: " + _V + r"1 0)?", r"bsl 1 0"),
     ("unlicense", "unlicense", r"(?:the )?unlicense", r"unlicense"),
-    ("wtfpl", "want to public|wtfpl", r"(?:do what the f[uc*]{1,3}k you want to public licen[cs]e|wtfpl)", r"wtfpl"),
-    ("python-2", "python", r"python(?: software foundation)? licen[cs]e(?: " + _V + r"2)?", r"(?:python|psf) 2 0"),
-    ("php-3", "php", r"php licen[cs]e(?: " + _V + r"3(?: 01)?)?", r"php 3 01"),
-    ("ruby", "ruby", r"ruby licen[cs]e", r"ruby"),
-    ("openssl", "openssl", r"openssl licen[cs]e", r"openssl"),
-    ("postgresql", "postgresql", r"postgresql licen[cs]e", r"postgresql"),
-    ("ofl-1.1", "open font|ofl", r"(?:sil )?open font licen[cs]e(?: " + _V + r"1 1)?", r"ofl 1 1"),
-    ("ms-pl", "microsoft", r"microsoft public licen[cs]e", r"ms pl"),
-    ("ms-rl", "microsoft", r"microsoft reciprocal licen[cs]e", r"ms rl"),
-    ("osl-3", "open software", r"open software licen[cs]e(?: " + _V + r"3(?: 0)?)?", r"osl 3 0"),
-    ("afl-3", "academic", r"academic free licen[cs]e(?: " + _V + r"3(?: 0)?)?", r"afl 3 0"),
+    ("wtfpl", "wtfpl|want to public&licen", r"(?:do what the f[uc*]{1,3}k you want to public licen[cs]e|wtfpl)", r"wtfpl"),
+    ("python-2", "python&licen", r"python(?: software foundation)? licen[cs]e(?: " + _V + r"2)?", r"(?:python|psf) 2 0"),
+    ("php-3", "php&licen", r"php licen[cs]e(?: " + _V + r"3(?: 01)?)?", r"php 3 01"),
+    ("ruby", "ruby&licen", r"ruby licen[cs]e", r"ruby"),
+    ("openssl", "openssl&licen", r"openssl licen[cs]e", r"openssl"),
+    ("postgresql", "postgresql&licen", r"postgresql licen[cs]e", r"postgresql"),
+    ("ofl-1.1", "open font&licen", r"(?:sil )?open font licen[cs]e(?: " + _V + r"1 1)?", r"ofl 1 1"),
+    ("ms-pl", "microsoft&licen", r"microsoft public licen[cs]e", r"ms pl"),
+    ("ms-rl", "microsoft&licen", r"microsoft reciprocal licen[cs]e", r"ms rl"),
+    ("osl-3", "open software&licen", r"open software licen[cs]e(?: " + _V + r"3(?: 0)?)?", r"osl 3 0"),
+    ("afl-3", "academic&licen", r"academic free licen[cs]e(?: " + _V + r"3(?: 0)?)?", r"afl 3 0"),
     ("odbl-1", "database|odbl", r"(?:open (?:data commons open )?database licen[cs]e|odbl)(?: " + _V + r"1 0)?", r"odbl 1 0"),
-    ("odc-by-1", "data commons", r"open data commons attribution licen[cs]e(?: " + _V + r"1 0)?", r"odc by 1 0"),
-    ("pddl-1", "dedication", r"(?:open data commons )?public domain dedication and licen[cs]e", r"pddl 1 0"),
+    ("odc-by-1", "data commons&licen", r"open data commons attribution licen[cs]e(?: " + _V + r"1 0)?", r"odc by 1 0"),
+    ("pddl-1", "dedication&licen", r"(?:open data commons )?public domain dedication and licen[cs]e", r"pddl 1 0"),
     ("cc0", "cc0|cc zero|commons zero", r"(?:cc0|cc zero|creative commons zero)(?: " + _V + r"1(?: 0)?)?(?: universal)?", r"cc0 1 0"),
     ("cc-by", "cc by|creative commons", r"(?:cc by|creative commons attribution)(?: licen[cs]e)?(?: [1-4] [05])?(?: international)?", r"cc by [1-4] [05]"),
     ("cc-by-sa", "cc by|creative commons", r"(?:cc by sa|creative commons attribution share ?alike)(?: licen[cs]e)?(?: [1-4] [05])?", r"cc by sa [1-4] [05]"),
@@ -97,18 +97,18 @@ FAMILIES = (
     ("cc-by-nc-sa", "cc by|creative commons", r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: licen[cs]e)?(?: [1-4] [05])?", r"cc by nc sa [1-4] [05]"),
     ("cc-by-nc-nd", "cc by|creative commons", r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s?)(?: licen[cs]e)?(?: [1-4] [05])?", r"cc by nc nd [1-4] [05]"),
     ("public-domain", "public domain", r"public domain", r"(?:licenseref )?public domain"),
-    ("busl-1.1", "business source", r"business source licen[cs]e(?: " + _V + r"1 1)?", r"busl 1 1"),
-    ("sspl-1", "server side|sspl", r"(?:server side public licen[cs]e|sspl)(?: " + _V + r"1)?", r"sspl 1 0"),
-    ("elastic-2", "elastic", r"elastic licen[cs]e(?: " + _V + r"2(?: 0)?)?", r"elastic 2 0"),
+    ("busl-1.1", "business source&licen", r"business source licen[cs]e(?: " + _V + r"1 1)?", r"busl 1 1"),
+    ("sspl-1", "sspl|server side&licen", r"(?:server side public licen[cs]e|sspl)(?: " + _V + r"1)?", r"sspl 1 0"),
+    ("elastic-2", "elastic&licen", r"elastic licen[cs]e(?: " + _V + r"2(?: 0)?)?", r"elastic 2 0"),
     ("commons-clause", "commons clause", r"commons clause", r"licenseref commons clause"),
     ("openrail-m", "openrail", r"(?:creativeml |bigscience |bigcode )?openrail(?: m)?(?: licen[cs]e)?", r"openrail(?: m)?"),
-    ("upl-1", "universal permissive", r"universal permissive licen[cs]e(?: " + _V + r"1 0)?", r"upl 1 0"),
-    ("ncsa", "ncsa", r"(?:university of illinois )?ncsa open source licen[cs]e", r"ncsa"),
-    ("json", "json", r"json licen[cs]e", r"json"),
-    ("vim", "vim", r"vim licen[cs]e", r"vim"),
-    ("curl", "curl", r"curl licen[cs]e", r"curl"),
-    ("blueoak-1", "blue oak", r"blue oak model licen[cs]e(?: 1 0 0)?", r"blueoak 1 0 0"),
-    ("proprietary", "proprietary", r"proprietary(?: and confidential| software)? licen[cs]e", r"licenseref proprietary"),
+    ("upl-1", "universal permissive&licen", r"universal permissive licen[cs]e(?: " + _V + r"1 0)?", r"upl 1 0"),
+    ("ncsa", "ncsa&licen", r"(?:university of illinois )?ncsa open source licen[cs]e", r"ncsa"),
+    ("json", "json&licen", r"json licen[cs]e", r"json"),
+    ("vim", "vim&licen", r"vim licen[cs]e", r"vim"),
+    ("curl", "curl&licen", r"curl licen[cs]e", r"curl"),
+    ("blueoak-1", "blue oak&licen", r"blue oak model licen[cs]e(?: 1 0 0)?", r"blueoak 1 0 0"),
+    ("proprietary", "proprietary&licen", r"proprietary(?: and confidential| software)? licen[cs]e", r"licenseref proprietary"),
 )
 
 #: What one family says in four strengths: an identifier line, a grant, a pointer, a bare name.
@@ -167,10 +167,7 @@ def build_rules() -> tuple[Rule, ...]:
     rules += [Rule(f"text:{i}:{label}", label, priority, keyword, _whole(regex), confidence) for i, (label, priority, keyword, regex, confidence) in enumerate(OTHER)]
     for label, keyword, name, _ in FAMILIES:
         rules.append(Rule(f"name:{label}", label, 5, keyword, _whole(name), 0.7))
-    # short keywords are parts of many words; where the name says licence, that is needed too
-    names = {label for label, _, name, _ in FAMILIES if re.search(r" licen\[cs\]e(?!\))", re.sub(r"\(\?:[^()]*\)\?", "", name)) and "|" not in re.sub(r"\([^()]*\)", "", name)}
-    needs = lambda r: "licen" if r.label in names and r.id.split(":")[0] in ("grant", "pointer", "name") else ""
-    return tuple(r._replace(needs=needs(r)) for r in rules)
+    return tuple(rules)
 
 
 RULES = build_rules()

@@ -2,8 +2,8 @@ r"""Licence scans by ordered signature rules. Native: DataFrame functions only.
 
 1. A-Z become lower case and words are `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`; the text is
    held as these words with one space between them.
-2. Prefilter: of the distinct keywords of all rules, those that the text contains.
-   Only rules that own one of them are matched.
+2. Prefilter: of the distinct keywords of all rules, those that the text contains (and
+   "licen" too, where a keyword's matches all hold it). Only rules that own one of them are matched.
 3. Each such rule's regex gives its matches with places.
 4. Overlaps: a detection inside another one's interval is suppressed if the other's
    rule has priority; with equal priority the longer interval wins, then the earlier
@@ -27,6 +27,8 @@ from . import common
 from .license_rules import BASE_PHRASES, MAX_MATCH_CHARS, RULES, Rule
 
 WINDOW, MARGIN = 4096, 512
+#: What a keyword that is part of many words may need beside it.
+NEEDED = "licen"
 assert MARGIN > MAX_MATCH_CHARS
 #: The two other characters whose lower case holds an ASCII letter; they are words' characters and stay such.
 _KELVIN, _DOTTED_I = "\u212a", "\u0130"
@@ -43,12 +45,12 @@ def _spaces(text: Column) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def _rule_table(rules: tuple[Rule, ...]) -> Column:
+def _rule_table(rules: tuple[Rule, ...], number: dict[str, int]) -> Column:
     return F.array(
         *(
             F.struct(
                 F.lit(i).alias("rank"), F.lit(r.id).alias("id"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"),
-                F.array(*map(F.lit, r.keyword.split("|"))).alias("keywords"), F.lit(r.needs).alias("needs"), F.lit(r.regex).alias("regex"), F.lit(r.confidence).alias("confidence"),
+                F.array(*(F.lit(number[k]) for k in r.keyword.split("|"))).alias("keywords"), F.lit(r.regex).alias("regex"), F.lit(r.confidence).alias("confidence"),
             )
             for i, r in enumerate(rules)
         )
@@ -82,10 +84,19 @@ def _kept(detections: Column) -> Column:
     return F.filter(detections, lambda d: (d["priority"] == 0) | ~F.exists(detections, lambda e: beats(e, d)))
 
 
+def _held(text: Column, number: dict[str, int], needs: str) -> Column:
+    """Numbers of the keywords with the suffix `needs` that the text contains."""
+    own = {k.removesuffix(f"&{NEEDED}"): n for k, n in number.items() if k.endswith(f"&{NEEDED}") == bool(needs)}
+    if not own:
+        return F.array().cast("array<int>")
+    table = F.array(*(F.struct(F.lit(n).alias("n"), F.lit(k).alias("k")) for k, n in own.items()))
+    return F.transform(F.filter(table, lambda x: text.contains(x["k"])), lambda x: x["n"])
+
+
 def detections(words: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """Detections that stay, with places in characters of the single-spaced text `words`."""
-    keywords = sorted({k for r in rules for k in (*r.keyword.split("|"), r.needs)} - {""})
-    table = _rule_table(rules)
+    number = {k: n for n, k in enumerate(sorted({k for r in rules for k in r.keyword.split("|")}))}
+    table = _rule_table(rules, number)
     chunks = F.regexp_extract_all(words, F.lit(rf"(?s).{{1,{WINDOW}}}"), F.lit(0))
 
     def scan(chunk: Column, i: Column) -> Column:
@@ -93,10 +104,11 @@ def detections(words: Column, rules: tuple[Rule, ...] = RULES) -> Column:
         after = F.coalesce(F.left(F.get(chunks, i + 1), F.lit(MARGIN)), F.lit(""))
 
         def inside(seen: Column, from_: Column) -> Column:
-            present = F.filter(F.array(*map(F.lit, keywords)), lambda k: seen.contains(k))
+            # each word has a space before it
+            present = _once(F.concat(F.lit(" "), seen), lambda t: F.concat(_held(t, number, ""), F.when(t.contains(NEEDED), _held(t, number, f"&{NEEDED}")).otherwise(F.array().cast("array<int>"))))
             gate = lambda there: F.filter(
                 F.when(F.size(there) > 0, table).otherwise(F.slice(table, 1, 0)),
-                lambda r: F.exists(r["keywords"], lambda k: F.array_contains(there, k)) & ((r["needs"] == "") | F.array_contains(there, r["needs"])),
+                lambda r: F.exists(r["keywords"], lambda k: F.array_contains(there, k)),
             )
             every = F.flatten(F.transform(_once(present, gate), lambda r: _matches(seen, r)))
             # what starts at a cut may be the rest of a longer word

@@ -3,7 +3,7 @@ import re
 from pyspark.sql import functions as F
 
 from changeloom.llm import licenses
-from changeloom.llm.license_rules import BASE_PHRASES, MAX_MATCH_CHARS, RULES
+from changeloom.llm.license_rules import BASE_PHRASES, FAMILIES, MAX_MATCH_CHARS, RULES
 
 SCHEMA = "doc_id long, text string"
 
@@ -69,3 +69,41 @@ def test_data(spark):
 
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def least_matches(regex):
+    """Of each alternative the matches without what is optional."""
+
+    def spelled(tree):
+        out = [""]
+        for op, arg in tree:
+            match str(op):
+                case "LITERAL":
+                    own = [chr(arg)]
+                case "IN":
+                    own = [chr(x if str(kind) == "LITERAL" else x[0]) for kind, x in arg][:1]
+                case "BRANCH":
+                    own = [x for branch in arg[1] for x in spelled(branch)]
+                case "SUBPATTERN":
+                    own = spelled(arg[3])
+                case "MAX_REPEAT":
+                    own = [x * arg[0] for x in spelled(arg[2])] if arg[0] else [""]
+                case "ASSERT_NOT":
+                    own = [""]
+                case other:
+                    raise ValueError(other)
+            out = [a + b for a in out for b in own]
+        return out
+
+    return spelled(re._parser.parse(regex))
+
+
+def held(keyword, text):
+    return all(part in f" {text}" for part in keyword.split("&"))
+
+
+def test_names_without_the_word_licence(spark):
+    names = {x for _, _, name, _ in FAMILIES for x in least_matches(name) if "licen" not in x}
+    assert {"mpl2", "epl2", "cddl", "eupl", "bsl", "wtfpl", "sspl"} <= names
+    spelt = ["released under the MPL 2.0", "distributed under EPL v2", "available under the SSPL", "released under the WTFPL", "under the terms of the CDDL 1.0", "see the EUPL 1.2", "bsl 1.0"]
+    compare(spark, [*spelt, *(f"{form} {x}" for x in sorted(names) for form in ("Released under the", "see", "a"))])
