@@ -38,7 +38,7 @@ _V = r"(?:v|version|ver)? ?"
 
 #: label, keyword, name, SPDX identifier
 FAMILIES = (
-    ("mit", "mit&licen", r"(?:mit|expat|x11)(?: style)?(?: open source)? licen[cs]e", r"mit"),
+    ("mit", "mit&licen|expat&licen|x11&licen", r"(?:mit|expat|x11)(?: style)?(?: open source)? licen[cs]e", r"mit"),
     ("mit-0", "mit", r"mit no attribution(?: licen[cs]e)?", r"mit 0"),
     ("apache-1", "apache&licen", r"apache(?: software)? licen[cs]e " + _V + r"1(?: [01])?", r"apache 1 [01]"),
     ("apache-2", "apache", r"apache(?: software)?(?: licen[cs]e)? " + _V + r"2(?: 0)?", r"apache 2 0"),
@@ -125,7 +125,7 @@ OTHER = (
     ("proprietary", 4, "permission", r"without (?:the )?(?:prior )?(?:express )?written permission", 0.7),
     ("proprietary", 4, "unauthori", r"unauthori[sz]ed (?:copying|use|reproduction|distribution)", 0.7),
     ("mit", 3, "permission", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
-    ("mit", 3, "software", r"the above copyright notice and this permission notice shall be included", 0.9),
+    ("mit", 3, "permission notice", r"the above copyright notice and this permission notice shall be included", 0.9),
     ("bsd", 3, "redistribution", r"redistribution and use in source and binary forms with or without modification", 0.9),
     ("bsd-3-clause", 3, "endorse", r"used to endorse or promote products derived from this software", 0.85),
     ("isc", 3, "permission", r"permission to use copy modify and or distribute this software for any purpose", 0.95),

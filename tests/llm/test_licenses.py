@@ -107,3 +107,10 @@ def test_names_without_the_word_licence(spark):
     assert {"mpl2", "epl2", "cddl", "eupl", "bsl", "wtfpl", "sspl"} <= names
     spelt = ["released under the MPL 2.0", "distributed under EPL v2", "available under the SSPL", "released under the WTFPL", "under the terms of the CDDL 1.0", "see the EUPL 1.2", "bsl 1.0"]
     compare(spark, [*spelt, *(f"{form} {x}" for x in sorted(names) for form in ("Released under the", "see", "a"))])
+
+
+def test_every_match_holds_a_keyword(spark):
+    for rule in RULES:
+        for x in least_matches(rule.regex):
+            assert any(held(k, x) for k in rule.keyword.split("|")), (rule.id, x)
+    compare(spark, ["Released under the X11 License", "under the Expat License", "see the X11 style license", "The above copyright notice and this permission notice shall be included"])
