@@ -137,7 +137,7 @@ OTHER = (
     ("lgpl", 3, "lesser", r"modify it under the terms of the gnu lesser general public licen[cs]e", 0.9),
     ("agpl", 3, "affero", r"modify it under the terms of the gnu affero general public licen[cs]e", 0.9),
     ("mpl-2", 3, "mozilla", r"subject to the terms of the mozilla public licen[cs]e v 2 0", 0.95),
-    ("apache-2", 3, "apache", r"http s? ?www apache org licen[cs]es license 2 0", 0.95),
+    ("apache-2", 3, "apache", r"http ?s? (?:www )?apache org licen[cs]es licen[cs]e 2 0", 0.95),
     ("unlicense", 3, "unencumbered", r"free and unencumbered software released into the public domain", 0.95),
     ("cc0", 3, "creativecommons", r"creativecommons org publicdomain zero 1 0", 0.95),
     ("cc-by", 3, "creativecommons", r"creativecommons org licen[cs]es by [1-4] [05]", 0.95),

@@ -114,3 +114,9 @@ def test_every_match_holds_a_keyword(spark):
         for x in least_matches(rule.regex):
             assert any(held(k, x) for k in rule.keyword.split("|")), (rule.id, x)
     compare(spark, ["Released under the X11 License", "under the Expat License", "see the X11 style license", "The above copyright notice and this permission notice shall be included"])
+
+
+def test_apache_links(spark):
+    links = ["http://www.apache.org/licenses/LICENSE-2.0", "https://www.apache.org/licenses/LICENSE-2.0", "http(s)://www.apache.org/licenses/LICENSE-2.0", "https://apache.org/licenses/LICENSE-2.0.txt"]
+    assert all(brute(x)["labels"] == ["apache-2"] for x in links)
+    compare(spark, links)
