@@ -1,7 +1,9 @@
 """Language ID by a linear-chain conditional random field over words.
 
 A text's words (runs of letters, in lower case) form chains of at most CHAIN words, in
-order, over the whole text. A word's potentials come from hashed features: prefixes and
+order, over the whole text. A run of over PIECE letters (text without spaces, long compounds)
+counts as several words: consecutive pieces of about equal length, each with all its features,
+so every letter counts; a cut is no word border. A word's potentials come from hashed features: prefixes and
 suffixes of one to three letters, two- and three-letter n-grams with word borders, and the
 word itself if it is in the lexicon (frequent words of the sample). Transitions between
 labels and start weights are learned with them. Forward-backward gives each word's label
@@ -35,14 +37,25 @@ from . import common
 
 SAMPLE_ROWS, SAMPLE_BYTES = 800, 1 << 20
 FOLDS, HELD_OUT, UNKNOWN = 3, 1, "und"
-ROWS, LEXICON, MOST_FEATURES, CHAIN = 1 << 15, 1500, 40, 64
+#: A piece of PIECE letters has at most 17 pairs, 16 triples and 6 affixes, and may be in the lexicon.
+PIECE, MOST_FEATURES = 16, 40
+ROWS, LEXICON, CHAIN = 1 << 15, 1500, 64
 TRAIN_CHAIN, TRAIN_CHAINS, BATCH, EPOCHS, RATE, SEED = 24, 6000, 64, 3, 0.3, 11
 _CACHE, _GROUP = 500_000, 200_000
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD, _CUT = re.compile(r"[^\W\d_]+"), "-"
+
+
+def _pieces(word: str) -> list[str]:
+    """A long run of letters in pieces; _CUT stands where it was cut."""
+    n = -(-len(word) // PIECE)
+    cuts = [len(word) * i // n for i in range(n + 1)]
+    return [_CUT * (i > 0) + word[cuts[i] : cuts[i + 1]] + _CUT * (i < n - 1) for i in range(n)]
 
 
 def words_of(text: str | None) -> list[str]:
     words = _WORD.findall((text or "").lower())
+    if any(len(w) > PIECE for w in words):
+        words = [p for w in words for p in (_pieces(w) if len(w) > PIECE else (w,))]
     return words if any(w.isalpha() or any(map(str.isalpha, w)) for w in words) else []
 
 
@@ -61,12 +74,12 @@ _rows = _Rows()
 
 def feature_rows(word: str, lexicon: dict[str, int]) -> list[int]:
     """Rows of a word's features. Row ROWS + k is the k-th lexicon word."""
-    own = word if len(word) <= 24 else word[:12] + word[-12:]
-    marked = f"<{own}>"
+    own = word.strip(_CUT)
+    marked = f"<{word}>".replace("<" + _CUT, "").replace(_CUT + ">", "")
     # affixes carry their side; an n-gram at a border carries the border
     names = {"p" + own[:1], "p" + own[:2], "p" + own[:3], "s" + own[-1:], "s" + own[-2:], "s" + own[-3:]}
     names.update(map("".join, zip(marked, marked[1:], strict=False)), map("".join, zip(marked, marked[1:], marked[2:], strict=False)))
-    rows = sorted(map(_rows.__getitem__, names))[: MOST_FEATURES - 1]
+    rows = sorted(map(_rows.__getitem__, names))
     return rows + ([ROWS + lexicon[word]] if word in lexicon else [])
 
 

@@ -122,3 +122,20 @@ def test_temperature_and_share_calibrate():
     sample = [("good " * 5 + str(rng.random()), 1) for _ in range(200)] + [("BAD!! " * 5 + str(rng.random()), 0) for _ in range(200)]
     model = quality.train(sample, 0.9)
     assert model["temperature"] > 0 and quality.score_texts(model, ["good good good"], quality.Tokens())[0] > quality.score_texts(model, ["BAD!! BAD!!"], quality.Tokens())[0]
+
+
+def test_every_letter_of_a_long_run_counts():
+    word = "".join(chr(0x4E00 + i) for i in range(1000))
+    pieces = langid.words_of(word)
+    assert "".join(pieces).replace("-", "") == word and max(len(p.strip("-")) for p in pieces) <= langid.PIECE
+    assert langid.words_of("kurz " + "x" * 16) == ["kurz", "x" * 16] and langid.words_of("x" * 17) == ["x" * 8 + "-", "-" + "x" * 9]
+    for piece in (*pieces, "abcdefghijklmnop"):
+        own = piece.strip("-")
+        rows = set(langid.feature_rows(piece, {piece: 0}))
+        assert len(rows) <= langid.MOST_FEATURES and all(langid._rows[a + b] in rows for a, b in zip(own, own[1:], strict=False))
+    rng = np.random.default_rng(3)
+    run = lambda letters, n: "".join(rng.choice(list(letters), n))
+    model = langid.train([(" ".join(run(letters, 9) for _ in range(40)), lang) for lang, letters in (("aa", "abcdefg"), ("bb", "pqrstuv")) for _ in range(30)])
+    # the first and last letters are of one language, most of the run is of the other
+    lang, _, runs = langid.Labeller(model).label([run("abcdefg", 320) + run("pqrstuv", 6400) + run("abcdefg", 320)])[0]
+    assert lang == "bb" and [r["lang"] for r in runs] == ["aa", "bb", "aa"]
