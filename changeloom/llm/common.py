@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: A sample has so many labels at most; more are an error, as a label left out could never be predicted.
+MOST_LABELS = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,12 +74,13 @@ def slices(batch, column: str, most_bytes: int = 16 << 20):
     yield batch.slice(start)
 
 
-def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int, label_bytes: int, id_col: str = "doc_id", text_col: str = "text", labels: DataFrame | None = None) -> Iterator[tuple[str, object]]:
+def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int, label_bytes: int, id_col: str = "doc_id", text_col: str = "text", labels: DataFrame | None = None, most_labels: int = MOST_LABELS) -> Iterator[tuple[str, object]]:
     """(text, label) of a bounded sample on the driver, the same on every run.
 
     Of the rows where `keep` holds, each label gives the rows with the least hash of
     their id: at most `per_label` rows and `label_bytes` bytes of text. Both bounds are
-    parameters of the callers; nothing on the driver grows with the corpus.
+    parameters of the callers; nothing on the driver grows with the corpus. All labels are
+    sampled; more than `most_labels` raise a ValueError.
     `labels` (id, columns that `label` reads) is joined if given: its rows are few numbers,
     so the sample is drawn from it first and only sampled texts are fetched.
     """
@@ -85,7 +88,9 @@ def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int,
     order = F.xxhash64(F.lit("sample"), F.col("id").cast("string"))
     base = (labels if labels is not None else docs).withColumn("id", F.col(id_col))
     base = base.filter(keep).select("id", label.alias("label")).filter("id is not null and label is not null")
-    kinds = [r.label for r in base.select("label").distinct().limit(1000).collect()]
+    kinds = sorted(r.label for r in base.select("label").distinct().limit(most_labels + 1).collect())
+    if len(kinds) > most_labels:
+        raise ValueError(f"more than {most_labels} labels to learn (most_labels)")
     ids: list = []
     for kind in kinds:
         ids += [(r.id, kind) for r in base.filter(F.col("label") == F.lit(kind)).select("id", order.alias("h")).distinct().orderBy("h", "id").limit(per_label).collect()]

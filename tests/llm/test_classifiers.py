@@ -139,3 +139,13 @@ def test_every_letter_of_a_long_run_counts():
     # the first and last letters are of one language, most of the run is of the other
     lang, _, runs = langid.Labeller(model).label([run("abcdefg", 320) + run("pqrstuv", 6400) + run("abcdefg", 320)])[0]
     assert lang == "bb" and [r["lang"] for r in runs] == ["aa", "bb", "aa"]
+
+
+def test_more_labels_than_the_bound_are_an_error(spark):
+    docs = spark.createDataFrame([(i, "wort", f"l{i % 3}") for i in range(60)], "doc_id long, text string, lang string")
+    draw = lambda most: list(common.bounded_sample(docs, F.lit(True), F.col("lang"), 5, 500, most_labels=most))
+    assert {k for _, k in draw(3)} == {"l0", "l1", "l2"}
+    with pytest.raises(ValueError, match="most_labels"):
+        draw(2)
+    with pytest.raises(ValueError, match="most_labels"):
+        langid.fit(docs, most_langs=2)
