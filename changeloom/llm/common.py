@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +22,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where a session names none (tests, a laptop) a temporary folder is set for it.
+    A session on one machine (tests, a laptop) that names none gets a temporary folder; on a
+    cluster that would be a folder of the driver's own, so a session there must name one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not (spark.conf.get("spark.master", None) or "").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="changeloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -74,15 +76,16 @@ def slices(batch, column: str, most_bytes: int = 16 << 20):
     yield batch.slice(start)
 
 
-def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int, label_bytes: int, id_col: str = "doc_id", text_col: str = "text", labels: DataFrame | None = None, most_labels: int = MOST_LABELS) -> Iterator[tuple[str, object]]:
-    """(text, label) of a bounded sample on the driver, the same on every run.
+def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int, most_bytes: int, id_col: str = "doc_id", text_col: str = "text", labels: DataFrame | None = None, most_labels: int = MOST_LABELS) -> DataFrame:
+    """h, id, text, label of a bounded sample, the same on every run.
 
-    Of the rows where `keep` holds, each label gives the rows with the least hash of
-    their id: at most `per_label` rows and `label_bytes` bytes of text. Both bounds are
-    parameters of the callers; nothing on the driver grows with the corpus. All labels are
-    sampled; more than `most_labels` raise a ValueError.
+    Of the rows where `keep` holds, each label gives those with the least hash of their id,
+    at most `per_label` ids; of several rows of an id and label the shortest text, then the
+    least. Longer texts than `most_bytes` and null ones are left out. All labels are sampled;
+    more than `most_labels` raise a ValueError.
     `labels` (id, columns that `label` reads) is joined if given: its rows are few numbers,
-    so the sample is drawn from it first and only sampled texts are fetched.
+    so the sample is drawn from it first and only sampled texts are fetched. The driver sees
+    labels and ids, never texts.
     """
     spark = docs.sparkSession
     order = F.xxhash64(F.lit("sample"), F.col("id").cast("string"))
@@ -94,25 +97,48 @@ def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int,
     ids: list = []
     for kind in kinds:
         ids += [(r.id, kind) for r in base.filter(F.col("label") == F.lit(kind)).select("id", order.alias("h")).distinct().orderBy("h", "id").limit(per_label).collect()]
-    if not ids:
-        return
-    schema = f"id {dict(base.dtypes)['id']}, label {dict(base.dtypes)['label']}"
-    wanted = F.broadcast(spark.createDataFrame(ids, schema))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null").join(wanted, "id")
-    sizes = texts.select("id", "label", F.octet_length("text").alias("n"), order.alias("h")).collect()
-    left = dict.fromkeys(kinds, label_bytes)
-    chosen = set()
-    for row in sorted(sizes, key=lambda r: (r.h, r.id, r.n)):
-        if row.n <= left[row.label]:
-            left[row.label] -= row.n
-            chosen.add((row.id, row.n))
-    if not chosen:
-        return
-    picked = F.broadcast(spark.createDataFrame(sorted(chosen), f"id {dict(base.dtypes)['id']}, n int"))
-    rows = texts.withColumn("n", F.octet_length("text")).join(picked, ["id", "n"]).select("id", "text", "label", order.alias("h")).toArrow()
-    # the texts stay in Arrow's memory; callers read them one by one and keep what they make of them
-    for batch in rows.sort_by([("h", "ascending"), ("id", "ascending"), ("text", "ascending")]).to_batches(max_chunksize=256):
-        yield from zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True)
+    wanted = F.broadcast(spark.createDataFrame(ids, f"id {dict(base.dtypes)['id']}, label {dict(base.dtypes)['label']}"))
+    texts = (docs if labels is not None else docs.filter(keep)).select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *([label.alias("own")] if labels is None else [])
+    )
+    texts = texts.filter(F.octet_length("text") <= most_bytes).join(wanted, "id")
+    if labels is None:
+        texts = texts.filter(F.col("own") == F.col("label"))
+    # merged where the rows lie, so an id of many rows moves a few texts
+    least = texts.groupBy("id", "label").agg(F.min(F.struct(F.octet_length("text").alias("n"), "text")).alias("t"))
+    return least.select(order.alias("h"), "id", F.col("t.text").alias("text"), "label")
+
+
+def train_in_task(sample: DataFrame, train, label_bytes: int):
+    """`train` over (text, label) of a bounded sample, in one task; its result comes back.
+
+    Texts come by hash; each label gives at most `label_bytes` bytes of them, a text that
+    would pass that is left out. The driver gets the finished model only, and a lost
+    executor costs the one task.
+    """
+    import pickle
+
+    def chosen(batches):
+        left: dict = {}
+        for batch in batches:
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                size = len(text.encode())
+                if size <= left.setdefault(label, label_bytes):
+                    left[label] -= size
+                    yield text, label
+
+    def run(batches):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(chosen(batches)))], pa.binary())], ["model"])
+
+    one = sample.repartition(1).sortWithinPartitions("h", "id", "label").select("text", "label")
+    made = one.mapInArrow(tidy(run), "model binary").collect()
+    # an empty table has no task
+    model = pickle.loads(made[0].model) if made else train([])
+    del made
+    release_memory()
+    return model
 
 
 def release_memory() -> None:

@@ -259,9 +259,8 @@ class Labeller:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, bytes_: int = SAMPLE_BYTES, most_langs: int = common.MOST_LABELS) -> dict:
     """Learn only from rows with a language outside the held-out fold; over `most_langs` languages are an error."""
     learn = (common.fold_of(F.col(id_col), FOLDS) != HELD_OUT) & F.col(lang_col).isNotNull()
-    model = train(common.bounded_sample(docs, learn, F.col(lang_col), rows, bytes_, id_col, text_col, most_labels=most_langs))
-    common.release_memory()
-    return model
+    sample = common.bounded_sample(docs, learn, F.col(lang_col), rows, bytes_, id_col, text_col, most_labels=most_langs)
+    return common.train_in_task(sample, train, bytes_)
 
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,11 +1,12 @@
 """Quality classifier: random-indexing word vectors, pooled, and a two-layer network.
 
 Fit, on a bounded sample of labelled rows (at most SAMPLE_ROWS texts and SAMPLE_BYTES of
-text for each label, by least hash of the id):
+text for each label, by least hash of the id), in one task:
 
 * A token counts as two words: itself in lower case without outer punctuation, and its
   shape (letter case, digits, punctuation; runs shortened). Each word has one of ROWS rows
-  by its hash, so the table of word vectors has a fixed size.
+  by its hash, so the table of word vectors has a fixed size; words that share a row share
+  a vector, and with more than ROWS distinct words many do.
 * Random indexing: a row has a sparse ternary index vector of WIDTH places drawn from its
   number, and its word vector is the sum of the index vectors of the words within
   CONTEXT tokens of its occurrences, brought to length 1.
@@ -140,8 +141,9 @@ def train(sample: Iterable[tuple[str, int]], share: float) -> dict:
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.items()}
     step = 0
     for _ in range(EPOCHS):
+        shuffled = rng.permutation(learn)
         for at in range(0, len(learn), BATCH):
-            i = rng.choice(learn, min(BATCH, len(learn)), replace=False) if at else learn[:BATCH]
+            i = shuffled[at : at + BATCH]
             hidden, logit = _forward(model, x[i])
             error = weight[i] * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[i]) / len(i)
             back = np.outer(error, model["w2"]) * (1 - hidden**2)
@@ -167,11 +169,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn only from rows outside the held-out fold."""
     learn = common.fold_of(F.col(id_col), FOLDS) != HELD_OUT
     label = F.col(label_col).cast("int")
-    seen = labels.filter(learn & label.isin(0, 1)).agg(F.avg(label.cast("double")).alias("share")).first()
+    share = labels.filter(learn & label.isin(0, 1)).agg(F.avg(label.cast("double")).alias("share")).first().share
+    share = 0.5 if share is None else share
     sample = common.bounded_sample(docs, learn & label.isin(0, 1), label, rows, bytes_, id_col, text_col, labels)
-    model = train(sample, 0.5 if seen.share is None else seen.share)
-    common.release_memory()
-    return model
+    return common.train_in_task(sample, lambda texts: train(texts, share), bytes_)
 
 
 def score_texts(model: dict, texts: list[str | None], tokens: Tokens) -> list[float]:

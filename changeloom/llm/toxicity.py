@@ -209,11 +209,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn only from rows outside the held-out fold."""
     learn = common.fold_of(F.col(id_col), FOLDS) != HELD_OUT
     label = F.col(label_col).cast("int")
-    seen = labels.filter(learn & label.isin(0, 1)).agg(F.avg(label.cast("double")).alias("share")).first()
+    share = labels.filter(learn & label.isin(0, 1)).agg(F.avg(label.cast("double")).alias("share")).first().share or 0.0
     sample = common.bounded_sample(docs, learn & label.isin(0, 1), label, rows, bytes_, id_col, text_col, labels)
-    model = train(sample, seen.share or 0.0)
-    common.release_memory()
-    return model
+    return common.train_in_task(sample, lambda texts: train(texts, share), bytes_)
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -106,9 +106,14 @@ def test_language_of_hard_texts_and_no_labels(spark):
     assert {r.lang_pred for r in langid.predict(hard_rows(spark), none).collect()} == {"und"}
 
 
+def _kept(sample, label_bytes=10**9):
+    """What a training task sees of a sample."""
+    return common.train_in_task(sample, list, label_bytes)
+
+
 def test_sample_is_bounded_and_stable(spark):
     docs = spark.createDataFrame([(i, "y" * (i % 50), "a" if i % 2 else "b") for i in range(400)], "doc_id long, text string, lang string")
-    draw = lambda d, rows, size: list(common.bounded_sample(d, F.lit(True), F.col("lang"), rows, size))
+    draw = lambda d, rows, size: _kept(common.bounded_sample(d, F.lit(True), F.col("lang"), rows, size), size)
     sample = draw(docs, 30, 500)
     assert sample == draw(docs.repartition(7), 30, 500)
     for label in "ab":
@@ -117,6 +122,12 @@ def test_sample_is_bounded_and_stable(spark):
     assert draw(docs.limit(0), 30, 500) == []
 
 
+def test_an_id_of_many_rows_gives_one_text(spark):
+    rows = [(7, "z" * 40, "a"), (7, "b", "a"), (7, "a", "a"), (7, "long one", "b"), (8, None, "a"), (None, "no id", "a"), (9, "nine", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({"id": F.lit("clash"), "own": F.lit(1), "label": F.lit(0), "h": F.lit(0)})
+    assert sorted(_kept(common.bounded_sample(docs, F.col("lang").isNotNull(), F.col("lang"), 10, 500))) == [("a", "a"), ("long one", "b")]
+
+
 def test_temperature_and_share_calibrate():
     rng = np.random.default_rng(0)
     sample = [("good " * 5 + str(rng.random()), 1) for _ in range(200)] + [("BAD!! " * 5 + str(rng.random()), 0) for _ in range(200)]
@@ -143,9 +154,45 @@ def test_every_letter_of_a_long_run_counts():
 
 def test_more_labels_than_the_bound_are_an_error(spark):
     docs = spark.createDataFrame([(i, "wort", f"l{i % 3}") for i in range(60)], "doc_id long, text string, lang string")
-    draw = lambda most: list(common.bounded_sample(docs, F.lit(True), F.col("lang"), 5, 500, most_labels=most))
+    draw = lambda most: _kept(common.bounded_sample(docs, F.lit(True), F.col("lang"), 5, 500, most_labels=most))
     assert {k for _, k in draw(3)} == {"l0", "l1", "l2"}
     with pytest.raises(ValueError, match="most_labels"):
         draw(2)
     with pytest.raises(ValueError, match="most_labels"):
         langid.fit(docs, most_langs=2)
+
+
+def test_quality_scores_against_a_plain_version():
+    """Random indexing, pooling and the network, one occurrence at a time."""
+    rng = np.random.default_rng(0)
+    words = ["".join(rng.choice(list("abcdeABC12.,!"), rng.integers(1, 7))) for _ in range(60)]
+    texts = [" ".join(rng.choice(words[k * 20 : k * 20 + 40], rng.integers(0, 30))) for k in (0, 1) for _ in range(40)]
+    model = quality.train([(t, i // 40) for i, t in enumerate(texts)], 0.4)
+    tokens, index = quality.Tokens(), quality.index_vectors()
+    vectors = {}
+    for t in texts:
+        rows = [tokens[w] for w in t.split()]
+        for i in range(len(rows)):
+            near = [j for j in range(max(0, i - quality.CONTEXT), min(len(rows), i + quality.CONTEXT + 1)) if j != i]
+            for row in rows[i]:
+                for j in near:
+                    vectors[row] = vectors.get(row, 0) + index[rows[j][0]] + index[rows[j][1]]
+
+    def vector(row):
+        v = np.array(vectors.get(row, np.zeros(quality.WIDTH)), float)
+        return v / np.linalg.norm(v) if np.linalg.norm(v) else v
+
+    def plain(text):
+        rows = [tokens[w] for w in text.split()]
+        x = np.zeros(3 * quality.WIDTH + 4)
+        if rows:
+            w, s = [vector(a) for a, _ in rows], [vector(b) for _, b in rows]
+            pairs = [a * b for a, b in zip(w, w[1:], strict=False)]
+            same = [a == b for (a, _), (b, _) in zip(rows, rows[1:], strict=False)]
+            x[: 3 * quality.WIDTH] = np.concatenate([np.mean(w, 0), np.mean(s, 0), np.mean(pairs, 0) if pairs else np.zeros(quality.WIDTH)])
+            x[3 * quality.WIDTH :] = np.sum(pairs) / max(len(pairs), 1), np.mean(same) if same else 0, len({a for a, _ in rows}) / len(rows), np.log1p(len(rows)) / 10
+        hidden = np.tanh((x - model["mean"]) / model["scale"] @ model["w1"] + model["b1"])
+        return 1 / (1 + np.exp(-(hidden @ model["w2"] + model["b2"]) / model["temperature"]))
+
+    some = texts[::9] + ["", "a", "never seen Words"]
+    assert np.allclose(quality.score_texts(model, some, tokens), [plain(t) for t in some], atol=1e-4)
