@@ -2,27 +2,26 @@
 
 Fit, on a bounded sample of labelled rows (at most SAMPLE_ROWS texts and SAMPLE_BYTES of
 text for each label, by least hash of the id; 60 % of it for dictionaries, 40 % for
-calibration):
-
-* Passages: words of toxic texts that hold a segment (5 to 7 characters, word borders
-  count) whose share of toxic texts stands MIN_Z standard errors over its share of
-  ordinary ones. A text marked toxic is mostly ordinary, so training on all of it would
-  make the two dictionaries alike.
-* Two zstandard dictionaries over a common body trained (COVER) on ordinary text: one
-  ends in the toxic passages, the other in as many frequent ordinary words.
-* Calibration: logistic regression on how many windows gain how much, and how many of them
-  the toxic dictionary tells as a whole, in no more bytes than one of its own passages.
-
-Score: the text's words, in lower case, go in windows of WINDOW_WORDS words between
-separators. A window is compressed with either dictionary; its gain is the length under
-the ordinary one less that under the toxic one. The counts of windows above each of
-THRESHOLDS, as numbers and as shares, the same of those told as a whole, the mean and the
-largest gain give the score by the calibrated weights. Windows of one word told best here
-(held-out area under the curve 0.96, two words 0.92, four 0.90, all in one byte a letter; 0.99
-for one word in two bytes a letter). A constant carrier stands on either side of a window,
-as zstandard looks for no match in the last bytes of a frame and stores short frames raw.
-
-Cases: null and empty texts have no windows and score as a text with one window of gain 0;
+calibration), in one task:
+
+* The ordinary dictionary is trained by zstandard on windows of ordinary text, the toxic one
+  on windows of toxic text; they share nothing.
+* A text marked toxic is mostly ordinary. So the toxic dictionary is trained in ROUNDS: the
+  first time on windows of whole toxic texts, then on those that it compresses better than
+  the ordinary dictionary by a margin which windows of toxic texts reach MARGIN_RATIO times
+  as often as windows of other ordinary texts. Toxic texts go in two halves, and a half's
+  windows are chosen by the dictionary of the other, which has not seen them.
+* Calibration: thresholds on gains, by logistic regression on how many windows reach each.
+
+Score: the text's words, in lower case, go in windows of each of WINDOWS words. A window is
+compressed with either dictionary; its gain is the length under the ordinary one less that
+under the toxic one. The counts of windows that reach each of THRESHOLDS, and each of SHARES
+of their length, as numbers and as shares, the mean and the largest gain, for each size of
+window, give the score by the calibrated weights. Windows are spelled in two bytes a letter, so that a letter costs more
+against a match's fixed cost. A constant carrier stands on either side of a window, as
+zstandard looks for no match in the last bytes of a frame and stores short frames raw.
+
+Cases: null and empty texts have no windows and score as texts whose only window gains 0;
 without labelled rows of both kinds every score is their share of toxic ones (0 without
 any). Whole texts of any length are scored, window by window; equal texts have equal
 scores; an empty table gives an empty result; other columns are ignored.
@@ -32,8 +31,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
-from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -42,15 +39,15 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SAMPLE_ROWS, SAMPLE_BYTES = 2500, 12 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 2500, 8 << 20
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
-#: Windows are spelled in two bytes a letter, so that a letter costs more against a match's fixed cost.
-ENCODING = "utf-16-le"
-WINDOW_WORDS, SEPARATOR, CARRIER, MIN_MATCH = 1, " | ".encode(ENCODING), b"." * 32, 6
-SEGMENTS, MIN_Z, MIN_TEXTS, MOST_PASSAGES, BODY_BYTES = (5, 6, 7), 6.0, 4, 400, 12 << 10
-THRESHOLDS, WHOLE_THRESHOLDS = (2, 4, 6, 8, 10, 12, 16), (2, 4, 6)
-_CACHE, _SHIFT = 300_000, 24
-_NO_LENGTH = (1 << _SHIFT) - 1
+ENCODING, SEPARATOR, CARRIER, MIN_MATCH = "utf-16-le", " ", b"." * 32, 6
+#: Words of a window when texts are scored, and when dictionaries are trained (there each word starts one).
+WINDOWS, TRAIN_WORDS = (1, 4), 2
+DICTIONARY_BYTES, TRAIN_WINDOWS, COVER, ROUNDS, MARGIN_RATIO = 110 << 10, 120_000, {"k": 2000, "d": 8}, 4, 8.0
+#: Gains in bytes, and in shares of the window's length less _FRAME bytes of what any window takes.
+THRESHOLDS, SHARES, _FRAME = (2, 3, 4, 5, 6, 8, 10, 12, 16), (0.2, 0.3, 0.4, 0.5, 0.6), 14
+_CACHE = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -58,41 +55,69 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def _segments(word: str) -> list[int]:
-    """32-bit numbers of a word's segments; borders count."""
-    marked = f"<{word}>"
-    return [zlib.crc32(marked[i : i + k].encode()) for k in SEGMENTS for i in range(len(marked) - k + 1)]
+def windows_of(words: list[str], size: int, step: int) -> list[str]:
+    """Windows of `size` words, one starting every `step`; the last may be shorter."""
+    if size == 1:
+        return words
+    return [SEPARATOR.join(words[i : i + size]) for i in range(0, max(len(words) - size + step, 1), step)] if words else []
 
 
-def _window(words: list[str]) -> bytes:
-    return SEPARATOR + SEPARATOR.join(w.encode(ENCODING) for w in words) + SEPARATOR
+def _spelled(window: str) -> bytes:
+    return f"{SEPARATOR}{window}{SEPARATOR}".encode(ENCODING)
+
+
+def _framed(window: str) -> bytes:
+    return CARRIER + _spelled(window) + CARRIER
+
+
+def train_dictionary(windows: list[str], size: int = DICTIONARY_BYTES) -> bytes:
+    """zstandard's dictionary of at most TRAIN_WINDOWS of the windows, evenly drawn; of at most
+    an eighth of their size."""
+    import zstandard
+
+    drawn = [_spelled(windows[i * len(windows) // TRAIN_WINDOWS]) for i in range(TRAIN_WINDOWS)] if len(windows) > TRAIN_WINDOWS else list(map(_spelled, windows))
+    size = min(size, sum(map(len, drawn)) // 8)
+    try:
+        return zstandard.train_dictionary(max(size, 256), drawn, **COVER).as_bytes()
+    except zstandard.ZstdError:  # too little text to train on
+        return b"".join(drawn)[: max(size, 256)]
 
 
 class _Lengths(dict):
-    """Words of a window, joined by a space -> its gain << _SHIFT, plus its length under the
-    toxic dictionary; remembered for a bounded number of windows."""
+    """window -> its compressed length with a dictionary, remembered for a bounded number."""
 
-    def __init__(self, model: dict):
+    def __init__(self, content: bytes):
         import zstandard
 
         settings = zstandard.ZstdCompressionParameters(
-            window_log=15, chain_log=13, hash_log=13, search_log=4, min_match=MIN_MATCH, target_length=64,
+            window_log=18, chain_log=16, hash_log=16, search_log=4, min_match=MIN_MATCH, target_length=64,
             strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_dict_id=False,
         )
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(compression_params=settings)
+        self.compress = zstandard.ZstdCompressor(dict_data=held, compression_params=settings).compress
+
+    def __missing__(self, window: str) -> int:
+        if len(self) >= _CACHE:
+            self.clear()
+        found = self[window] = len(self.compress(_framed(window)))
+        return found
+
+    def of(self, windows: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, windows), np.int64, len(windows))
+
 
-        def compressor(content: bytes):
-            held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            held.precompute_compress(compression_params=settings)
-            return zstandard.ZstdCompressor(dict_data=held, compression_params=settings).compress
+class _Pairs(dict):
+    """window -> its length under the ordinary dictionary << 32 and under the toxic one."""
 
-        self.toxic, self.ordinary = compressor(model["toxic"]), compressor(model["ordinary"])
+    def __init__(self, model: dict):
+        self.ordinary, self.toxic = (_Lengths(model[k]).compress for k in ("ordinary", "toxic"))
 
-    def __missing__(self, words: str) -> int:
+    def __missing__(self, window: str) -> int:
         if len(self) >= _CACHE:
             self.clear()
-        framed = CARRIER + _window(words.split(" ")) + CARRIER
-        toxic = len(self.toxic(framed))
-        found = self[words] = (len(self.ordinary(framed)) - toxic << _SHIFT) + min(toxic, _NO_LENGTH)
+        framed = _framed(window)
+        found = self[window] = len(self.ordinary(framed)) << 32 | len(self.toxic(framed))
         return found
 
 
@@ -101,25 +126,29 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.model = model
-        self.lengths = _Lengths(model) if "toxic" in model else None
-
-    def features(self, words: list[str]) -> list[float]:
-        n = WINDOW_WORDS
-        windows = words if n == 1 else [" ".join(words[i : i + n]) for i in range(0, len(words), n)]
-        both = np.array(list(map(self.lengths.__getitem__, windows)) or [_NO_LENGTH], np.int64)
-        gains, m = both >> _SHIFT, len(both)
-        whole = (both & _NO_LENGTH) <= self.model["whole"]
-        over = [float((gains >= t).sum()) for t in THRESHOLDS] + [float((whole & (gains >= t)).sum()) for t in WHOLE_THRESHOLDS]
-        return [*(math.log1p(x) for x in over), *(math.sqrt(x / m) for x in over), math.log1p(m), float(gains.mean()), float(gains.max()) / 10]
+        if "toxic" in model:
+            self.pairs = _Pairs(model)
+
+    def features(self, words: list[str]) -> np.ndarray:
+        out = []
+        for size in WINDOWS:
+            windows = windows_of(words, size, size)
+            both = np.fromiter(map(self.pairs.__getitem__, windows), np.int64, len(windows)) if windows else np.zeros(1, np.int64)
+            plain = both >> 32
+            gains = plain - (both & 0xFFFFFFFF)
+            share = gains / np.maximum(plain - _FRAME, 1)
+            over = np.array([*(np.count_nonzero(gains >= t) for t in THRESHOLDS), *(np.count_nonzero((gains >= THRESHOLDS[0]) & (share >= t)) for t in SHARES)], float)
+            out += [np.log1p(over), np.sqrt(over / len(gains)), [math.log1p(len(gains)), gains.mean(), min(int(gains.max()), 32) / 10]]
+        return np.concatenate(out)
 
     def score(self, text: str | None) -> float:
         if "weights" not in self.model:
             return self.model["share"]
-        z = (np.array(self.features(words_of(text))) - self.model["mean"]) / self.model["scale"]
+        z = (self.features(words_of(text)) - self.model["mean"]) / self.model["scale"]
         return float(1 / (1 + math.exp(-max(-500.0, min(500.0, float(z @ self.model["weights"][:-1] + self.model["weights"][-1]))))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     pull = np.r_[np.full(len(w) - 1, ridge), 1e-6]
@@ -132,73 +161,52 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
     return w
 
 
+def _margin(toxic: np.ndarray, ordinary: np.ndarray) -> int | None:
+    """The least gain that windows of toxic texts reach MARGIN_RATIO times as often as ordinary ones do."""
+    for least in range(1, int(toxic.max(initial=0)) + 1):
+        a, b = np.count_nonzero(toxic >= least), np.count_nonzero(ordinary >= least)
+        if a * (len(ordinary) + 1) >= MARGIN_RATIO * (b + 1) * len(toxic):
+            return least
+    return None
+
+
+def dictionaries(toxic: list[list[str]], ordinary: list[list[str]]) -> tuple[bytes, bytes]:
+    """The two dictionaries from the words of toxic and of ordinary texts."""
+    cut = lambda texts: [w for words in texts for w in windows_of(words, TRAIN_WORDS, 1)]
+    plain = train_dictionary(cut(ordinary[::2]))
+    under_plain, others = _Lengths(plain), cut(ordinary[1::2] or ordinary)
+    others = others[:: max(1, len(others) // (2 * TRAIN_WINDOWS))]
+    others_plain = under_plain.of(others)
+    halves = [cut(toxic[::2]), cut(toxic[1::2] or toxic)]
+    halves_plain = [under_plain.of(h) for h in halves]
+    chosen = halves
+    for _ in range(ROUNDS):
+        found = []
+        for own, own_plain, seen in zip(halves, halves_plain, chosen[::-1], strict=True):
+            lengths = _Lengths(train_dictionary(seen))
+            gains = own_plain - lengths.of(own)
+            least = _margin(gains, others_plain - lengths.of(others))
+            found.append([w for w, g in zip(own, gains.tolist(), strict=True) if g >= least] if least else [])
+        if not all(found):
+            break  # nothing stands out: the last choice stays
+        chosen = found
+    return train_dictionary(chosen[0] + chosen[1]), plain
+
+
 def train(sample: Iterable[tuple[str, int]], share: float) -> dict:
     """A model from (text, label); `share` is that of label 1 among all rows to learn from."""
-    import zstandard
-
-    # words as numbers: the driver holds each distinct word once
-    number: dict[str, int] = {}
-    coded = [(np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32), y) for t, y in sample]
-    words = list(number)
-    toxic, ordinary = ([c for c, y in coded if y == k] for k in (1, 0))
-    cut = lambda rows: -(-len(rows) * 3 // 5)
-    seen_toxic, seen_ordinary = toxic[: cut(toxic)], ordinary[: cut(ordinary)]
-    if min(len(toxic) - len(seen_toxic), len(ordinary) - len(seen_ordinary)) < 1:
+    texts: dict[int, list[list[str]]] = {0: [], 1: []}
+    for text, label in sample:
+        if words := words_of(text):
+            texts[label].append(words)
+    cut = {k: -(-len(own) * 3 // 5) for k, own in texts.items()}
+    if min(len(own) - cut[k] for k, own in texts.items()) < 1:
         return {"share": share}
-    # all words' segments in one array; a word's own stand between its starts
-    flat, ends = array("I"), array("q", [0])
-    for w in words:
-        flat.extend(_segments(w))
-        ends.append(len(flat))
-    of, starts = np.frombuffer(flat, np.uint32) if len(flat) else np.empty(0, np.uint32), np.frombuffer(ends, np.int64)
-
-    def texts_with(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Segments and in how many texts each is; a few hundred texts at a time."""
-        found, counts = np.empty(0, np.uint32), np.empty(0, np.int64)
-        for k in range(0, len(rows), 300):
-            each = [np.unique(np.concatenate([of[starts[w] : starts[w + 1]] for w in np.unique(c)])) for c in rows[k : k + 300] if len(c)]
-            new, n = np.unique(np.concatenate([found[:0], *each]), return_counts=True)
-            del each
-            merged, place = np.unique(np.concatenate([found, new]), return_inverse=True)
-            counts = np.bincount(place, np.concatenate([counts, n]), len(merged)).astype(np.int64)
-            found = merged
-        return found, counts
-
-    segments, a = texts_with(seen_toxic)
-    others, n_others = texts_with(seen_ordinary)
-    at = np.minimum(np.searchsorted(others, segments), max(len(others) - 1, 0))
-    b = np.where(others[at] == segments, n_others[at], 0) if len(others) else np.zeros(len(segments))
-    n_a, n_b = len(seen_toxic), len(seen_ordinary)
-    p = (a + b) / (n_a + n_b)
-    z = (a / n_a - b / n_b) / np.sqrt(p * (1 - p) * (1 / n_a + 1 / n_b) + 1e-12)
-    marked = segments[(a >= MIN_TEXTS) & (z >= MIN_Z)]
-    is_hit = np.zeros(len(words), bool)
-    for k in range(0, len(of) if len(marked) else 0, 1 << 19):
-        part = of[k : k + (1 << 19)]
-        at = np.minimum(np.searchsorted(marked, part), len(marked) - 1)
-        # the word of a place is the last that starts at or before it; short words have no segment
-        is_hit[np.searchsorted(starts, np.flatnonzero(marked[at] == part) + k, side="right") - 1] = True
-    del flat, of, segments, others
-    in_texts = np.bincount(np.concatenate([np.unique(c) for c in seen_toxic]), minlength=len(words)) * is_hit
-    everywhere = np.bincount(np.concatenate(seen_ordinary), minlength=len(words))
-    first = lambda counts, n: [words[k] for k in sorted(np.flatnonzero(counts).tolist(), key=lambda k: (-counts[k], words[k]))[:n]]
-    passages = first(in_texts, MOST_PASSAGES)
-    plain = first(everywhere, len(passages))
-    runs: list[bytes] = []
-    for c in seen_ordinary:
-        runs += [_window([words[w] for w in c[i : i + 8]]) for i in range(0, len(c), 8)]
-        if len(runs) >= 60_000:
-            break
-    try:
-        body = zstandard.train_dictionary(BODY_BYTES, runs[:60_000]).as_bytes()
-    except zstandard.ZstdError:  # too little text to train on
-        body = b"".join(runs)[:BODY_BYTES]
-    model = {"share": share, "toxic": body + _window(passages[::-1]) + CARRIER, "ordinary": body + _window(plain[::-1]) + CARRIER}
-    own = Scorer(model | {"whole": 0})
-    model["whole"] = float(np.median([own.lengths[w] & _NO_LENGTH for w in passages])) if passages else 0.0
+    toxic, ordinary = dictionaries(texts[1][: cut[1]], texts[0][: cut[0]])
+    model = {"share": share, "toxic": toxic, "ordinary": ordinary}
     scorer = Scorer(model)
-    rest = [(c, 1) for c in toxic[len(seen_toxic) :]] + [(c, 0) for c in ordinary[len(seen_ordinary) :]]
-    x, y = np.array([scorer.features([words[w] for w in c]) for c, _ in rest]), np.array([k for _, k in rest], float)
+    rest = [(words, k) for k in (1, 0) for words in texts[k][cut[k] :]]
+    x, y = np.array([scorer.features(words) for words, _ in rest]), np.array([k for _, k in rest], float)
     # the sample has each label to its own bound; weights bring back the true share
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     mean, scale = x.mean(0), x.std(0) + 1e-6

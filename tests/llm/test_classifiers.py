@@ -162,6 +162,61 @@ def test_more_labels_than_the_bound_are_an_error(spark):
         langid.fit(docs, most_langs=2)
 
 
+def test_toxicity_scores_against_a_plain_version(spark):
+    """Each window compressed anew, thresholds counted one by one."""
+    import zstandard
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
+    assert model["toxic"] != model["ordinary"]
+    # the two dictionaries share no body
+    shared = {model["toxic"][i : i + 64] for i in range(len(model["toxic"]) - 64)} & {model["ordinary"][i : i + 64] for i in range(len(model["ordinary"]) - 64)}
+    assert len(shared) < 0.05 * len(model["toxic"])
+
+    def length(content, window):
+        settings = zstandard.ZstdCompressionParameters(
+            window_log=18, chain_log=16, hash_log=16, search_log=4, min_match=6, target_length=64, strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_dict_id=False
+        )
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(compression_params=settings)
+        return len(zstandard.ZstdCompressor(dict_data=held, compression_params=settings).compress(b"." * 32 + f" {window} ".encode("utf-16-le") + b"." * 32))
+
+    def plain(text):
+        words, z = toxicity.words_of(text), []
+        for size in (1, 4):
+            windows = [" ".join(words[i : i + size]) for i in range(0, len(words), size)]
+            pairs = [(length(model["ordinary"], w), length(model["toxic"], w)) for w in windows] or [(0, 0)]
+            gains = [a - b for a, b in pairs]
+            counts = [sum(g >= t for g in gains) for t in toxicity.THRESHOLDS]
+            counts += [sum(g >= toxicity.THRESHOLDS[0] and g >= t * max(a - toxicity._FRAME, 1) for g, (a, _) in zip(gains, pairs, strict=True)) for t in toxicity.SHARES]
+            z += [np.log1p(c) for c in counts] + [(c / len(gains)) ** 0.5 for c in counts] + [np.log1p(len(gains)), sum(gains) / len(gains), min(max(gains), 32) / 10]
+        z = (np.array(z) - model["mean"]) / model["scale"]
+        return 1 / (1 + np.exp(-(z @ model["weights"][:-1] + model["weights"][-1])))
+
+    texts = [r.text for r in docs.filter("length(text) < 400").orderBy("doc_id").limit(25).collect()] + ["", None, "you idiot you moron"]
+    scorer = toxicity.Scorer(model)
+    assert np.allclose([scorer.score(t) for t in texts], [plain(t) for t in texts], atol=1e-9)
+
+
+def test_toxic_phrases_of_ordinary_words_are_learned():
+    """No word tells these texts apart, only words that stand together; few and many texts."""
+    rng = np.random.default_rng(1)
+    common_words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(40)]
+    phrase = common_words[:4]
+
+    def text(toxic):
+        words = list(rng.choice(common_words, 30))
+        for at in (8, 20) if toxic else ():
+            words[at : at + 4] = phrase
+        return " ".join(words)
+
+    for n in (60, 400):
+        model = toxicity.train([(text(k), k) for k in (0, 1) for _ in range(n)], 0.5)
+        scorer = toxicity.Scorer(model)
+        found = [[scorer.score(text(k)) >= 0.5 for _ in range(60)] for k in (0, 1)]
+        assert np.mean(found[1]) - np.mean(found[0]) > 0.3
+
+
 def test_quality_scores_against_a_plain_version():
     """Random indexing, pooling and the network, one occurrence at a time."""
     rng = np.random.default_rng(0)
