@@ -1,5 +1,6 @@
 """Held-out accuracy of the trained operators, and their edge cases."""
 
+import itertools
 import zlib
 
 import numpy as np
@@ -67,20 +68,56 @@ def test_code_switched_text(spark):
     assert labeller.label([None, "", "12 .", "é"])[:3] == [("und", 0.0, [])] * 3
 
 
+def plain_chain(scores, start, step):
+    """Forward-backward over one whole chain, word by word."""
+    psi = np.exp(scores)
+    ahead, back = np.empty_like(psi), np.ones_like(psi)
+    ahead[0] = start * psi[0] / (start * psi[0]).sum()
+    for t in range(1, len(psi)):
+        ahead[t] = (ahead[t - 1] @ step) * psi[t]
+        ahead[t] /= ahead[t].sum()
+    for t in range(len(psi) - 2, -1, -1):
+        back[t] = step @ (psi[t + 1] * back[t + 1])
+        back[t] /= back[t].sum()
+    both = ahead * back
+    return both / both.sum(1, keepdims=True)
+
+
 def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(0)
-    scores, start, trans = rng.normal(size=(1, 4, 3)), rng.normal(size=3), rng.normal(size=(3, 3))
-    mask = np.array([[True, True, True, False]])
+    scores, start, step = rng.normal(size=(3, 3)), np.exp(rng.normal(size=3)), np.exp(rng.normal(size=(3, 3)))
     want = np.zeros((3, 3))
-    for a in range(3):
-        for b in range(3):
-            for c in range(3):
-                w = np.exp(start[a] + scores[0, 0, a] + trans[a, b] + scores[0, 1, b] + trans[b, c] + scores[0, 2, c])
-                want[0, a] += w
-                want[1, b] += w
-                want[2, c] += w
-    p = langid.forward_backward(scores * mask[..., None], mask, start, trans)[0]
-    assert np.allclose(p[0, :3], want / want.sum(1, keepdims=True))
+    for path in itertools.product(range(3), repeat=3):
+        a, b, c = path
+        w = start[a] * np.exp(scores[0, a]) * step[a, b] * np.exp(scores[1, b]) * step[b, c] * np.exp(scores[2, c])
+        for t, k in enumerate(path):
+            want[t, k] += w
+    want /= want.sum(1, keepdims=True)
+    assert np.allclose(plain_chain(scores, start, step), want)
+    assert np.allclose(langid.whole_chains(scores, [3], step, start[None], np.ones((1, 3))), want)
+
+
+@pytest.mark.parametrize("langs", [1, 2, 5])
+def test_chains_are_whole_whatever_their_length(langs):
+    rng = np.random.default_rng(langs)
+    sizes = [1, 63, 64, 65, 128, 129, 700, 2]
+    scores, start, step = rng.normal(size=(sum(sizes), langs)), np.exp(rng.normal(size=langs)), np.exp(2 * rng.normal(size=(langs, langs)))
+    found = langid.whole_chains(scores, sizes, step, np.tile(start, (len(sizes), 1)), np.ones((len(sizes), langs)))
+    want = np.concatenate([plain_chain(part, start, step) for part in np.split(scores, np.cumsum(sizes)[:-1])])
+    assert np.allclose(found, want, atol=1e-12)
+
+
+def test_a_long_text_is_one_chain_in_parts(monkeypatch):
+    rng = np.random.default_rng(5)
+    run = lambda letters, n: "".join(rng.choice(list(letters), n))
+    model = langid.train([(" ".join(run(letters, 3) for _ in range(60)), lang) for lang, letters in (("aa", "abcd"), ("bb", "cdef"), ("cc", "efga")) for _ in range(20)])
+    words = langid.words_of(" ".join(run("abcdefg", 3) for _ in range(2000)))
+    labeller = langid.Labeller(model)
+    want = plain_chain(labeller._scores(words), model["start"], model["step"])
+    whole = labeller.probabilities([words])[0]
+    assert np.allclose(whole, want, atol=1e-12)
+    monkeypatch.setattr(langid, "_GROUP", 320)
+    assert np.allclose(labeller.probabilities([words])[0], want, atol=1e-12)
 
 
 @pytest.mark.parametrize("module", [quality, toxicity])
@@ -138,12 +175,18 @@ def test_temperature_and_share_calibrate():
 def test_every_letter_of_a_long_run_counts():
     word = "".join(chr(0x4E00 + i) for i in range(1000))
     pieces = langid.words_of(word)
-    assert "".join(pieces).replace("-", "") == word and max(len(p.strip("-")) for p in pieces) <= langid.PIECE
-    assert langid.words_of("kurz " + "x" * 16) == ["kurz", "x" * 16] and langid.words_of("x" * 17) == ["x" * 8 + "-", "-" + "x" * 9]
-    for piece in (*pieces, "abcdefghijklmnop"):
-        own = piece.strip("-")
-        rows = set(langid.feature_rows(piece, {piece: 0}))
-        assert len(rows) <= langid.MOST_FEATURES and all(langid._rows[a + b] in rows for a, b in zip(own, own[1:], strict=False))
+    bodies = [p.rpartition("+")[2].removesuffix("-") for p in pieces]
+    assert "".join(bodies) == word and max(map(len, bodies)) <= langid.PIECE
+    assert langid.words_of("kurz " + "x" * 16) == ["kurz", "x" * 16] and langid.words_of("x" * 17) == ["x" * 8 + "-", "xx+" + "x" * 9]
+    for whole in (word, "donaudampfschifffahrtsge", "abcdefghijklmnop", "ab", "a"):
+        own = langid.words_of(whole)
+        rows = [langid.feature_rows(p, {p: 0}) for p in own]
+        assert max(map(len, rows)) <= langid.MOST_FEATURES
+        marked = f"<{whole}>"
+        names = {marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1)}
+        names |= {"p" + whole[:n] for n in (1, 2, 3)} | {"s" + whole[-n:] for n in (1, 2, 3)}
+        # all features of the word, and no others
+        assert {r for found in rows for r in found if r < langid.ROWS} == {langid._rows[n] for n in names}
     rng = np.random.default_rng(3)
     run = lambda letters, n: "".join(rng.choice(list(letters), n))
     model = langid.train([(" ".join(run(letters, 9) for _ in range(40)), lang) for lang, letters in (("aa", "abcdefg"), ("bb", "pqrstuv")) for _ in range(30)])
