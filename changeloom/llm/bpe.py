@@ -13,7 +13,7 @@ whatever the vocabulary's size.
 Only distinct words are folded:
 1. The corpus' words are counted, all of them, and the most frequent ones folded once
    and broadcast as flat arrays: at most HOT_WORDS words of at most HOT_BYTES bytes, which
-   bounds the broadcast, whatever the corpus.
+   bounds the broadcast, whatever the corpus. One task lays the arrays out.
 2. The other words are folded once for each slice of about SLICE_BYTES of a partition's
    texts: rows of words go ahead of the slice's documents, in the same task.
 So no word's places are ever shuffled; the counts are all that moves.
@@ -26,8 +26,9 @@ literal array; `encode` also in the task that has the ids, by position in flat a
 
 Cases: null and empty texts have no ids and decode to no bytes; every id sequence of
 `encode` decodes to the text's bytes; ids out of the vocabulary decode to null; special
-tokens' strings are ordinary text; an empty table gives an empty result; other columns
-pass or are ignored, whatever their names. The vocabulary's path is a parameter.
+tokens' strings are ordinary text; repeated rows give repeated results; texts of any length
+that Arrow holds (2 GB, also of their ids and bytes) are encoded whole, a longer one fails;
+an empty table gives an empty result; other columns pass or are ignored, whatever their names. The vocabulary's path is a parameter.
 """
 
 from __future__ import annotations
@@ -35,12 +36,14 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import pickle
 import re
 from collections import Counter
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,7 +52,7 @@ from pyspark.sql import functions as F
 from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-HOT_WORDS, HOT_BYTES, LONG = 3 << 19, 32, 64
+HOT_WORDS, HOT_BYTES, LONG = 3 << 18, 32, 64
 SLICE_BYTES, COUNT_WORDS, TAIL_ROW = 8 << 20, 200_000, 1000
 
 
@@ -226,19 +229,17 @@ class HotWords:
     """Ids of a bounded number of words in flat arrays: found by hash, confirmed by bytes."""
 
     def __init__(self, words: pa.Array, ids: pa.Array):
-        words = words.cast(pa.large_binary())
-        self.byte_starts = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1].copy() if len(words) else np.zeros(1, np.int64)
-        self.bytes = words.buffers()[2].to_pybytes() if len(words) else b""
         hashes = np.empty(len(words), np.uint64)
         for k in range(0, len(words), 1 << 16):
-            cuts = self.byte_starts[k : k + (1 << 16) + 1].tolist()
-            hashes[k : k + (1 << 16)] = [xxhash.xxh64_intdigest(self.bytes[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        # of words with one hash the first stays; the others are folded where they occur
+            hashes[k : k + (1 << 16)] = [xxhash.xxh64_intdigest(w) for w in words.slice(k, 1 << 16).cast(pa.binary()).to_pylist()]
+        # in order of hashes; of words with one hash the first stays, the others are folded where they occur
         self.hashes, order = np.unique(hashes, return_index=True)
-        self.order = order.astype(np.int32)
+        words, ids = words.take(pa.array(order)), ids.take(pa.array(order))
+        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.byte_starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        self.bytes = b"".join(words.cast(pa.binary()).to_pylist())
         self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-        ends = ids.offsets.to_numpy().astype(np.int64)
-        self.id_starts, self.id_sizes = ends[:-1] - ends[0], np.diff(ends)
+        self.id_starts = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))]).astype(np.int32)
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """The number of each word, or -1."""
@@ -246,7 +247,7 @@ class HotWords:
             return np.full(len(words), -1)
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
         place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        at = np.where(self.hashes[place] == hashes, self.order[place], -1)
+        at = np.where(self.hashes[place] == hashes, place, -1)
         begin, end, held = self.byte_starts[at].tolist(), self.byte_starts[at + 1].tolist(), self.bytes
         for k in np.flatnonzero(at >= 0).tolist():
             if held[begin[k] : end[k]] != words[k]:
@@ -256,7 +257,9 @@ class HotWords:
 
 def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> HotWords:
     """The most frequent words, folded; `most` at most. Where equal frequencies would pass the
-    bound they are left out, all of them: such words are folded where they occur."""
+    bound they are left out, all of them: such words are folded where they occur.
+
+    One task lays them out in arrays; the driver gets these and passes them on."""
     short = counts.filter(F.octet_length("word") <= HOT_BYTES)
     level = F.floor(F.log2(F.col("n").cast("double")) * 16)
     left, least = most, None
@@ -267,10 +270,15 @@ def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> HotWords:
         least = row["level"]
     if least is None:
         return HotWords(pa.array([], pa.string()), pa.array([], pa.list_(pa.int32())))
-    chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).cast("array<int>").alias("ids")).toArrow()
-    words, ids = chosen.column("word").combine_chunks(), chosen.column("ids").combine_chunks()
-    del chosen
-    return HotWords(words, ids)
+
+    def lay_out(batches):
+        rows = pa.Table.from_batches(batches, pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32()))])).combine_chunks()
+        made = HotWords(*(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rows.columns))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["made"])
+
+    chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).cast("array<int>").alias("ids"))
+    # sorted, so that the table does not depend on the order of arrival
+    return pickle.loads(chosen.repartition(1).sortWithinPartitions("word").mapInArrow(common.tidy(lay_out), "made binary").first().made)
 
 
 class _Pieces:
@@ -340,7 +348,8 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
                 at = table.find(raw)
                 # hot words give their ids, the k-th other word gives -1-k until it is folded
                 other = np.flatnonzero(at < 0)
-                begin, sizes = (table.id_starts[at], table.id_sizes[at]) if len(table.hashes) else (np.zeros(len(at), np.int64), np.ones(len(at), np.int64))
+                begin = table.id_starts[at].astype(np.int64)
+                sizes = table.id_starts[np.minimum(at + 1, len(table.hashes))] - begin
                 source = np.concatenate([table.ids, -1 - np.arange(len(other), dtype=np.int32)]).astype(np.int32)
                 begin[other], sizes[other] = len(table.ids) + np.arange(len(other)), 1
                 tail = [raw[k] for k in other.tolist()]

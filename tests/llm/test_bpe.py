@@ -70,7 +70,19 @@ def test_hot_words_are_bounded_and_exact(spark):
     assert (at >= 0).tolist() == [w != b" dog" for w in words]
     for w, k in zip(words, at, strict=True):
         if k >= 0:
-            assert hot.ids[hot.id_starts[k] : hot.id_starts[k] + hot.id_sizes[k]].tolist() == OWN.encode_ordinary(w.decode())
+            assert hot.ids[hot.id_starts[k] : hot.id_starts[k + 1]].tolist() == OWN.encode_ordinary(w.decode())
+
+
+def test_very_long_texts_and_repeated_rows(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 12))) for _ in range(5000)]
+    long = " ".join(rng.choice(words) for _ in range(250_000))
+    docs = spark.createDataFrame([(1, long), (1, long), (2, "e" * 30_000), (None, "same"), (None, "same"), (None, None)], "doc_id long, text string")
+    out = bpe.digests(docs).collect()
+    ids = lambda text: hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in OWN.encode_ordinary(text))).hexdigest()
+    want = [(1, ids(long), long), (1, ids(long), long), (2, ids("e" * 30_000), "e" * 30_000), (None, ids("same"), "same"), (None, ids("same"), "same"), (None, ids(""), "")]
+    spell = lambda rows: sorted((str(a), b, c) for a, b, c in rows)
+    assert spell((r.doc_id, r.ids_sha256, r.decoded_sha256) for r in out) == spell((i, a, hashlib.sha256(t.encode()).hexdigest()) for i, a, t in want)
 
 
 def test_empty_table_and_unknown_ids(spark):
