@@ -41,12 +41,13 @@ from . import common
 
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 8 << 20
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
-ENCODING, SEPARATOR, CARRIER, MIN_MATCH = "utf-16-le", " ", b"." * 32, 6
+ENCODING, SEPARATOR, CARRIER = "utf-16-le", " ", b"." * 32
+STRATEGY, SEARCH_LOG, MIN_MATCH = "STRATEGY_LAZY", 3, 6
 #: Words of a window when texts are scored, and when dictionaries are trained (there each word starts one).
-WINDOWS, TRAIN_WORDS = (1, 4), 2
+WINDOWS, TRAIN_WORDS = (1, 8), 2
 DICTIONARY_BYTES, TRAIN_WINDOWS, COVER, ROUNDS, MARGIN_RATIO = 110 << 10, 120_000, {"k": 2000, "d": 8}, 4, 8.0
-#: Gains in bytes, and in shares of the window's length less _FRAME bytes of what any window takes.
-THRESHOLDS, SHARES, _FRAME = (2, 3, 4, 5, 6, 8, 10, 12, 16), (0.2, 0.3, 0.4, 0.5, 0.6), 14
+#: Gains in bytes, and in tenths of the window's length less _FRAME bytes of what any window takes.
+THRESHOLDS, SHARES, _FRAME = (2, 3, 4, 5, 6, 8, 10, 12, 16), (2, 3, 4, 5, 6), 14
 _CACHE = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -72,11 +73,11 @@ def _framed(window: str) -> bytes:
 
 def train_dictionary(windows: list[str], size: int = DICTIONARY_BYTES) -> bytes:
     """zstandard's dictionary of at most TRAIN_WINDOWS of the windows, evenly drawn; of at most
-    an eighth of their size."""
+    half their size."""
     import zstandard
 
     drawn = [_spelled(windows[i * len(windows) // TRAIN_WINDOWS]) for i in range(TRAIN_WINDOWS)] if len(windows) > TRAIN_WINDOWS else list(map(_spelled, windows))
-    size = min(size, sum(map(len, drawn)) // 8)
+    size = min(size, sum(map(len, drawn)) // 2)
     try:
         return zstandard.train_dictionary(max(size, 256), drawn, **COVER).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
@@ -90,8 +91,8 @@ class _Lengths(dict):
         import zstandard
 
         settings = zstandard.ZstdCompressionParameters(
-            window_log=18, chain_log=16, hash_log=16, search_log=4, min_match=MIN_MATCH, target_length=64,
-            strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_dict_id=False,
+            window_log=18, chain_log=16, hash_log=16, search_log=SEARCH_LOG, min_match=MIN_MATCH, target_length=64,
+            strategy=getattr(zstandard, STRATEGY), write_content_size=False, write_dict_id=False,
         )
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         held.precompute_compress(compression_params=settings)
@@ -136,9 +137,11 @@ class Scorer:
             both = np.fromiter(map(self.pairs.__getitem__, windows), np.int64, len(windows)) if windows else np.zeros(1, np.int64)
             plain = both >> 32
             gains = plain - (both & 0xFFFFFFFF)
-            share = gains / np.maximum(plain - _FRAME, 1)
-            over = np.array([*(np.count_nonzero(gains >= t) for t in THRESHOLDS), *(np.count_nonzero((gains >= THRESHOLDS[0]) & (share >= t)) for t in SHARES)], float)
-            out += [np.log1p(over), np.sqrt(over / len(gains)), [math.log1p(len(gains)), gains.mean(), min(int(gains.max()), 32) / 10]]
+            tenths = np.minimum(10 * gains // np.maximum(plain - _FRAME, 1), 10)[gains >= THRESHOLDS[0]]
+            most = int(gains.max())
+            at_least = lambda values, top: np.bincount(np.maximum(values, 0), minlength=top + 1)[::-1].cumsum()[::-1]
+            over = np.concatenate([at_least(np.minimum(gains, 32), 32)[list(THRESHOLDS)], at_least(tenths, 10)[list(SHARES)]]).astype(float)
+            out += [np.log1p(over), np.sqrt(over / len(gains)), [math.log1p(len(gains)), gains.mean(), min(most, 32) / 10]]
         return np.concatenate(out)
 
     def score(self, text: str | None) -> float:

@@ -218,7 +218,7 @@ def test_toxicity_scores_against_a_plain_version(spark):
 
     def length(content, window):
         settings = zstandard.ZstdCompressionParameters(
-            window_log=18, chain_log=16, hash_log=16, search_log=4, min_match=6, target_length=64, strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_dict_id=False
+            window_log=18, chain_log=16, hash_log=16, search_log=3, min_match=6, target_length=64, strategy=zstandard.STRATEGY_LAZY, write_content_size=False, write_dict_id=False
         )
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         held.precompute_compress(compression_params=settings)
@@ -226,12 +226,12 @@ def test_toxicity_scores_against_a_plain_version(spark):
 
     def plain(text):
         words, z = toxicity.words_of(text), []
-        for size in (1, 4):
+        for size in (1, 8):
             windows = [" ".join(words[i : i + size]) for i in range(0, len(words), size)]
             pairs = [(length(model["ordinary"], w), length(model["toxic"], w)) for w in windows] or [(0, 0)]
             gains = [a - b for a, b in pairs]
             counts = [sum(g >= t for g in gains) for t in toxicity.THRESHOLDS]
-            counts += [sum(g >= toxicity.THRESHOLDS[0] and g >= t * max(a - toxicity._FRAME, 1) for g, (a, _) in zip(gains, pairs, strict=True)) for t in toxicity.SHARES]
+            counts += [sum(g >= toxicity.THRESHOLDS[0] and 10 * g >= t * max(a - toxicity._FRAME, 1) for g, (a, _) in zip(gains, pairs, strict=True)) for t in toxicity.SHARES]
             z += [np.log1p(c) for c in counts] + [(c / len(gains)) ** 0.5 for c in counts] + [np.log1p(len(gains)), sum(gains) / len(gains), min(max(gains), 32) / 10]
         z = (np.array(z) - model["mean"]) / model["scale"]
         return 1 / (1 + np.exp(-(z @ model["weights"][:-1] + model["weights"][-1])))
