@@ -13,7 +13,7 @@ whatever the vocabulary's size.
 Only distinct words are folded:
 1. The corpus' words are counted, all of them, and the most frequent ones folded once
    and broadcast as flat arrays: at most HOT_WORDS words of at most HOT_BYTES bytes, which
-   bounds the broadcast, whatever the corpus. One task lays the arrays out.
+   bounds the broadcast, whatever the corpus (words of fewer than HOT_COUNT places are not). One task lays the arrays out.
 2. The other words are folded once for each slice of about SLICE_BYTES of a partition's
    texts: rows of words go ahead of the slice's documents, in the same task.
 So no word's places are ever shuffled; the counts are all that moves.
@@ -52,8 +52,9 @@ from pyspark.sql import functions as F
 from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-HOT_WORDS, HOT_BYTES, LONG = 3 << 18, 32, 64
-SLICE_BYTES, COUNT_WORDS, TAIL_ROW = 8 << 20, 200_000, 1000
+HOT_WORDS, HOT_COUNT, HOT_BYTES, LONG = 1 << 19, 4, 32, 64
+SLICE_BYTES, COUNT_WORDS, TAIL_ROW = 16 << 20, 200_000, 1000
+assert LONG <= 1 << 8  # places in a word have eight bits
 
 
 @cache
@@ -97,15 +98,16 @@ def _hash(a: int, b: int) -> int:
     return xxhash.xxh64_intdigest(b.to_bytes(8, "little"), seed=xxhash.xxh64_intdigest(a.to_bytes(8, "little"), seed=42))
 
 
-_EMPTY = 1 << 62
+#: An entry of the pair table: a << _A | b << _B | rank << _PLACE_BITS; below is room for a place in a word.
+_A, _B, _PLACE_BITS, _EMPTY = 40, 24, 8, 1 << 62
 
 
 @cache
 def _pair_table(path: str) -> tuple[str, str, int, int]:
     """A perfect hash table of all pairs of tokens whose joined bytes are a token.
 
-    An entry is a << 32 | b << 16 | rank. Pairs of one bucket are moved together by an
-    exclusive or with the bucket's displacement, the first that brings all to free places.
+    Pairs of one bucket are moved together by an exclusive or with the bucket's displacement,
+    the first that brings all to free places.
     """
     ranks = load_ranks(path)
     if max(ranks.values()) >= 1 << 16:
@@ -120,7 +122,7 @@ def _pair_table(path: str) -> tuple[str, str, int, int]:
     n_buckets = size >> 2
     buckets: dict[int, list[tuple[int, int, int]]] = {}
     for (a, b), rank in pairs.items():
-        buckets.setdefault(a * 7 + b & n_buckets - 1, []).append((_hash(a, b) & size - 1, a << 32 | b << 16, rank))
+        buckets.setdefault(a * 7 + b & n_buckets - 1, []).append((_hash(a, b) & size - 1, a << _A | b << _B, rank))
     table, moves = [_EMPTY] * size, [0] * n_buckets
     for k, own in sorted(buckets.items(), key=lambda kv: -len(kv[1])):
         if len({base for base, _, _ in own}) < len(own):
@@ -128,7 +130,7 @@ def _pair_table(path: str) -> tuple[str, str, int, int]:
         move = next(m for m in range(size) if all(table[base ^ m] == _EMPTY for base, _, _ in own))
         moves[k] = move
         for base, pair, rank in own:
-            table[base ^ move] = pair | rank
+            table[base ^ move] = pair | rank << _PLACE_BITS
     compact = lambda x: json.dumps(x, separators=(",", ":"))
     return compact(table), compact(moves), size, n_buckets
 
@@ -137,32 +139,31 @@ def _let(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-_NO_RANK = 1 << 16
-
-
 def fold_merges(word: Column, path: str) -> Column:
-    """Ids (array<bigint>) of one word given as an array of its bytes (bigints 0 to 255)."""
+    """Ids (array<bigint>) of one word given as an array of its bytes (bigints 0 to 255), at most 2^_PLACE_BITS of them."""
     entries, moves, size, n_buckets = _pair_table(path)
     # constants: parsed once, when the plan is optimised
     table = F.from_json(F.lit(entries), "array<bigint>")
     move = F.from_json(F.lit(moves), "array<bigint>")
     ranks = load_ranks(path)
     of_byte = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<bigint>")
+    found = 1 << _B
 
-    def rank(a: Column, b: Column) -> Column:
-        """The pair's rank, or a number of _NO_RANK or more: an entry of another pair differs above."""
-        place = F.xxhash64(a, b).bitwiseAND(size - 1).bitwiseXOR(move[(a * 7 + b).bitwiseAND(n_buckets - 1)])
-        return table[place].bitwiseXOR(F.shiftleft(a, 32) + F.shiftleft(b, 16))
+    def rank(a: Column, b: Column, place: Column) -> Column:
+        """rank << _PLACE_BITS | place, or a number of 2^_B or more (an entry of another pair
+        differs above), or null without a second part."""
+        at = F.xxhash64(a, b).bitwiseAND(size - 1).bitwiseXOR(move[(a * 7 + b).bitwiseAND(n_buckets - 1)])
+        return table[at].bitwiseXOR(F.shiftleft(a, _A) + F.shiftleft(b, _B) + place)
 
     def step(parts: Column, _: Column) -> Column:
         """The leftmost pair of least rank joined; where no pair has a rank, the same parts."""
-        found = F.zip_with(F.slice(parts, F.lit(1), F.size(parts) - 1), F.slice(parts, F.lit(2), F.size(parts)), rank)
-        joined = lambda least, at: F.concat(F.slice(parts, F.lit(1), at - 1), F.array(least), F.slice(parts, at + 2, F.size(parts)))
-        merge = lambda ranks_: _let(
-            F.array_min(ranks_),
-            lambda least: F.when(least >= _NO_RANK, parts).otherwise(_let(F.array_position(ranks_, least).cast("int"), lambda at: joined(least, at))),
-        )
-        return F.when(F.size(parts) < 2, parts).otherwise(_let(found, merge))
+        every = F.transform(parts, lambda a, i: rank(a, F.get(parts, i + 1), i))
+
+        def joined(least: Column) -> Column:
+            at = least.bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
+            return F.concat(F.slice(parts, F.lit(1), at), F.array(F.shiftright(least, _PLACE_BITS)), F.slice(parts, at + 3, F.size(parts)))
+
+        return _let(F.array_min(every), lambda least: F.when(least < found, joined(least)).otherwise(parts))
 
     def fold(ids: Column) -> Column:
         return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(ids), F.lit(2))), ids, step)
@@ -255,12 +256,13 @@ class HotWords:
         return at
 
 
-def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> HotWords:
-    """The most frequent words, folded; `most` at most. Where equal frequencies would pass the
-    bound they are left out, all of them: such words are folded where they occur.
+def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS, least_count: int = HOT_COUNT) -> HotWords:
+    """The most frequent words, folded; `most` at most, each at least `least_count` times in the
+    corpus. Where equal frequencies would pass the bound they are left out, all of them: such
+    words are folded where they occur.
 
     One task lays them out in arrays; the driver gets these and passes them on."""
-    short = counts.filter(F.octet_length("word") <= HOT_BYTES)
+    short = counts.filter((F.octet_length("word") <= HOT_BYTES) & (F.col("n") >= least_count))
     level = F.floor(F.log2(F.col("n").cast("double")) * 16)
     left, least = most, None
     for row in short.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
@@ -278,7 +280,8 @@ def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS) -> HotWords:
 
     chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).cast("array<int>").alias("ids"))
     # sorted, so that the table does not depend on the order of arrival
-    return pickle.loads(chosen.repartition(1).sortWithinPartitions("word").mapInArrow(common.tidy(lay_out), "made binary").first().made)
+    made = chosen.repartition(1).sortWithinPartitions("word").mapInArrow(common.tidy(lay_out), "made binary").toArrow()
+    return pickle.loads(made.column("made")[0].as_buffer())
 
 
 class _Pieces:

@@ -63,8 +63,9 @@ def test_hot_words_are_bounded_and_exact(spark):
     counts = bpe.word_counts(docs)
     assert {r.word: r.n for r in counts.collect()} == {"the": 3, " cat": 3, " sat": 3, " on": 3, " the": 3, " mat": 3}
     path = P.path(bpe.VOCABULARY)
-    assert len(bpe.hot_words(counts, path, most=5).hashes) == 0
-    hot = bpe.hot_words(counts, path, most=6)
+    assert len(bpe.hot_words(counts, path, most=5, least_count=1).hashes) == 0
+    assert len(bpe.hot_words(counts, path, most=9).hashes) == 0  # three places are too few
+    hot = bpe.hot_words(counts, path, most=6, least_count=3)
     words = [b"the", b" cat", b" dog", b" sat", b" on", b" the", b" mat"]
     at = hot.find(words)
     assert (at >= 0).tolist() == [w != b" dog" for w in words]
