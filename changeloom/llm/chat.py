@@ -12,7 +12,8 @@ backslash, so the two maps are inverse on every text, and an escaped text holds
 mark. A turn is first rendered as it is and parsed; only where the recovered turn
 differs from its source, or a mark remains inside it, is it rendered again with its
 content escaped. Escaping once is enough by the argument above; `max_rounds` bounds
-the loop and `round_trip` tells whether the whole conversation was recovered.
+the loop and `round_trip` tells whether the whole conversation was recovered; the query
+returns it.
 
 Cases: null text and null role are empty strings; null conv_id is one conversation
 of its own; null turns come first; equal turns go by role, then text, and repeated
@@ -134,13 +135,13 @@ def format_conversations(rows: DataFrame, loss_roles: tuple[str, ...] = ("assist
     whole = runs.groupBy("conv_id").agg(F.sort_array(F.collect_list("r")).alias("rs"))
     # where each run starts, then where each turn starts in its run: two short prefix sums
     run_sizes = F.transform("rs", lambda r: F.octet_length(r["rendered"]).cast("long"))
-    whole = whole.withColumn("run_starts", _starts(run_sizes))
+    whole = whole.withColumn("run_starts", common.running_sums(run_sizes))
     spans = F.flatten(
         F.transform(
             "rs",
             lambda r, i: F.filter(
                 F.transform(
-                    F.arrays_zip(r["bodies"].alias("body"), _starts(F.transform(r["sizes"], lambda s: s.cast("long"))).alias("start")),
+                    F.arrays_zip(r["bodies"].alias("body"), common.running_sums(F.transform(r["sizes"], lambda s: s.cast("long"))).alias("start")),
                     lambda z: F.when(
                         z["body"]["loss"],
                         F.struct(
@@ -168,25 +169,6 @@ def format_conversations(rows: DataFrame, loss_roles: tuple[str, ...] = ("assist
     )
 
 
-def _starts(sizes: Column) -> Column:
-    """Exclusive prefix sums. A run has at most a few dozen turns; for longer arrays
-    the sums of blocks keep this far from quadratic."""
-    block = 64
-    n = F.size(sizes)
-    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
-    indices = lambda count: F.filter(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: i < count)
-    blocks = F.transform(indices(F.ceil(n / block).cast("int")), lambda b: F.slice(sizes, b * block + 1, F.lit(block)))
-    return F.flatten(
-        F.transform(
-            blocks,
-            lambda part, b: F.transform(
-                F.array(total(F.slice(sizes, F.lit(1), b * block))),
-                lambda base: F.transform(part, lambda _, i: base + total(F.slice(part, F.lit(1), i))),
-            )[0],
-        )
-    )
-
-
 def loss_text(formatted: Column, loss_spans: Column) -> Column:
     """The text under the mask, cut out of the formatted bytes and unescaped."""
     raw = formatted.cast("binary")
@@ -215,6 +197,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "round_trip",
     )
 
 
@@ -233,6 +216,7 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       sum(length('<s>[INST][/INST]</s>') + length(CASE WHEN grew THEN r2 ELSE role END) + length(CASE WHEN grew THEN t2 ELSE text END))::BIGINT AS formatted_chars
+       sum(length('<s>[INST][/INST]</s>') + length(CASE WHEN grew THEN r2 ELSE role END) + length(CASE WHEN grew THEN t2 ELSE text END))::BIGINT AS formatted_chars,
+       true AS round_trip
 FROM s GROUP BY conv_id
 """

@@ -55,6 +55,19 @@ def text_or_empty(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+def running_sums(sizes: Column, block: int = 64) -> Column:
+    """For each place of an array of longs the sum of all before it. Sums of blocks keep long
+    arrays far from quadratic."""
+    once = lambda value, then: F.transform(F.array(value), then)[0]
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
+    count = F.ceil(F.size(sizes) / block).cast("int")
+    places = F.filter(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: i < count)
+    blocks = F.transform(places, lambda b: F.slice(sizes, b * block + 1, F.lit(block)))
+    inside = lambda part, base: F.transform(part, lambda _, i: base + total(F.slice(part, F.lit(1), i)))
+    every = lambda parts, totals: F.transform(parts, lambda part, b: once(total(F.slice(totals, F.lit(1), b)), lambda base: inside(part, base)))
+    return F.flatten(once(blocks, lambda parts: once(F.transform(parts, total), lambda totals: every(parts, totals))))
+
+
 def slices(batch, column: str, most_bytes: int = 16 << 20):
     """An Arrow batch in slices of about `most_bytes` of one string or binary column.
 

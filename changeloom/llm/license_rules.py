@@ -3,7 +3,7 @@ r"""Signature rules for licence scans.
 A rule is (id, label, priority, keyword, regex, confidence). Regexes run over
 normalised text: words in lower case, one space between them (so "CC BY-NC 4.0" reads
 "cc by nc 4 0"). Every regex keeps to bounded repeats, which bounds a match's length
-by MAX_MATCH_CHARS; the scanner relies on that when it cuts long texts into windows.
+by MAX_MATCH_CHARS; the scanner relies on that when it looks for what suppresses a match.
 The rules are ordered: a smaller priority is the stronger statement. Families give a
 label, keywords of which any match holds one (split by |; a leading space is a word's start, "&licen"
 behind a keyword says that a match which holds it also holds that), the regex of the name as people write it,
@@ -147,6 +147,75 @@ OTHER = (
     ("cc-by-nc-sa", 3, "creativecommons", r"creativecommons org licen[cs]es by nc sa [1-4] [05]", 0.95),
     ("cc-by-nc-nd", 3, "creativecommons", r"creativecommons org licen[cs]es by nc nd [1-4] [05]", 0.95),
     ("warranty-disclaimer", 6, "warrant", r"without warrant(?:y|ies) of any kind", 0.3),
+    ("gpl", 3, "redistribute", r"this (?:program|library|file|software) is free software you can redistribute it", 0.8),
+    ("gpl", 4, "hope that", r"distributed in the hope that it will be useful but without any warranty", 0.6),
+    ("gpl", 3, "general public", r"you should have received a copy of the gnu general public licen[cs]e", 0.9),
+    ("gpl", 3, "general public", r"see the gnu general public licen[cs]e for more details", 0.85),
+    ("lgpl", 3, "general public", r"you should have received a copy of the gnu (?:lesser|library) general public licen[cs]e", 0.9),
+    ("lgpl", 3, "general public", r"see the gnu (?:lesser|library) general public licen[cs]e for more details", 0.85),
+    ("agpl", 3, "affero", r"you should have received a copy of the gnu affero general public licen[cs]e", 0.9),
+    ("agpl", 3, "affero", r"see the gnu affero general public licen[cs]e for more details", 0.85),
+    ("gfdl", 3, "documentation", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[cs]e", 0.95),
+    ("gfdl", 3, "invariant", r"with no invariant sections(?: no| with no) front cover texts and no back cover texts", 0.85),
+    ("copyleft-later", 6, "later version", r"or at your option any later version", 0.4),
+    ("apache-2", 3, "in compliance", r"you may not use this file except in compliance with the licen[cs]e", 0.9),
+    ("apache-2", 3, "applicable law", r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e", 0.9),
+    ("apache-2", 3, "governing", r"see the licen[cs]e for the specific language governing permissions and limitations", 0.9),
+    ("apache-2", 3, "contributor", r"licensed to the apache software foundation asf under one or more contributor licen[cs]e agreements", 0.95),
+    ("mit", 3, "publish", r"to use copy modify merge publish distribute sublicen[cs]e and or sell copies of the software", 0.95),
+    ("mit", 4, "authors", r"in no event shall the authors or copyright holders be liable for any claim", 0.6),
+    ("mit-0", 3, "hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", 0.6),
+    ("bsd", 3, "redistribution", r"redistributions of source code must retain the above copyright notice", 0.9),
+    ("bsd", 3, "redistribution", r"redistributions in binary form must reproduce the above copyright notice", 0.9),
+    ("bsd", 4, "as is", r"this software is provided by the (?:copyright holders|author|authors|regents)(?: and contributors)? as is", 0.7),
+    ("bsd-3-clause", 3, "neither the name", r"neither the name of (?:the )?(?:[a-z0-9]{1,40} ){1,6}nor the names of its contributors", 0.9),
+    ("bsd-4-clause", 3, "advertising", r"all advertising materials mentioning features or use of this software must display", 0.95),
+    ("0bsd", 3, "permission", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 0.7),
+    ("isc", 3, "appear in all", r"provided that the above copyright notice and this permission notice appear in all copies", 0.9),
+    ("zlib", 3, "misrepresented", r"the origin of this software must not be misrepresented", 0.9),
+    ("zlib", 3, "plainly marked", r"altered source versions must be plainly marked as such", 0.9),
+    ("zlib", 3, "removed or altered", r"this notice may not be removed or altered from any source distribution", 0.9),
+    ("mpl-2", 3, "source code form", r"this source code form is subject to the terms of the mozilla public licen[cs]e", 0.95),
+    ("mpl-2", 3, "mpl was not", r"if a copy of the mpl was not distributed with this file you can obtain one at", 0.9),
+    ("mpl-1.1", 3, "mozilla", r"the contents of this file are subject to the mozilla public licen[cs]e version 1 1", 0.95),
+    ("epl-2", 3, "eclipse", r"available under the terms of the eclipse public licen[cs]e 2 0", 0.95),
+    ("epl-1", 3, "eclipse", r"available under the terms of the eclipse public licen[cs]e v1 0", 0.95),
+    ("cddl-1", 3, "common development", r"subject to the terms of the common development and distribution licen[cs]e", 0.95),
+    ("boost-1", 3, "derivative works", r"use reproduce display distribute execute and transmit the software and to prepare derivative works", 0.9),
+    ("unlicense", 3, "anyone is free", r"anyone is free to copy modify publish use compile sell or distribute this software", 0.95),
+    ("unlicense", 3, "unlicense org", r"refer to https? unlicense org", 0.9),
+    ("wtfpl", 3, "you just do", r"you just do what the f[uc*]{1,3}k you want to", 0.95),
+    ("cc-by", 4, "creative commons", r"this work is licensed under a creative commons attribution [1-4] [05]", 0.9),
+    ("creative-commons", 4, "creative commons", r"(?:this work|this content|the text|this article|this image) is (?:licensed|available|released) under (?:a |the )?creative commons", 0.6),
+    ("cc0", 3, "waived", r"waived all copyright and related or neighboring rights", 0.95),
+    ("public-domain", 4, "public domain", r"(?:placed|released|dedicated) (?:into|in|to) the public domain", 0.85),
+    ("public-domain", 4, "no copyright", r"no copyright (?:is )?(?:claimed|protection)", 0.7),
+    ("ofl-1.1", 3, "font software", r"this font software is licensed under the sil open font licen[cs]e", 0.95),
+    ("ofl-1.1", 4, "reserved font", r"with reserved font name", 0.8),
+    ("openssl", 3, "openssl", r"this product includes software developed by the openssl project", 0.9),
+    ("python-2", 3, "psf", r"psf is making python available to licensee on an as is basis", 0.95),
+    ("php-3", 3, "php software", r"this product includes php software freely available from", 0.95),
+    ("artistic-1", 3, "intent of this", r"the intent of this document is to state the conditions under which a package may be copied", 0.95),
+    ("ncsa", 3, "illinois", r"developed by (?:[a-z0-9]{1,40} ){1,6}university of illinois", 0.6),
+    ("json", 3, "good not evil", r"the software shall be used for good not evil", 0.95),
+    ("beerware", 3, "beer", r"you can buy me a beer in return", 0.9),
+    ("busl-1.1", 3, "additional use", r"additional use grant", 0.6),
+    ("openrail-m", 4, "based restrictions", r"use based restrictions as referenced in", 0.7),
+    ("proprietary", 4, "confidential", r"(?:is|contains) (?:the )?confidential and proprietary information", 0.85),
+    ("proprietary", 4, "reproduced", r"no part of this (?:publication|document|book|work|software) may be reproduced", 0.8),
+    ("proprietary", 4, "reproduced", r"may not be reproduced (?:distributed|copied|transmitted|published)", 0.7),
+    ("proprietary", 5, "internal use", r"for internal use only", 0.6),
+    ("proprietary", 5, "evaluation", r"for evaluation (?:purposes )?only", 0.6),
+    ("proprietary", 5, "end user", r"end user licen[cs]e agreement", 0.6),
+    ("proprietary", 5, "trade secret", r"trade secrets? of", 0.6),
+    ("non-commercial", 5, "commercial", r"(?:for )?non ?commercial (?:use|purposes)(?: only)?", 0.5),
+    ("non-commercial", 5, "personal use", r"for personal use only", 0.5),
+    ("research-only", 5, "research", r"for (?:academic |non ?commercial )?research (?:use|purposes) only", 0.6),
+    ("no-redistribution", 5, "redistribution", r"redistribution (?:is )?(?:strictly )?(?:prohibited|forbidden|not (?:permitted|allowed))", 0.7),
+    ("no-derivatives", 5, "derivative", r"no derivative works(?: are)? (?:permitted|allowed)", 0.6),
+    ("no-ai-training", 4, "not be used", r"(?:may|must|shall) not be used (?:for|to) (?:the )?(?:train|training)(?: of)?", 0.7),
+    ("no-ai-training", 4, "text and data", r"text and data mining (?:is )?(?:reserved|prohibited|not permitted)", 0.7),
+    ("share-alike", 5, "same licen", r"under the same licen[cs]e(?: as the original)?", 0.5),
 )
 
 

@@ -4,18 +4,16 @@ r"""Licence scans by ordered signature rules. Native: DataFrame functions only.
    held as these words with one space between them.
 2. Prefilter: of the distinct keywords of all rules, those that the text contains (and
    "licen" too, where a keyword's matches all hold it). Only rules that own one of them are matched.
-3. Each such rule's regex gives its matches with places.
+3. Each such rule's regex gives its matches in the whole text, with places, in one pass.
 4. Overlaps: a detection inside another one's interval is suppressed if the other's
    rule has priority; with equal priority the longer interval wins, then the earlier
    rule. Detections that merely overlap both stay. Base phrases (priority 0) always stay.
-
-Texts over WINDOW characters are matched in windows of that size, with a margin on
-either side that is longer than any match; a detection belongs to the window where it
-starts. So the pairwise suppression is bounded by a window, however long the text.
+   What can suppress a detection lies near it, so only detections of one stretch of WINDOW
+   characters are compared, however long the text.
 
 Cases: null text counts as empty; a text without words has no labels, score 0 and null
-places; repeated rows give repeated results; an empty table gives an empty result;
-columns other than the two named ones are ignored, whatever their names.
+places; repeated rows give repeated results; texts of any length are scanned whole; an empty table
+gives an empty result; columns other than the two named ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,10 +24,11 @@ from pyspark.sql import functions as F
 from . import common
 from .license_rules import BASE_PHRASES, MAX_MATCH_CHARS, RULES, Rule
 
-WINDOW, MARGIN = 4096, 512
+WINDOW = 4096
+#: Marks around matches: normalised text holds no control characters.
+_OPEN, _CLOSE = "\x01", "\x02"
 #: What a keyword that is part of many words may need beside it.
 NEEDED = "licen"
-assert MARGIN > MAX_MATCH_CHARS
 #: The two other characters whose lower case holds an ASCII letter; they are words' characters and stay such.
 _KELVIN, _DOTTED_I = "\u212a", "\u0130"
 
@@ -58,30 +57,41 @@ def _rule_table(rules: tuple[Rule, ...], number: dict[str, int]) -> Column:
 
 
 def _matches(text: Column, rule: Column) -> Column:
-    """(start, end) of a rule's matches, from the pieces between them and the matches themselves."""
-    split = F.struct(F.call_function("split", text, rule["regex"], F.lit(-1)).alias("pieces"), F.regexp_extract_all(text, rule["regex"], F.lit(0)).alias("found"))
-    length = lambda strings: F.aggregate(strings, F.lit(0), lambda n, x: n + F.length(x))
+    """Detections of a rule in a whole text, or null without any: the text is marked where the
+    regex matches, and the lengths between marks give the places."""
+
+    def places(parts: Column) -> Column:
+        # the first part lies before the first match; any other is a match, its end mark and what follows
+        sizes = F.transform(parts, lambda p, i: (F.length(p) - F.when(i > 0, 1).otherwise(0)).cast("long"))
 
-    def places(both: Column) -> Column:
-        def one(match: Column, i: Column) -> Column:
-            start = length(F.slice(both["pieces"], F.lit(1), i + 1)) + length(F.slice(both["found"], F.lit(1), i))
+        def one(start: Column, part: Column) -> Column:
             return F.struct(
-                start.alias("start"), (start + F.length(match)).alias("end"), rule["rank"].alias("rank"), rule["id"].alias("rule"),
+                start.alias("start"), (start + F.length(F.substring_index(part, _CLOSE, 1))).alias("end"), rule["rank"].alias("rank"), rule["id"].alias("rule"),
                 rule["label"].alias("label"), rule["priority"].alias("priority"), rule["confidence"].alias("confidence"),
             )
 
-        return F.transform(both["found"], one)
+        return _once(common.running_sums(sizes), lambda starts: F.zip_with(F.slice(starts, F.lit(2), F.size(parts)), F.slice(parts, F.lit(2), F.size(parts)), one))
 
-    return _once(split, places)
+    marked = F.regexp_replace(text, rule["regex"], F.lit(f"{_OPEN}$0{_CLOSE}"))
+    return _once(marked, lambda m: F.when(m.contains(_OPEN), _once(F.split(m, _OPEN, -1), places)))
 
 
 def _kept(detections: Column) -> Column:
+    """Those that no other one suppresses. What suppresses a detection starts at most a match's
+    length before it, so detections are compared within stretches of WINDOW characters and that
+    length before; the result does not depend on the stretches."""
+
     def beats(e: Column, d: Column) -> Column:
         longer, as_long = (e["end"] - e["start"]) > (d["end"] - d["start"]), (e["end"] - e["start"]) == (d["end"] - d["start"])
         order = (e["priority"] < d["priority"]) | ((e["priority"] == d["priority"]) & (longer | (as_long & (e["rank"] < d["rank"]))))
         return (e["start"] <= d["start"]) & (d["end"] <= e["end"]) & order
 
-    return F.filter(detections, lambda d: (d["priority"] == 0) | ~F.exists(detections, lambda e: beats(e, d)))
+    def within(w: Column) -> Column:
+        near = F.filter(detections, lambda d: (d["start"] >= w * WINDOW - MAX_MATCH_CHARS) & (d["start"] < (w + 1) * WINDOW))
+        return _once(near, lambda n: F.filter(n, lambda d: (d["start"] >= w * WINDOW) & ((d["priority"] == 0) | ~F.exists(n, lambda e: beats(e, d)))))
+
+    windows = F.array_sort(F.array_distinct(F.transform(detections, lambda d: F.floor(d["start"] / WINDOW).cast("long"))))
+    return F.flatten(F.transform(windows, within))
 
 
 def _held(text: Column, number: dict[str, int], needs: str) -> Column:
@@ -97,30 +107,18 @@ def detections(words: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """Detections that stay, with places in characters of the single-spaced text `words`."""
     number = {k: n for n, k in enumerate(sorted({k for r in rules for k in r.keyword.split("|")}))}
     table = _rule_table(rules, number)
-    chunks = F.regexp_extract_all(words, F.lit(rf"(?s).{{1,{WINDOW}}}"), F.lit(0))
-
-    def scan(chunk: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.right(F.get(chunks, i - 1), F.lit(MARGIN))).otherwise("")
-        after = F.coalesce(F.left(F.get(chunks, i + 1), F.lit(MARGIN)), F.lit(""))
-
-        def inside(seen: Column, from_: Column) -> Column:
-            # each word has a space before it
-            present = _once(F.concat(F.lit(" "), seen), lambda t: F.concat(_held(t, number, ""), F.when(t.contains(NEEDED), _held(t, number, f"&{NEEDED}")).otherwise(F.array().cast("array<int>"))))
-            gate = lambda there: F.filter(
-                F.when(F.size(there) > 0, table).otherwise(F.slice(table, 1, 0)),
-                lambda r: F.exists(r["keywords"], lambda k: F.array_contains(there, k)),
-            )
-            every = F.flatten(F.transform(_once(present, gate), lambda r: _matches(seen, r)))
-            # what starts at a cut may be the rest of a longer word
-            every = F.filter(every, lambda d: (d["start"] > 0) | (from_ == 0))
-            own = F.filter(_once(every, _kept), lambda d: (d["start"] >= from_) & (d["start"] < from_ + F.length(chunk)))
-            shift = (i * WINDOW).cast("long") - from_
-            return F.transform(own, lambda d: d.withField("start", d["start"] + shift).withField("end", d["end"] + shift))
 
-        window = F.struct(F.concat(before, chunk, after).alias("seen"), F.length(before).alias("from"))
-        return _once(window, lambda w: inside(w["seen"], w["from"]))
+    def found(text: Column) -> Column:
+        # each word has a space before it
+        present = _once(F.concat(F.lit(" "), text), lambda t: F.concat(_held(t, number, ""), F.when(t.contains(NEEDED), _held(t, number, f"&{NEEDED}")).otherwise(F.array().cast("array<int>"))))
+        gate = lambda there: F.filter(
+            F.when(F.size(there) > 0, table).otherwise(F.slice(table, 1, 0)),
+            lambda r: F.exists(r["keywords"], lambda k: F.array_contains(there, k)),
+        )
+        every = F.flatten(F.filter(F.transform(_once(present, gate), lambda r: _matches(text, r)), lambda ds: ds.isNotNull()))
+        return _once(every, lambda ds: F.when(F.size(ds) > 0, _kept(ds)).otherwise(ds))
 
-    return F.flatten(F.transform(chunks, scan))
+    return _once(words, found)
 
 
 def _once(value: Column, then) -> Column:

@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from changeloom.llm import licenses
+from changeloom.llm import common, licenses
 from changeloom.llm.license_rules import BASE_PHRASES, FAMILIES, MAX_MATCH_CHARS, RULES
 
 SCHEMA = "doc_id long, text string"
@@ -38,7 +38,7 @@ def compare(spark, texts):
 
 
 def test_rules_are_many_ordered_and_bounded():
-    assert len(RULES) >= 300 and len({r.id for r in RULES}) == len(RULES)
+    assert len(RULES) >= 380 and len({r.id for r in RULES}) == len(RULES)
     assert [r.priority for r in RULES if not r.id.startswith("text")] == sorted(r.priority for r in RULES if not r.id.startswith("text"))
     assert all("*" not in r.regex.replace("[uc*]", "") and "+" not in r.regex for r in RULES)
     assert all(len(re.sub(r"\(\?:|[()?|\\]", "", r.regex)) < MAX_MATCH_CHARS for r in RULES)
@@ -62,6 +62,23 @@ def test_long_texts_and_window_borders(spark):
     compare(spark, [*texts, "cc by nc 4 0 " * 2000, "x" * 300_000, "mit license " * 1500])
 
 
+def test_matches_that_overlap_themselves(spark):
+    """A rule's matches follow one another from the first on, wherever a stretch may end."""
+    text = "wortx " + "bsd 2 clause " * 600
+    compare(spark, [text, "x " * 2045 + "bsd 2 clause " * 900, "a" * 4000 + " cc by nc 4 0 nc" * 700, ("mit license " * 9 + "wort " * 800) * 6])
+    row = licenses.scan(spark.createDataFrame([(0, text)], SCHEMA)).first()
+    names = [(d["start"], d["end"]) for d in row.detections if d["rule"] == "name:bsd-2-clause"]
+    assert sorted(names) == [(6 + 13 * i, 18 + 13 * i) for i in range(600)]
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 63, 64, 65, 128, 1000, 5000):
+        row = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(max(n, 1))), lambda x: x.cast("long") * 7 % 11).alias("a"))
+        row = row.select("a", common.running_sums(F.col("a"))) if n else spark.range(1).select(F.array().cast("array<bigint>").alias("a")).select("a", common.running_sums(F.col("a")))
+        a, sums = row.first()
+        assert sums == [sum(a[:i]) for i in range(len(a))]
+
+
 def test_data(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     compare(spark, [r.text for r in docs.select("text").collect()])
