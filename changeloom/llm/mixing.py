@@ -14,12 +14,15 @@ summed again by its next 12 bits, and so on, until it holds a single hash. Large
 give larger thresholds, so mixes are nested. Documents are never sorted, nor gathered by
 source: sums are made where the rows lie, and the last step is a filter.
 
-The hash is of doc_id, source and text, so a rerun takes the same documents.
+The hash is of doc_id, source and text, so a rerun takes the same documents. Rows that are
+equal in all three have one hash. Where a budget ends among such repeats, as many of them are
+taken as come nearest to it, by a second threshold over hashes of their places; which ones
+makes no difference.
 
 Cases: null text has size 0; documents of size 0 are taken 0 words and, if their hash
 is under the threshold, as documents; null doc_id and null source are values like others;
-rows that are equal in all three have one hash and are taken together; an empty table
-gives an empty result. Other columns pass through and may have any name.
+whole texts of any length are counted; an empty table gives an empty result. Other columns
+pass through and may have any name.
 """
 
 from __future__ import annotations
@@ -77,12 +80,14 @@ def _with(df: DataFrame, small: DataFrame) -> DataFrame:
 
 
 def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
-    """source and threshold: the hashes under it hold about `budget` words of the source.
+    """source, threshold, edge, edge_budget: the hashes under the threshold hold about `budget`
+    words of the source.
 
     `budgets`: source, budget. The document in which the budget ends is in if that comes
-    nearer. A budget of the whole source or more takes all.
+    nearer. A budget of the whole source or more takes all. If it ends among several rows of
+    one hash, that is `edge` (else null), and `edge_budget` words of them belong to the mix.
     """
-    state = budgets.withColumns({"lo": F.lit(0).cast("long"), "rest": F.col("budget"), "done": F.lit(False)}).drop("budget")
+    state = budgets.withColumns({"lo": F.lit(0).cast("long"), "rest": F.col("budget"), "done": F.lit(False), "edge": F.lit(None).cast("long")}).drop("budget")
     for level in range(HASH_BITS // STEP_BITS):
         shift = HASH_BITS - STEP_BITS * (level + 1)
         width = 1 << shift
@@ -90,33 +95,36 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
         rows = _with(sized.select(f"{_P}source", f"{_P}hash", f"{_P}size"), state.filter(~F.col("done")))
         rows = rows.filter((h >= F.col("lo")) & (h < F.col("lo") + width * (1 << STEP_BITS)))
         hist = rows.groupBy(f"{_P}source", "lo", "rest", F.shiftright(h, shift).alias("bucket")).agg(
-            F.sum(f"{_P}size").alias("words"), F.min(h).alias("least"), F.max(h).alias("most")
+            F.sum(f"{_P}size").alias("words"), F.count("*").alias("rows"), F.min(h).alias("least"), F.max(h).alias("most")
         )
         upto = F.sum("words").over(Window.partitionBy(f"{_P}source").orderBy("bucket"))
         hist = hist.withColumn("upto", upto)
         # the bucket where the budget ends: the first one with a larger running sum
-        ends = hist.filter(F.col("upto") > F.col("rest")).groupBy(f"{_P}source").agg(F.min_by(F.struct("bucket", "words", "upto", "least", "most"), "bucket").alias("b"))
+        ends = hist.filter(F.col("upto") > F.col("rest")).groupBy(f"{_P}source").agg(F.min_by(F.struct("bucket", "words", "rows", "upto", "least", "most"), "bucket").alias("b"))
         found = _left_with(state, ends)
         b = F.col("b")
         before = b["upto"] - b["words"]
         left = F.col("rest") - before
         single = (b["least"] == b["most"]) | F.lit(shift == 0)
-        take_it = 2 * left >= b["words"]
+        # how many rows of a single hash come nearest
+        near = F.floor(left / (b["words"] / b["rows"]) + 0.5)
+        some = single & (near > 0) & (near < b["rows"])
         state = found.select(
             f"{_P}source",
             # all fits: the end of this range; a single hash: one side of it; else its bucket's start
             F.when(F.col("done"), F.col("lo"))
             .when(b.isNull(), F.col("lo") + width * (1 << STEP_BITS))
-            .when(single, F.when(take_it, b["most"] + 1).otherwise(b["least"]))
+            .when(single, F.when(near >= b["rows"], b["most"] + 1).otherwise(b["least"]))
             .otherwise(b["bucket"] * width)
             .alias("lo"),
             F.when(F.col("done") | b.isNull(), F.col("rest")).otherwise(left).alias("rest"),
             (F.col("done") | b.isNull() | single).alias("done"),
+            F.when(F.col("done"), F.col("edge")).when(some, b["least"]).alias("edge"),
         )
         state = common.materialize(state, "mix-thresholds")
         if state.filter(~F.col("done")).isEmpty():
             break
-    return state.select(f"{_P}source", F.col("lo").alias("threshold"))
+    return state.select(f"{_P}source", F.col("lo").alias("threshold"), "edge", F.when(F.col("edge").isNotNull(), F.col("rest")).alias("edge_budget"))
 
 
 def _left_with(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -126,7 +134,7 @@ def _left_with(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> tuple[DataFrame, DataFrame]:
     """The sized rows (id, source, size, hash; written once) and the decision per source:
-    source, source_size, target, passes, threshold."""
+    source, source_size, target, passes, threshold, edge, edge_budget."""
     sized = docs.select(
         F.col(id_col).alias(f"{_P}id"),
         F.col(source_col).alias(f"{_P}source"),
@@ -138,36 +146,58 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     passes = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(max_repeats))).otherwise(0).cast("long")
     wanted = wanted.withColumn("passes", passes)
     budgets = wanted.select(f"{_P}source", (F.col("target") - F.col("passes") * F.col("source_size")).alias("budget"))
-    return sized, _with(wanted, thresholds(sized, budgets))
+    # one row a source, written, as several steps read it
+    return sized, common.materialize(_with(wanted, thresholds(sized, budgets)), "mix-decision")
 
 
-def _copies(decision_passes: Column, h: Column, threshold: Column, max_repeats: int) -> Column:
-    return F.least(decision_passes + (h < threshold).cast("long"), F.lit(max_repeats).cast("long"))
+def _taken(rows: DataFrame, decision: DataFrame, max_repeats: int) -> DataFrame:
+    """`rows` (with source, size and hash) joined to their source's decision, with `copies`."""
+    rows = _with(rows, decision)
+    h, p = F.col(f"{_P}hash"), F.col("passes")
+    most = F.lit(max_repeats).cast("long")
+    below = rows.withColumn(f"{_P}copies", F.least(p + (h < F.col("threshold")).cast("long"), most))
+    if decision.filter("edge is not null").isEmpty():
+        return below
+    at_edge = F.coalesce(h == F.col("edge"), F.lit(False))
+    # repeats at an edge, by their places: written once, so that all that follows sees the same ones
+    edge = materialized_places(rows.filter(at_edge))
+    own = edge.select(f"{_P}source", f"{_P}size", F.col(f"{_P}place").alias(f"{_P}hash"))
+    second = thresholds(own, decision.filter("edge is not null").select(f"{_P}source", F.col("edge_budget").alias("budget")))
+    edge = _with(edge, second.select(f"{_P}source", F.col("threshold").alias(f"{_P}second")))
+    edge = edge.withColumn(f"{_P}copies", F.least(p + (F.col(f"{_P}place") < F.col(f"{_P}second")).cast("long"), most))
+    return below.filter(~at_edge).unionByName(edge.drop(f"{_P}place", f"{_P}second"))
+
+
+def materialized_places(rows: DataFrame) -> DataFrame:
+    """Rows with a hash of HASH_BITS bits of their place in the table as it is written."""
+    place = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND((1 << HASH_BITS) - 1)
+    return common.materialize(rows.withColumn(f"{_P}place", place), "mix-edge")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The mixed corpus: the rows of `docs`, each as often as the mix takes it."""
     _, decision = plan(docs, id_col, text_col, source_col, weights, max_repeats)
-    decision = decision.select(f"{_P}source", F.col("passes").alias(f"{_P}passes"), F.col("threshold").alias(f"{_P}threshold"))
-    rows = docs.withColumns({f"{_P}source": F.col(source_col), f"{_P}hash": hash_of(F.col(id_col), F.col(source_col), F.col(text_col))})
-    rows = _with(rows, decision)
-    copies = _copies(F.col(f"{_P}passes"), F.col(f"{_P}hash"), F.col(f"{_P}threshold"), max_repeats)
-    rows = rows.withColumn(f"{_P}copies", copies).filter(F.col(f"{_P}copies") > 0)
-    rows = rows.withColumn(f"{_P}copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{_P}copies"))))
-    return rows.select(*docs.columns)
+    # a row is one value, so that no column of it meets one of ours
+    rows = docs.select(
+        F.struct(*docs.columns).alias(f"{_P}row"),
+        F.col(source_col).alias(f"{_P}source"),
+        size_of(F.col(text_col)).alias(f"{_P}size"),
+        hash_of(F.col(id_col), F.col(source_col), F.col(text_col)).alias(f"{_P}hash"),
+    )
+    rows = _taken(rows, decision, max_repeats).filter(F.col(f"{_P}copies") > 0)
+    rows = rows.select(f"{_P}row", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{_P}copies"))).alias(f"{_P}copy"))
+    return rows.select(f"{_P}row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: what the mix of all documents takes of each."""
     sized, decision = plan(common.read_table(spark, sf_dir, "documents"))
-    rows = _with(sized, decision)
-    copies = _copies(F.col("passes"), F.col(f"{_P}hash"), F.col("threshold"), MAX_REPEATS)
-    return rows.select(
+    return _taken(sized, decision, MAX_REPEATS).select(
         F.col(f"{_P}id").alias("doc_id"),
         F.col(f"{_P}size").alias("size"),
         "source_size",
         "target",
-        (copies * F.col(f"{_P}size")).alias("taken"),
+        (F.col(f"{_P}copies") * F.col(f"{_P}size")).alias("taken"),
     )
 
 
@@ -196,8 +226,8 @@ WITH sized AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3) ELSE 0 END::BIGINT AS passes FROM t
 ), o AS (
   SELECT d.doc_id, d.size, q.source_size, q.target, q.passes, q.target - q.passes * q.source_size AS rest,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h) AS upto, sum(d.size) OVER (PARTITION BY d.source, d.h) AS own
-  FROM sized d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.n) AS upto, d.size AS own
+  FROM (SELECT *, row_number() OVER (PARTITION BY source, h) AS n FROM sized) d JOIN q ON d.source IS NOT DISTINCT FROM q.source
 )
 SELECT doc_id, size, source_size, target,
        (size * least(passes + CASE WHEN upto <= rest OR (upto - own <= rest AND 2 * (rest - (upto - own)) >= own) THEN 1 ELSE 0 END, 3))::BIGINT AS taken
