@@ -31,7 +31,7 @@ Result: one row per row of the input with class_id (least id of the class) and n
 Cases: texts without words, null ones too, have no shingles, are linked to nothing and are
 classes of their own; rows of equal text are linked, equal ids or not; null ids are kept, a
 class' id is the least known one; an empty table gives an empty result; other columns are
-ignored, whatever their names.
+ignored, whatever their names; texts of any length are compared whole.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -52,7 +52,9 @@ SHINGLE, THRESHOLD = 5, (4, 5)  # as a fraction, so that verification is exact
 BANDS, BAND_ROWS, STEP, TOLERANCE, SEED = 24, 4, 16, 1e-6, 5
 HASHES = BANDS * BAND_ROWS
 BUCKET_BLOCK, NODE_BLOCK, SHINGLE_BLOCK = 1024, 1024, 1 << 21
-BLOOM_BITS = 1 << 26
+BLOOM_BITS, SALTS = 1 << 26, 16
+#: Keys that hold a greater share of the rows than one in so many are looked up apart: at most so many keys.
+HOT_SHARE = 1000
 _CACHE = 300_000
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -250,7 +252,12 @@ def candidates(one: DataFrame) -> DataFrame:
 
     entries = one.select("node", "signature").mapInArrow(common.tidy(bands), "node bigint, bands array<bigint>")
     entries = entries.select("node", F.explode("bands").alias("bucket"))
-    entries = entries.withColumn("members", F.count("*").over(Window.partitionBy("bucket"))).filter("members > 1")
+    # buckets are counted where their entries lie; only entries of buckets with several move again,
+    # each with a salt, so that no bucket is gathered to learn its size
+    sizes = common.materialize(entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "jaccard-buckets")
+    entries = likely(entries, sizes, "bucket").withColumn("salt", F.pmod(F.xxhash64("node", F.lit("salt")), F.lit(SALTS)))
+    sizes = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("members") > 0, F.lit(SALTS - 1).cast("long")))))
+    entries = entries.join(sizes, ["bucket", "salt"]).drop("salt")
     members = entries.join(one.select("node", "signature"), "node")
     members = _block_pairs(members, F.ceil(F.col("members") / BUCKET_BLOCK), "node").drop("members")
     members = members.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
@@ -392,6 +399,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # numbers are given once and written: all that follows reads the same ones
     nodes = common.materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
     # a node's signature comes from one of its rows
+    copies = nodes.select("key", "n_docs")
     names = nodes.select("node", F.col("key").alias("node_key"), "node_row")
     one = signed.join(names, (F.col("key") == F.col("node_key")) & (F.col("row") == F.col("node_row"))).select("node", "signature")
     if rows_repeat(signed):
@@ -411,7 +419,19 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     least = nodes.groupBy("class_node").agg(F.min("node_id").alias("class_id"))
     nodes = nodes.join(least, "class_node").select("key", "class_node", "class_id", (F.col("n_docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     nodes = common.materialize(nodes, "jaccard-classes")
-    rows = signed.select("id", "row", "key").join(nodes, "key", "left")
+    rows = signed.select("id", "row", "key")
+    # copies of one text may be a third of all rows: keys of so many rows are few, and their rows stay
+    # where they lie; rows without words have no key and no node
+    least = signed.count() // HOT_SHARE
+    hot = nodes.join(F.broadcast(copies.filter(F.col("n_docs") > least).select("key")), "key")
+    is_hot = F.col("hot").isNotNull()
+    worded = rows.filter("key is not null").join(F.broadcast(hot.select("key", F.struct("class_node", "class_id", "n_links").alias("hot"))), "key", "left")
+    none = [F.lit(None).cast(dict(nodes.dtypes)[c]).alias(c) for c in ("class_node", "class_id", "n_links")]
+    rows = (
+        rows.filter("key is null").select("id", "row", *none)
+        .unionByName(worded.filter(is_hot).select("id", "row", "hot.*"))
+        .unionByName(worded.filter(~is_hot).join(nodes, "key").select("id", "row", "class_node", "class_id", "n_links"))
+    )
     return rows.select(
         "id",
         "row",
@@ -428,13 +448,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # of several rows with a class' least id, one; without words there is no class
     alone = kept.filter("node is null").select("row").distinct()
     kept = kept.filter("node is not null").groupBy("node").agg(F.min("row").alias("row")).select("row").distinct().unionByName(alone)
-    kept = common.materialize(kept.withColumnRenamed("row", "__jaccard_kept"), "jaccard-kept")
-    rows = docs.withColumn("__jaccard_row", row_of(F.col(id_col), F.col(text_col).cast("string")))
-    rows = rows.join(kept, F.col("__jaccard_row") == F.col("__jaccard_kept"))
+    kept = common.materialize(kept.withColumnRenamed("row", "kept"), "jaccard-kept")
+    # a row is one value, so that no column of it meets one of ours
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), row_of(F.col(id_col), text).alias("row"), F.coalesce(text, F.lit("")).rlike(r"[\p{L}\p{N}_]").alias("worded"))
+    rows = rows.join(kept, F.col("row") == F.col("kept"))
     if rows_repeat(found):
-        worded = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[\p{L}\p{N}_]")
-        rows = rows.filter(~worded).unionByName(rows.filter(worded).dropDuplicates(["__jaccard_row"]))
-    return rows.select(*docs.columns)
+        rows = rows.filter(~F.col("worded")).unionByName(rows.filter("worded").dropDuplicates(["row"]))
+    return rows.select("whole.*")
 
 
 def rows_repeat(found: DataFrame) -> bool:
