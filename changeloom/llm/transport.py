@@ -16,7 +16,8 @@ PTS, DTS, place and length in the payload, and whether it is a random-access poi
 Cases: null text counts as empty, and an empty payload has 64 zero bytes; null media
 gives a null result; bytes without any packet give no programs, no units, an empty
 payload; damaged packets are counted, what survives is returned; a unit that lost
-packets is marked. Repeated rows give repeated results, an empty table an empty one,
+packets is marked, also where its end may be among those lost. Texts of any length whose
+stream Arrow holds (2 GB) are stored whole. Repeated rows give repeated results, an empty table an empty one,
 and columns other than the named ones are ignored, whatever their names.
 """
 
@@ -253,18 +254,20 @@ def _units(pid: int, parts: list[tuple[bool, bool, bool, bytes]]) -> Iterator[tu
     for start, is_rap, gap, data in [*parts, (True, False, False, b"")]:
         if start:
             if held:
-                yield from _pes(pid, b"".join(held), rap, damaged)
+                yield from _pes(pid, b"".join(held), rap, damaged, gap)
             held, rap, damaged = [data], is_rap, False
         elif held:
             held.append(data)
             damaged |= gap
 
 
-def _pes(pid: int, pes: bytes, rap: bool, damaged: bool) -> Iterator[tuple[dict, bytes]]:
+def _pes(pid: int, pes: bytes, rap: bool, damaged: bool, gap_behind: bool) -> Iterator[tuple[dict, bytes]]:
+    """`gap_behind`: packets were lost between this unit's last one and the next unit's first.
+    They may have been this unit's if its length is open."""
     if len(pes) < 6 or pes[:3] != b"\0\0\1":
         return
     size, begin, pts, dts = struct.unpack(">H", pes[4:6])[0], 6, None, None
-    damaged |= bool(size) and len(pes) < 6 + size
+    damaged |= len(pes) < 6 + size if size else gap_behind
     if size:
         pes = pes[: 6 + size]
     if pes[3] not in PLAIN_STREAMS and len(pes) >= 9 and pes[6] & 0xC0 == 0x80:
