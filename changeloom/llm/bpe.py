@@ -13,7 +13,7 @@ whatever the vocabulary's size.
 Only distinct words are folded:
 1. The corpus' words are counted, all of them, and the most frequent ones folded once
    and broadcast as flat arrays: at most HOT_WORDS words of at most HOT_BYTES bytes, which
-   bounds the broadcast, whatever the corpus (words of fewer than HOT_COUNT places are not). One task lays the arrays out.
+   bounds the broadcast, whatever the corpus (words of fewer than HOT_COUNT places are not). Tasks lay the arrays out.
 2. The other words are folded once for each slice of about SLICE_BYTES of a partition's
    texts: rows of words go ahead of the slice's documents, in the same task.
 So no word's places are ever shuffled; the counts are all that moves.
@@ -43,7 +43,6 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import public_tokenizers
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,7 +52,7 @@ from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 HOT_WORDS, HOT_COUNT, HOT_BYTES, LONG = 1 << 19, 4, 32, 64
-SLICE_BYTES, COUNT_WORDS, TAIL_ROW = 16 << 20, 200_000, 1000
+SLICE_BYTES, COUNT_WORDS, TAIL_ROW, HOT_PARTS = 16 << 20, 200_000, 1000, 64
 assert LONG <= 1 << 8  # places in a word have eight bits
 
 
@@ -226,27 +225,42 @@ def bytes_of(word: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.hex(word.cast("binary")), F.lit(".."), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("bigint"))
 
 
+def _word_hash(word: bytes) -> int:
+    """What xxhash64(word) gives, unsigned."""
+    return xxhash.xxh64_intdigest(word, seed=42)
+
+
 class HotWords:
     """Ids of a bounded number of words in flat arrays: found by hash, confirmed by bytes."""
 
-    def __init__(self, words: pa.Array, ids: pa.Array):
-        hashes = np.empty(len(words), np.uint64)
-        for k in range(0, len(words), 1 << 16):
-            hashes[k : k + (1 << 16)] = [xxhash.xxh64_intdigest(w) for w in words.slice(k, 1 << 16).cast(pa.binary()).to_pylist()]
+    def __init__(self, words: list[bytes], ids: list[list[int]]):
+        hashes = np.array([_word_hash(w) for w in words], np.uint64)
         # in order of hashes; of words with one hash the first stays, the others are folded where they occur
         self.hashes, order = np.unique(hashes, return_index=True)
-        words, ids = words.take(pa.array(order)), ids.take(pa.array(order))
-        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.byte_starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        self.bytes = b"".join(words.cast(pa.binary()).to_pylist())
-        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-        self.id_starts = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))]).astype(np.int32)
+        kept, kept_ids = [words[k] for k in order.tolist()], [ids[k] for k in order.tolist()]
+        self.bytes = b"".join(kept)
+        self.byte_starts = np.cumsum([0, *map(len, kept)]).astype(np.int32)
+        self.ids = np.array([i for own in kept_ids for i in own], np.int32)
+        self.id_starts = np.cumsum([0, *map(len, kept_ids)]).astype(np.int32)
+
+    @classmethod
+    def joined(cls, parts: list[HotWords]) -> HotWords:
+        """One table of parts whose hashes follow one another."""
+        out = cls([], [])
+        if parts:
+            out.hashes, out.ids = np.concatenate([p.hashes for p in parts]), np.concatenate([p.ids for p in parts])
+            out.bytes = b"".join(p.bytes for p in parts)
+            for name in ("byte_starts", "id_starts"):
+                ends = [getattr(p, name) for p in parts]
+                shifts = np.cumsum([0, *(int(e[-1]) for e in ends)])
+                setattr(out, name, np.concatenate([np.zeros(1, np.int32), *((e[1:] + s).astype(np.int32) for e, s in zip(ends, shifts, strict=False))]))
+        return out
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """The number of each word, or -1."""
         if not len(self.hashes) or not words:
             return np.full(len(words), -1)
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+        hashes = np.array([_word_hash(w) for w in words], np.uint64)
         place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         at = np.where(self.hashes[place] == hashes, place, -1)
         begin, end, held = self.byte_starts[at].tolist(), self.byte_starts[at + 1].tolist(), self.bytes
@@ -261,7 +275,7 @@ def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS, least_count:
     corpus. Where equal frequencies would pass the bound they are left out, all of them: such
     words are folded where they occur.
 
-    One task lays them out in arrays; the driver gets these and passes them on."""
+    Tasks lay them out in arrays, by ranges of their hash; the driver joins these and passes them on."""
     short = counts.filter((F.octet_length("word") <= HOT_BYTES) & (F.col("n") >= least_count))
     level = F.floor(F.log2(F.col("n").cast("double")) * 16)
     left, least = most, None
@@ -271,17 +285,21 @@ def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS, least_count:
             break
         least = row["level"]
     if least is None:
-        return HotWords(pa.array([], pa.string()), pa.array([], pa.list_(pa.int32())))
+        return HotWords([], [])
 
     def lay_out(batches):
-        rows = pa.Table.from_batches(batches, pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32()))])).combine_chunks()
-        made = HotWords(*(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rows.columns))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["made"])
+        found: dict[int, list[tuple[bytes, list[int]]]] = {}
+        for batch in batches:
+            for part, word, ids in zip(*(batch.column(c).to_pylist() for c in ("part", "word", "ids")), strict=True):
+                found.setdefault(part, []).append((word.encode(), ids))
+        for part, own in found.items():
+            made = pickle.dumps(HotWords(*map(list, zip(*sorted(own), strict=True))), pickle.HIGHEST_PROTOCOL)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([made], pa.binary())], ["part", "made"])
 
     chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).cast("array<int>").alias("ids"))
-    # sorted, so that the table does not depend on the order of arrival
-    made = chosen.repartition(1).sortWithinPartitions("word").mapInArrow(common.tidy(lay_out), "made binary").toArrow()
-    return pickle.loads(made.column("made")[0].as_buffer())
+    chosen = chosen.withColumn("part", F.shiftrightunsigned(F.xxhash64("word"), 64 - HOT_PARTS.bit_length() + 1).cast("int"))
+    parts = chosen.repartition(HOT_PARTS, "part").mapInArrow(common.tidy(lay_out), "part int, made binary").toArrow().sort_by("part")
+    return HotWords.joined([pickle.loads(made.as_buffer()) for made in parts.column("made")])
 
 
 class _Pieces:
