@@ -42,13 +42,13 @@ from . import common
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 8 << 20
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
 ENCODING, SEPARATOR, CARRIER = "utf-16-le", " ", b"." * 32
-STRATEGY, SEARCH_LOG, MIN_MATCH = "STRATEGY_LAZY", 3, 6
+STRATEGY, SEARCH_LOG, LOGS, MIN_MATCH = "STRATEGY_LAZY", 2, 16, 6
 #: Words of a window when texts are scored, and when dictionaries are trained (there each word starts one).
 WINDOWS, TRAIN_WORDS = (1, 8), 2
 DICTIONARY_BYTES, TRAIN_WINDOWS, COVER, ROUNDS, MARGIN_RATIO = 110 << 10, 120_000, {"k": 2000, "d": 8}, 4, 8.0
 #: Gains in bytes, and in tenths of the window's length less _FRAME bytes of what any window takes.
 THRESHOLDS, SHARES, _FRAME = (2, 3, 4, 5, 6, 8, 10, 12, 16), (2, 3, 4, 5, 6), 14
-_CACHE = 300_000
+_CACHE = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -91,7 +91,7 @@ class _Lengths(dict):
         import zstandard
 
         settings = zstandard.ZstdCompressionParameters(
-            window_log=18, chain_log=16, hash_log=16, search_log=SEARCH_LOG, min_match=MIN_MATCH, target_length=64,
+            window_log=18, chain_log=LOGS, hash_log=LOGS, search_log=SEARCH_LOG, min_match=MIN_MATCH, target_length=64,
             strategy=getattr(zstandard, STRATEGY), write_content_size=False, write_dict_id=False,
         )
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -109,18 +109,22 @@ class _Lengths(dict):
 
 
 class _Pairs(dict):
-    """window -> its length under the ordinary dictionary << 32 and under the toxic one."""
+    """window -> its length under the ordinary dictionary << 32 and under the toxic one;
+    remembered for words, of which texts repeat many, and a bounded number of them."""
 
     def __init__(self, model: dict):
         self.ordinary, self.toxic = (_Lengths(model[k]).compress for k in ("ordinary", "toxic"))
 
-    def __missing__(self, window: str) -> int:
+    def __missing__(self, word: str) -> int:
         if len(self) >= _CACHE:
             self.clear()
-        framed = _framed(window)
-        found = self[window] = len(self.ordinary(framed)) << 32 | len(self.toxic(framed))
+        found = self[word] = self.of(word)
         return found
 
+    def of(self, window: str) -> int:
+        framed = _framed(window)
+        return len(self.ordinary(framed)) << 32 | len(self.toxic(framed))
+
 
 class Scorer:
     """Gains of windows under two dictionaries, and the calibrated score of a text."""
@@ -134,7 +138,7 @@ class Scorer:
         out = []
         for size in WINDOWS:
             windows = windows_of(words, size, size)
-            both = np.fromiter(map(self.pairs.__getitem__, windows), np.int64, len(windows)) if windows else np.zeros(1, np.int64)
+            both = np.fromiter(map(self.pairs.__getitem__ if size == 1 else self.pairs.of, windows), np.int64, len(windows)) if windows else np.zeros(1, np.int64)
             plain = both >> 32
             gains = plain - (both & 0xFFFFFFFF)
             tenths = np.minimum(10 * gains // np.maximum(plain - _FRAME, 1), 10)[gains >= THRESHOLDS[0]]

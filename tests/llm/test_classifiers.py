@@ -218,7 +218,7 @@ def test_toxicity_scores_against_a_plain_version(spark):
 
     def length(content, window):
         settings = zstandard.ZstdCompressionParameters(
-            window_log=18, chain_log=16, hash_log=16, search_log=3, min_match=6, target_length=64, strategy=zstandard.STRATEGY_LAZY, write_content_size=False, write_dict_id=False
+            window_log=18, chain_log=16, hash_log=16, search_log=2, min_match=6, target_length=64, strategy=zstandard.STRATEGY_LAZY, write_content_size=False, write_dict_id=False
         )
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         held.precompute_compress(compression_params=settings)
