@@ -55,7 +55,7 @@ BUCKET_BLOCK, NODE_BLOCK, SHINGLE_BLOCK = 1024, 1024, 1 << 21
 BLOOM_BITS, SALTS = 1 << 26, 16
 #: Keys that hold a greater share of the rows than one in so many are looked up apart: at most so many keys.
 HOT_SHARE = 1000
-_CACHE = 300_000
+_CACHE = 150_000
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.array([pow(0xD1342543DE82EF95, SHINGLE - 1 - k, 1 << 64) for k in range(SHINGLE)], np.uint64)
