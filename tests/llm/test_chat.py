@@ -55,7 +55,9 @@ def test_escape_is_inverse(spark, text):
 
 
 def test_planted_conversation(spark):
-    got = chat.query(spark, "/root/testdata/sf0.001").filter("conv_id = -7").first()
+    rows = chat.query(spark, "/root/testdata/sf0.001").collect()
+    assert all(r.round_trip for r in rows)
+    got = next(r for r in rows if r.conv_id == -7)
     told = f"user\n{chat.PLANTED_TEXT}\nassistant\n{chat.PLANTED_TEXT}\n"
     assert got.turns_sha256 == hashlib.sha256(told.encode()).hexdigest()
     assert got.loss_sha256 == hashlib.sha256(chat.PLANTED_TEXT.encode()).hexdigest() and got.loss_chars == len(chat.PLANTED_TEXT)

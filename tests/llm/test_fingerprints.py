@@ -78,6 +78,29 @@ def test_densification_is_a_function_of_the_set(spark):
     assert len(set(two)) == 2 and 35 < two.count(two[0]) < 93
 
 
+def plain_fingerprint(text, bins=128, bits=8):
+    """One-permutation MinHash with optimal densification, one shingle and one bin at a time."""
+    import xxhash
+
+    chained = lambda hashes, seed=42: [seed := xxhash.xxh64_intdigest((h).to_bytes(8, "little"), seed=seed) for h in hashes][-1]
+    words = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in re.findall(r"[^\W]+", (text or "").lower())]
+    hashes = {chained(words[i : i + 5]) for i in range(len(words) - 4)} or ({chained(words)} if words else set())
+    if not hashes:
+        return ""
+    least = {}
+    for h in hashes:
+        least[h >> 57] = min(h, least.get(h >> 57, h))
+    orders = f._probe_orders(bins)
+    return "".join(f"{least[next(j for j in [b, *orders[b]] if j in least)] & (1 << bits) - 1:02x}" for b in range(bins))
+
+
+def test_fingerprints_against_a_plain_version(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts += [None, "", "a", "a b c d", "a b c d e", "é ñ 日本 x Y z"]
+    rows = spark.createDataFrame(list(enumerate(texts)), SCHEMA).withColumn("f", f.fingerprint(F.col("text"))).collect()
+    assert {r.doc_id: r.f for r in rows} == {i: plain_fingerprint(t) for i, t in enumerate(texts)}
+
+
 def test_query_against_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     want = {i: (t, n, e) for i, t, n, e in edits(docs)}

@@ -96,6 +96,23 @@ def test_deduplicate_keeps_one_of_each_class(spark):
     assert sorted(((r.doc_id, r.text) for r in J.deduplicate(df).collect()), key=repr) == sorted([(1, "a b c d e f"), (5, None), (5, None), (6, ""), (7, "other words stand here alone now")], key=repr)
 
 
+def test_hot_copies_and_rows_without_words(spark, monkeypatch):
+    rows = [(i, "a copy that a third of all rows hold") for i in range(40)] + [(100 + i, None if i % 2 else " . ") for i in range(40)]
+    rows += [(200 + i, f"text {i} has words of its own {i * 7} and so on {i * 13}") for i in range(40)]
+    assert got(spark, rows) == brute(rows)
+    monkeypatch.setattr(J, "HOT_SHARE", 10)
+    monkeypatch.setattr(J, "SALTS", 3)
+    assert got(spark, rows) == brute(rows)
+
+
+def test_columns_of_any_name_pass(spark):
+    names = ("__jaccard_row", "__jaccard_kept", "row", "kept", "whole", "worded", "id", "node", "key")
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], SCHEMA).withColumns({n: F.lit(k) for k, n in enumerate(names)})
+    kept = J.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, *(r[n] for n in names)) for r in kept.collect()) == [(1, *range(len(names))), (3, *range(len(names)))]
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
     """Of pairs with similarity 0.8 less than one in a thousand is dropped, of dissimilar ones nearly all are."""
     rng = np.random.default_rng(0)

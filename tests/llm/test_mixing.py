@@ -76,6 +76,32 @@ def test_nulls_ties_and_empty(spark):
     assert run(spark, []) == ({}, [])
 
 
+def test_a_budget_that_ends_among_repeats(spark):
+    """Of equal rows as many are taken as come nearest to the target, whichever they are."""
+    rows = [(7, "w " * 5, "a")] * 400 + [(8, "v " * 3, "b")] * 41 + [(i, "u " * (i % 9 + 1), "c") for i in range(500)] + [(900, "u " * 4, "c")] * 30
+    decision, mixed = run(spark, rows)
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    want = shares(sizes)
+    for s, largest in (("a", 5), ("b", 3), ("c", 9)):
+        assert abs(sum(len(r.text.split()) for r in mixed if r.source == s) - want[s]) <= largest / 2 + 1e-9
+    assert decision["a"].edge is not None
+    again = run(spark, rows[::-1])[1]
+    assert sorted((r.doc_id, r.source) for r in mixed) == sorted((r.doc_id, r.source) for r in again)
+
+
+def test_columns_of_any_name_pass_and_texts_of_any_length(spark):
+    rows = [(1, "w " * 300_000, "a"), (2, "x", "a"), (3, "y z", None)]
+    names = ("__mix_id", "__mix_source", "__mix_hash", "__mix_size", "__mix_copies", "__mix_row", "passes", "threshold", "edge", "source_size")
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({n: F.lit(k) for k, n in enumerate(names)})
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    found = mixed.collect()
+    assert {tuple(r[n] for n in names) for r in found} == {tuple(range(len(names)))}
+    assert {(r.doc_id, r.text, r.source) for r in found} <= set(rows) and any(r.doc_id == 1 for r in found)
+
+
 def test_size(spark):
     texts = ["a b", "a\tb\x0bc", " ", "", None, "é 𝄞\r\nx"]
     got = [r.n for r in spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.size_of(F.col("t")).alias("n")).collect()]

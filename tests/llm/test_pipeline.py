@@ -69,7 +69,7 @@ def test_stages_one_by_one(spark):
 
 def test_nulls_repeats_extra_columns_and_empty_table(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(40)
-    odd = spark.createDataFrame([(None, None, None, None, None), (7, "", None, None, 0), (8, "x", "en", None, 1), (8, "x", "en", None, 1)], docs.schema)
+    odd = spark.createDataFrame([(None, None, None, None, None), (7, "", None, None, 0), (8, "x", "en", None, 1), (8, "x", "en", None, 1), (9, "a very long text of plain words " * 40_000, "en", "s", 9)], docs.schema)
     for start in (docs.unionByName(odd).selectExpr("*", "1 AS score", "2 AS row"), docs.limit(0)):
         stage_docs = start
         for name, stage in P.STAGES:

@@ -68,6 +68,24 @@ def test_open_length_dts_and_discontinuity():
     assert t.demux(stream(3, 9, 0x80))["cc_errors"] == 0
 
 
+def test_a_lost_end_of_an_open_unit_is_marked():
+    head = b"\0\0\1\xe0\0\0\x80\x80\x05" + t._stamp(2, 90_000)
+    out, cc = [t._table_packet(0, t._PAT, 0), t._table_packet(0x1000, t._PMT, 0)], 0
+    for _ in range(3):
+        body = head + b"v" * (184 * 3 - len(head))
+        for k in range(3):
+            out.append(bytes((0x47, 0x41 if k == 0 else 0x01, 0x00, 0x10 | cc)) + body[184 * k : 184 * k + 184])
+            cc = cc + 1 & 15
+    whole, lost = t.demux(b"".join(out)), t.demux(b"".join(out[:4] + out[5:]))
+    assert [u["damaged"] for u in whole["units"]] == [False] * 3 and whole["cc_errors"] == 0
+    assert [u["damaged"] for u in lost["units"]] == [True, False, False] and lost["cc_errors"] == 1
+    # a unit of stated length that is complete is not
+    closed = packets(t.mux(b"q" * 64 * 200))
+    units = [k for k, p in enumerate(closed) if (p[1] & 31) << 8 | p[2] == 0x100 and p[1] & 0x40]
+    found = t.demux(b"".join(p for k, p in enumerate(closed) if not units[1] <= k < units[2]))
+    assert not any(u["damaged"] for u in found["units"]) and found["cc_errors"] <= 1
+
+
 def test_tables_over_several_packets():
     streams = b"".join(bytes((0x1B, 0xE0 | k >> 8, k & 255, 0xF0, 0)) for k in range(0x200, 0x200 + 60))
     pmt = t._section(2, 1, b"\xe2\x00\xf0\x00" + streams)
