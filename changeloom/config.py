@@ -68,7 +68,9 @@ class Config:
     clickhouse_username: str = _option("default")
     clickhouse_password: str = _option("")
     batch_write_interval: timedelta = _option(timedelta(minutes=10), parse_duration, "time between batches")
-    batch_size: int = _option(200_000, int, "rows that start a batch earlier")
+    batch_size: int = _option(200_000, int, "rows of a batch; a larger backlog is applied in several")
+    max_files: int = _option(0, int, "files of the feed that a batch admits at most; 0 for all")
+    scan_partitions: int = _option(8, int, "queries that share the scan of one table by its key")
     concurrent_batch_writes: int = _option(10, int, "tables written at once")
     concurrent_mysql_dump_selects: int = _option(4, int, "tables scanned at once")
     force_dump_tables: frozenset[str] = _option(frozenset(), _names, "tables to snapshot again")

@@ -11,6 +11,7 @@ import json
 import re
 from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
 import yaml
 from pyspark.sql import Column
@@ -62,8 +63,9 @@ def hash_text(text: Column) -> Column:
     return _hash_text(text)
 
 
-class _Loader(yaml.SafeLoader):
-    """Core scalars only: null, booleans, integers, floats; all else is text, keys too."""
+class _Loader(getattr(yaml, "CSafeLoader", yaml.SafeLoader)):
+    """Core scalars only: null, booleans, integers, floats; all else is text, keys too. Read by
+    the C library where it is there."""
 
 
 _Loader.yaml_implicit_resolvers = {}
@@ -96,22 +98,28 @@ def _key(key: object) -> str:
     return str(key).lower() if isinstance(key, bool) else str(key)
 
 
-def redact_document(value, raw: str, bare: str, rules: Redaction, hash_all: bool):
-    """A document's value with text under matching paths as a 64-bit number. Paths are tested
-    with and without the colons of their keys."""
+class _Hidden:
+    """The place of a text that is to be hashed, by its number in a batch."""
+
+    def __init__(self, number: int):
+        self.number = number
+
+
+def redact_document(value, raw: str, bare: str, rules: Redaction, hash_all: bool, hidden: list[str]):
+    """A document's value with text under matching paths taken out into `hidden`. Paths are
+    tested with and without the colons of their keys."""
     if isinstance(value, dict):
-        return {_bare(_key(k)): redact_document(v, f"{raw}.{_key(k)}", f"{bare}.{_bare(_key(k))}", rules, hash_all) for k, v in value.items()}
+        return {_bare(_key(k)): redact_document(v, f"{raw}.{_key(k)}", f"{bare}.{_bare(_key(k))}", rules, hash_all, hidden) for k, v in value.items()}
     if isinstance(value, list):
-        return [redact_document(v, f"{raw}.{i}", f"{bare}.{i}", rules, hash_all) for i, v in enumerate(value)]
+        return [redact_document(v, f"{raw}.{i}", f"{bare}.{i}", rules, hash_all, hidden) for i, v in enumerate(value)]
     if isinstance(value, str) and (hash_all or rules.applies(raw, bare)):
-        return int(city_hash64(pa.array([value]))[0])
+        hidden.append(value)
+        return _Hidden(len(hidden) - 1)
     return value
 
 
-def yaml_to_json(text: str | None, path: str, rules: Redaction, hash_all: bool = False) -> str | None:
-    """A YAML object as JSON text with sorted keys; what can't be read is kept with its error."""
-    if text is None:
-        return None
+def read_yaml(text: str):
+    """A YAML object; what can't be read is kept with its error."""
     text = text.replace(_RUBY_HEADER, "---", 1)
     try:
         found = yaml.load(text, _Loader)  # noqa: S506 - a safe loader
@@ -121,27 +129,57 @@ def yaml_to_json(text: str | None, path: str, rules: Redaction, hash_all: bool =
             raise yaml.YAMLError(f"not a mapping: {type(found).__name__}")
     except (yaml.YAMLError, ValueError, TypeError, RecursionError) as error:
         found = {"rawYaml": text, "errorParsingYaml": str(error)}
-    return json.dumps(redact_document(found, path, path, rules, hash_all), sort_keys=True, ensure_ascii=False, default=str)
+    return found
+
+
+def redact_documents(texts: list[str | None], path: str, rules: Redaction, as_yaml: bool, hash_all: bool = False) -> list[str | None]:
+    """Documents as JSON text, redacted by path, all hidden text hashed at once as 64-bit numbers.
+
+    YAML objects have sorted keys. JSON documents may be of any kind; one that can't be read is
+    redacted as a whole.
+    """
+    hidden: list[str] = []
+    found: list = []
+    for text in texts:
+        if text is None:
+            found.append(None)
+            continue
+        try:
+            value = read_yaml(text) if as_yaml else json.loads(text)
+        except ValueError:
+            if hash_all or rules.anonymize:
+                hidden.append(text)
+                found.append(_Hidden(len(hidden) - 1))
+            else:
+                found.append(text)
+            continue
+        found.append([redact_document(value, path, path, rules, hash_all, hidden)])
+    hashes = city_hash64(pa.array(hidden, pa.string())).tolist() if hidden else []
+    spell = lambda o: hashes[o.number] if isinstance(o, _Hidden) else str(o)
+    out: list[str | None] = []
+    for value in found:
+        if isinstance(value, list):
+            out.append(json.dumps(value[0], sort_keys=as_yaml, ensure_ascii=False, default=spell))
+        else:
+            out.append(str(spell(value)) if isinstance(value, _Hidden) else value)
+    return out
+
+
+def yaml_to_json(text: str | None, path: str, rules: Redaction, hash_all: bool = False) -> str | None:
+    return redact_documents([text], path, rules, True, hash_all)[0]
 
 
 def json_document(text: str | None, path: str, rules: Redaction, hash_all: bool = False) -> str | None:
-    """A JSON document of any kind, redacted by path; what can't be read is redacted as a whole."""
-    if text is None:
-        return None
-    try:
-        found = json.loads(text)
-    except ValueError:
-        return str(int(city_hash64(pa.array([text]))[0])) if hash_all or rules.anonymize else text
-    return json.dumps(redact_document(found, path, path, rules, hash_all), ensure_ascii=False)
+    return redact_documents([text], path, rules, False, hash_all)[0]
 
 
 def document_udf(path: str, rules: Redaction, as_yaml: bool, hash_all: bool = False):
     """A vectorised function over a column of YAML or JSON documents."""
-    work = yaml_to_json if as_yaml else json_document
 
     @pandas_udf(StringType())
     def run(values):
-        return values.map(lambda t: work(t, path, rules, hash_all), na_action="ignore")
+        texts = [None if missing else t for t, missing in zip(values, values.isna(), strict=True)]
+        return pd.Series(redact_documents(texts, path, rules, as_yaml, hash_all), index=values.index, dtype=object)
 
     return run
 
@@ -151,9 +189,3 @@ def redact_text(text: Column, table: str, column: str, rules: Redaction, uint64:
     if uint64 or rules.applies(f"{table}.{column}"):
         return hash_text(text)
     return text
-
-
-def is_hashed(table: str, column: str, rules: Redaction, uint64: bool) -> bool:
-    return uint64 or rules.applies(f"{table}.{column}")
-
-

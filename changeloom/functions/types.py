@@ -66,10 +66,6 @@ class TargetColumn:
     def is_int(self) -> bool:
         return self.base in _INTEGER_BITS
 
-    @property
-    def is_float(self) -> bool:
-        return self.base in ("Float32", "Float64")
-
     @property
     def is_decimal(self) -> bool:
         return self.base.startswith("Decimal")

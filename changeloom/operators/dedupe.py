@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from . import schema as S
 from .translate import ROW
 
-#: Servers named one by one in the pruning filter; beyond, one range over all of them.
+#: Servers named one by one in the pruning filter; beyond, one range over all of them. The filter
+#: only prunes what is read: the anti-join behind it is exact in either case.
 MOST_SERVERS = 64
 
 
@@ -73,7 +74,9 @@ def stored_events(stored: DataFrame, bounds: list) -> DataFrame:
         inside = reduce(lambda a, b: a | b, map(one, bounds))
     else:
         inside = F.col(S.TXN_ID).between(min(b["min_txn"] for b in bounds), max(b["max_txn"] for b in bounds))
-    return stored.filter(inside).select(*event_key(stored)).distinct()
+    # rows stored before the destination had row numbers have none; they were the first of their event
+    key = {S.ROW_NO: F.coalesce(F.col(S.ROW_NO), F.lit(0)).alias(S.ROW_NO)} if S.ROW_NO in stored.columns else {}
+    return stored.filter(inside).select(*(key.get(c, F.col(c)) for c in event_key(stored))).distinct()
 
 
 def drop_stored_events(rows: DataFrame, stored: DataFrame, bounds: list) -> DataFrame:

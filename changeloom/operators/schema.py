@@ -65,11 +65,3 @@ def replicated_columns(source: SourceTable, target: TargetTable) -> list[tuple[i
 def target_pk(source: SourceTable, target: TargetTable) -> tuple[str, ...]:
     """The primary key's columns that the destination has."""
     return tuple(c for c in source.pk if c in target.by_name)
-
-
-#: Source catalogue type names by their code in the change log, for readers that get codes.
-WIRE_TYPES = {
-    0: "decimal", 1: "tinyint", 2: "smallint", 3: "int", 4: "float", 5: "double", 7: "timestamp", 8: "bigint", 9: "mediumint", 10: "date", 11: "time", 12: "datetime", 13: "year",
-    15: "varchar", 16: "bit", 17: "timestamp", 18: "datetime", 19: "time", 245: "json", 246: "decimal", 247: "enum", 248: "set", 252: "blob", 253: "varchar", 254: "char", 255: "geometry",
-}
-

@@ -20,6 +20,7 @@ from ..sources import changefeed, gtid, snapshot
 from ..sources.stores import ParquetState, ParquetTargets
 from ..sources.workspace import new_folder
 from ..streaming.engine import Engine
+from ..streaming.engine import batch_parts as engine_parts
 from . import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,12 +343,18 @@ def dump_stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 # documents and redaction
 
 
-@_registered("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
+@_registered("""
+SELECT event_id, '{"id": ' || event_id || ', "kind": "' || event_type || '", "nested": {"tags": ["' || event_type || '", "x y", null], "user": ' || user_id || '}, "props": ' || props || '}' AS doc FROM events
+""")
 def yaml_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """YAML documents (JSON is one kind of them) to JSON text."""
+    """YAML documents with a header, keys with colons, nested lists and JSON in them to JSON text."""
     feed = feeds.event_versions(spark, sf_dir).withColumn("action", F.lit("insert"))
+    part = lambda i: F.get("after", F.lit(i))
+    yaml = "--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess\n:id: %s\nprops: %s\nkind: %s\nnested:\n  :user: %s\n  tags:\n  - %s\n  - x y\n  - ~\n"
+    doc = F.format_string(yaml, part(0), part(5), part(3), part(2), part(3))
+    feed = feed.withColumn("after", F.concat(F.slice("after", 1, 5), F.array(doc)))
     rows = _translated(feed, feeds.EVENTS, {"props": "String"}, yaml_columns=(r"events\.props",))
-    return rows.select(F.col(S.TXN_ID).cast("long").alias("event_id"), F.get_json_object("props", "$.k").cast("long").alias("k"))
+    return rows.select(F.col(S.TXN_ID).cast("long").alias("event_id"), F.col("props").alias("doc"))
 
 
 @_registered("SELECT count(*) AS n, count(DISTINCT event_type) AS kinds, count(*) AS hashed FROM events")
@@ -431,14 +438,33 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("long").alias("unscaled"), F.col(S.ACTION).alias("action"))
 
 
-@_registered(None)
+@_registered("""
+WITH r AS (
+  SELECT DISTINCT 'server-' || l_linenumber AS server_id, l_orderkey AS txn FROM lineitem
+), n AS (
+  SELECT *, txn - row_number() OVER (PARTITION BY server_id ORDER BY txn) AS run FROM r
+), i AS (
+  SELECT server_id, min(txn) AS low, max(txn) AS high FROM n GROUP BY server_id, run
+)
+SELECT server_id, server_id || ':' || string_agg(CASE WHEN low = high THEN low::VARCHAR ELSE low || '-' || high END, ':' ORDER BY low) AS transactions FROM i GROUP BY server_id
+""")
 def merged_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions of every server as one set text; one row a server."""
     server = F.concat(F.lit("server-"), F.col("l_linenumber").cast("string"))
-    rows = feeds.read(spark, sf_dir, "lineitem").select(server.alias("server_id"), F.col("l_orderkey").alias("txn_id")).distinct()
-    w = Window.partitionBy("server_id").orderBy("txn_id")
-    runs = rows.withColumn("run", F.col("txn_id") - F.row_number().over(w)).groupBy("server_id", "run").agg(F.min("txn_id").alias("low"), F.max("txn_id").alias("high"))
-    spelled = F.when(F.col("low") == F.col("high"), F.col("low").cast("string")).otherwise(F.format_string("%d-%d", "low", "high"))
-    return runs.groupBy("server_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("low", spelled.alias("t")))), lambda x: x["t"]), ":").alias("transactions"))
+    return gtid.interval_sets(feeds.read(spark, sf_dir, "lineitem").select(server.alias("server_id"), F.col("l_orderkey").alias("txn_id")))
+
+
+_PART_ROWS = 700
 
 
+@_registered(f"""
+WITH t AS (
+  SELECT ts, count(*) AS n FROM events GROUP BY 1
+), p AS (
+  SELECT *, (sum(n) OVER (ORDER BY ts) - n)::BIGINT // {_PART_ROWS} AS part FROM t
+)
+SELECT part, min(ts)::TIMESTAMP AS first_ts, sum(n)::BIGINT AS rows FROM p GROUP BY part
+""")
+def batch_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the engine cuts the backlog of changes into batches by count."""
+    return engine_parts(feeds.event_versions(spark, sf_dir), _PART_ROWS).withColumn("first_ts", F.col("first_ts").cast("timestamp_ntz"))

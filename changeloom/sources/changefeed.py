@@ -8,10 +8,14 @@ transaction before anything is filtered, so numbers stay the same when tables ar
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.types import SourceTable
+
 _TEXTS = T.ArrayType(T.StringType())
 
 
@@ -35,6 +39,17 @@ ACTIONS = {
 }
 
 
+class ChangeSource(Protocol):
+    """What a source gives the engine: its changes as a stream of envelopes, its tables by name
+    as they are now, and what they look like."""
+
+    def changes(self) -> DataFrame: ...
+
+    def table(self, name: str) -> DataFrame: ...
+
+    def tables(self) -> dict[str, SourceTable]: ...
+
+
 def read_feed(spark: SparkSession, path: str, schema: T.StructType = ENVELOPE_SCHEMA, format_: str = "parquet") -> DataFrame:
     return spark.read.schema(schema).format(format_).load(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Intervals = dict[str, list[tuple[int, int]]]
@@ -46,6 +46,19 @@ def text(intervals: Intervals) -> str:
     return ",".join(f"{sid}:{':'.join(map(spell, ranges))}" for sid, ranges in intervals.items())
 
 
+def interval_sets(transactions: DataFrame) -> DataFrame:
+    """server_id and the text of its set of transactions, from rows of server_id and txn_id.
+
+    Runs are numbered by server, so one server's distinct transactions are ordered in one task.
+    """
+    w = Window.partitionBy("server_id").orderBy("txn_id")
+    runs = transactions.select(F.lower("server_id").alias("server_id"), "txn_id").distinct().withColumn("run", F.col("txn_id") - F.row_number().over(w))
+    runs = runs.groupBy("server_id", "run").agg(F.min("txn_id").alias("low"), F.max("txn_id").alias("high"))
+    spelled = F.when(F.col("low") == F.col("high"), F.col("low").cast("string")).otherwise(F.format_string("%d-%d", "low", "high"))
+    every = F.sort_array(F.collect_list(F.struct("low", spelled.alias("t"))))
+    return runs.groupBy("server_id").agg(F.concat_ws(":", F.col("server_id"), F.array_join(F.transform(every, lambda x: x["t"]), ":")).alias("transactions"))
+
+
 def contains(intervals: Intervals, server_id: Column, txn_id: Column) -> Column:
     """Whether a transaction is in the set, as an expression that a Parquet scan can push down."""
     found = F.lit(False)

@@ -1,6 +1,7 @@
 """The replication engine: micro-batches of the change feed and snapshots into tables.
 
-A batch is applied table by table: translate, drop what is stored, append, then note the
+A batch of more than `batch_size` rows is applied in parts, cut between commit times. A part
+is applied table by table: translate, drop what is stored, append, then note the
 position. Appends are idempotent, because stored rows are looked up before, so a batch that
 is retried, a replay from the start and a repeated snapshot write nothing twice. The stream's
 checkpoint is the position; the state table mirrors the transactions that were applied.
@@ -8,13 +9,15 @@ checkpoint is the position; the state table mirrors the transactions that were a
 
 from __future__ import annotations
 
+import contextlib
+import io
 import logging
 import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,6 +38,25 @@ RETRIES, PAUSE_SECONDS = 5, 1.0
 _SKIPPED = {NO_CHANGE: "skipped_row_level_duplicates", MISMATCH: "skipped_column_mismatch", UNKNOWN: "skipped_unknown_actions"}
 
 
+def batch_parts(feed: DataFrame, batch_size: int) -> DataFrame:
+    """part, first_ts, rows: how a batch is cut by count. A commit time belongs to the part in
+    which the rows before it end, so no transaction is cut, and a part has at most `batch_size`
+    rows besides those of its last commit time. Rows without one come first."""
+    times = feed.groupBy("commit_ts").agg(F.count("*").alias("n"))
+    # one row a commit time of this batch, in one task
+    upto = F.sum("n").over(Window.orderBy(F.col("commit_ts").asc_nulls_first()))
+    parts = times.withColumn("part", F.floor((upto - F.col("n")) / batch_size).cast("long"))
+    return parts.groupBy("part").agg(F.min("commit_ts").alias("first_ts"), F.sum("n").alias("rows"))
+
+
+def plan_text(df: DataFrame) -> str:
+    """What `explain` prints."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
 class Engine:
     def __init__(self, spark: SparkSession, sources: dict[str, SourceTable], targets: TargetStore, state: StateStore, config: Config | None = None, stats: Stats | None = None):
         self.spark, self.sources, self.targets, self.state = spark, sources, targets, state
@@ -42,6 +64,7 @@ class Engine:
         self.rules = Rules.of(self.config)
         self.stats = stats or Stats()
         self._dumping: set[str] = set()
+        self._snapshots_done = False
         self._lock = threading.Lock()
         self._table_locks: dict[str, threading.Lock] = {}
         self._stop = threading.Event()
@@ -57,6 +80,23 @@ class Engine:
 
     # batches
 
+    def apply_in_parts(self, feed: DataFrame) -> None:
+        """A micro-batch in parts of about `batch_size` rows, in order of commit time, so that the
+        position moves on with each and a backlog is never one piece of work."""
+        batch = feed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            starts = [r.first_ts for r in batch_parts(batch, self.config.batch_size).orderBy("part").collect()]
+            for i in range(max(len(starts), 1)):
+                part = batch
+                if i:
+                    part = part.filter(F.col("commit_ts") >= starts[i])
+                if i + 1 < len(starts):
+                    # rows without a commit time come first
+                    part = part.filter(F.col("commit_ts").isNull() | (F.col("commit_ts") < starts[i + 1]) if i == 0 else F.col("commit_ts") < starts[i + 1])
+                self.apply_batch(part)
+        finally:
+            batch.unpersist()
+
     def apply_batch(self, feed: DataFrame, tables: dict[str, TargetTable] | None = None) -> None:
         """Envelopes of any tables into their destinations, several tables at once."""
         tables = self.destination_tables() if tables is None else tables
@@ -98,6 +138,9 @@ class Engine:
                 is_dump = dedupe.is_dump()
                 count = lambda df: df.agg(F.count_if(is_dump).alias("dumps"), F.count_if(~is_dump).alias("events")).first()
                 before, after = count(kept), count(fresh)
+                if self.config.profile:
+                    with self._lock:  # it takes all that is printed
+                        log.info("%s: %s", source.name, plan_text(fresh))
                 if after.dumps + after.events:
                     self.targets.append(source.name, fresh.drop(ROW).sortWithinPartitions(schema.SERVER_ID, schema.TXN_ID))
                 self.stats.add("skipped_persisted_duplicates", before.events - after.events)
@@ -124,15 +167,16 @@ class Engine:
         chosen = []
         with self._lock:
             for name in schema.replicated_tables(self.sources, tables):
-                if snapshot.wanted(name, self.state.get(f"dumped-{name}") == "true", name in self._dumping, self.config.force_dump_tables, force):
+                if snapshot.wanted(name, self.state.dumped(name), name in self._dumping, self.config.force_dump_tables, force):
                     self._dumping.add(name)
+                    self.state.set_dumped(name, False)
                     chosen.append(name)
 
         def scan(name: str) -> None:
             try:
                 rows = snapshot.snapshot_envelopes(reader(name), self.sources[name])
                 self.apply_batch(rows, {name: tables[name]})
-                self.state.set(f"dumped-{name}", "true")
+                self.state.set_dumped(name, True)
             finally:
                 with self._lock:
                     self._dumping.discard(name)
@@ -144,8 +188,9 @@ class Engine:
 
     def snapshot_due(self) -> bool:
         """Snapshots wait until the stream has caught up, unless they are to start at once, and
-        never run beside an explicit start."""
-        if self.config.start_from_gtid:
+        never run beside an explicit start. A run of the engine has one snapshot: it is over once
+        all tables that want it are scanned, and not due again."""
+        if self.config.start_from_gtid or self._snapshots_done:
             return False
         lag = self.stats.lag_seconds
         return self.config.force_immediate_dump or (lag is not None and lag < CAUGHT_UP_SECONDS)
@@ -187,9 +232,10 @@ class Engine:
 
     def _start_at(self, feed: DataFrame, location: str, reader: snapshot.TableReader | None, available_now: bool = False) -> StreamingQuery:
         def each(batch: DataFrame, _: int) -> None:
-            self.apply_batch(batch)
+            self.apply_in_parts(batch)
             if reader is not None and self.snapshot_due():
                 self.run_snapshot(reader, self.config.force_dump or self.config.force_immediate_dump)
+                self._snapshots_done = True
 
         trigger = {"availableNow": True} if available_now else {"processingTime": f"{self.config.batch_write_interval.total_seconds()} seconds"}
         return feed.writeStream.foreachBatch(each).option("checkpointLocation", location).trigger(**trigger).start()

@@ -127,6 +127,103 @@ def test_stream_restart_rewind_and_start(spark, tmp_path):
     assert [r[S.TXN_ID] for r in stored(partial)] == [5, 6, 7] and not partial.snapshot_due()
 
 
+@pytest.mark.parametrize("options", [{"force_immediate_dump": True}, {"force_dump_tables": frozenset({"test"})}])
+def test_a_run_has_one_snapshot(spark, tmp_path, options):
+    source = f"file://{tmp_path}/feed"
+    for i in range(3):
+        feed(spark, [("insert", i + 1, None, ROW | {"id": str(i + 1)})]).coalesce(1).write.mode("append").parquet(source)
+    table = spark.createDataFrame([tuple(image(ROW | {"id": "77"}))], ", ".join(f"{c} string" for c in SOURCE.column_names))
+    e = engine(spark, tmp_path, **options)
+    e.stats.see = lambda newest: setattr(e.stats, "lag_seconds", 1.0)
+    read = []
+
+    def reader(name):
+        read.append(name)
+        return table
+
+    e.start(changefeed.stream_feed(spark, source, max_files=1), f"file://{tmp_path}/c", reader, available_now=True).awaitTermination()
+    assert read == ["test"] and e.state.dumped("test") and not e.snapshot_due()
+    assert sorted((r.id, r[S.ACTION]) for r in stored(e)) == [(1, "insert"), (2, "insert"), (3, "insert"), (77, "dump")]
+
+
+def test_a_failed_snapshot_is_due_again(spark, tmp_path):
+    source = f"file://{tmp_path}/feed"
+    feed(spark, [("insert", 1, None, ROW)]).coalesce(1).write.parquet(source)
+    e = engine(spark, tmp_path, force_immediate_dump=True)
+    with pytest.raises(Exception, match="gone"):
+        e.start(changefeed.stream_feed(spark, source), f"file://{tmp_path}/c", lambda _: (_ for _ in ()).throw(RuntimeError("gone")), available_now=True).awaitTermination()
+    assert e.snapshot_due() and not e.state.dumped("test")
+
+
+def test_a_row_number_column_added_later_keeps_replays_idempotent(spark, tmp_path):
+    e = engine(spark, tmp_path)
+    first = feed(spark, [("insert", 1, None, ROW), ("insert", 2, None, ROW | {"id": "2"})])
+    e.apply_batch(first)
+    e.apply_batch(first)
+    assert len(stored(e)) == 2
+    e.targets.append("test", spark.createDataFrame([], target("test", TARGET, row_no=True).schema))
+    e.apply_batch(first)
+    assert len(stored(e)) == 2
+    several = feed(spark, [("insert", 3, None, ROW | {"id": "3"})]).withColumn("row_no", F.explode(F.array(F.lit(0), F.lit(1))))
+    e.apply_batch(several)
+    e.apply_batch(several)
+    assert sorted(r[S.ROW_NO] for r in stored(e) if r.id == 3) == [0, 1] and len(stored(e)) == 4
+
+
+def test_a_broken_table_is_no_missing_table(spark, tmp_path):
+    e = engine(spark, tmp_path)
+    broken = tmp_path / "tables" / "broken"
+    broken.mkdir()
+    assert e.targets.table("broken") is None and e.targets.table("nowhere") is None
+    (broken / "part-0.parquet").write_bytes(b"no parquet at all")
+    e.sources["broken"] = SOURCE
+    with pytest.raises(Exception, match="(?i)parquet|footer|read"):
+        e.apply_batch(feed(spark, basic_changes()))
+
+
+def test_tables_written_elsewhere_enter_the_catalogue(spark, tmp_path):
+    e = engine(spark, tmp_path)
+    spark.createDataFrame([(1, "x")], "id long, name string").write.parquet(f"file://{tmp_path}/tables/other")
+    assert [c.name for c in e.targets.table("other").columns] == ["id", "name"]
+    spark.createDataFrame([], "id long, more int").write.mode("append").parquet(f"file://{tmp_path}/tables/elsewhere")
+    e.targets.append("other", spark.createDataFrame([(2, 5)], "id long, more int"))
+    assert sorted(map(tuple, e.targets.read("other").collect())) == [(1, "x", None), (2, None, 5)]
+
+
+@pytest.mark.parametrize("batch_size, sizes", [(3, [3, 3, 1]), (100, [7])])
+def test_a_backlog_is_cut_by_count(spark, tmp_path, batch_size, sizes):
+    e = engine(spark, tmp_path, batch_size=batch_size)
+    seen, plain = [], e.apply_batch
+
+    def counted(batch, tables=None):
+        seen.append(batch.count())
+        plain(batch, tables)
+
+    e.apply_batch = counted
+    e.apply_in_parts(feed(spark, basic_changes()))
+    assert seen == sizes and [r[S.TXN_ID] for r in stored(e)] == [1, 3, 5, 6, 7]
+    assert e.state.get(POSITION_KEY) == f"{SID}:1-7"
+
+
+def test_transactions_and_changes_without_a_time_are_not_cut(spark, tmp_path):
+    e = engine(spark, tmp_path, batch_size=2)
+    rows = feed(spark, [("insert", i, None, ROW | {"id": str(i)}) for i in range(1, 8)])
+    time = F.when(F.col("txn_id") == 7, None).when(F.col("txn_id") < 4, F.timestamp_seconds(F.lit(5))).otherwise(F.timestamp_seconds(F.lit(6)))
+    seen = []
+    e.apply_batch = lambda batch: seen.append(sorted(r.txn_id for r in batch.collect()))
+    e.apply_in_parts(rows.withColumn("commit_ts", time))
+    assert seen == [[1, 2, 3, 7], [4, 5, 6]]
+    e.apply_in_parts(rows.limit(0))
+    assert seen[2:] == [[]]
+
+
+def test_profile_logs_plans(spark, tmp_path, caplog):
+    e = engine(spark, tmp_path, profile=True)
+    with caplog.at_level("INFO"):
+        e.apply_batch(feed(spark, basic_changes()))
+    assert "Physical Plan" in caplog.text
+
+
 def test_supervisor_retries_then_gives_up_and_stops(spark, tmp_path):
     source = f"file://{tmp_path}/feed"
     feed(spark, basic_changes()).write.parquet(source)

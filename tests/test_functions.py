@@ -196,6 +196,20 @@ def test_hash_column(spark):
     assert got == [None if v is None else str(plain_city(v.encode())) for v in ("test", None, "", "x" * 100_000)]
 
 
+def test_hash_of_published_values():
+    """What other implementations of version 1.0.2 give: the empty text (K2) and one in a manual."""
+    assert H.city_hash64(pa.array(["", "Moscow"])).tolist() == [11160318154034397263, 12507901496292878638]
+
+
+def test_documents_of_a_batch_are_hashed_together():
+    docs = [":password: a\nx: [b, {email: c}]\n", None, "password: a\n", "{a: [", ""]
+    each = [R.yaml_to_json(d, "t.doc", RULES) for d in docs]
+    assert R.redact_documents(docs, "t.doc", RULES, True) == each and each[1] is None
+    assert json.loads(each[0])["password"] == json.loads(each[2])["password"] == int(H.city_hash64(pa.array(["a"]))[0])
+    bad = R.redact_documents(["{no json", '{"email": "q", "n": 1}', None], "t.doc", RULES, False)
+    assert bad == [str(int(H.city_hash64(pa.array(["{no json"]))[0])), json.dumps({"email": int(H.city_hash64(pa.array(["q"]))[0]), "n": 1}), None]
+
+
 def test_patterns_are_unanchored_and_picklable():
     import pickle
 
