@@ -48,7 +48,7 @@ WINDOWS, TRAIN_WORDS = (1, 8), 2
 DICTIONARY_BYTES, TRAIN_WINDOWS, COVER, ROUNDS, MARGIN_RATIO = 110 << 10, 120_000, {"k": 2000, "d": 8}, 4, 8.0
 #: Gains in bytes, and in tenths of the window's length less _FRAME bytes of what any window takes.
 THRESHOLDS, SHARES, _FRAME = (2, 3, 4, 5, 6, 8, 10, 12, 16), (2, 3, 4, 5, 6), 14
-_CACHE = 200_000
+_CACHE, _CALL, _GROUP = 300_000, 4096, 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -67,10 +67,6 @@ def _spelled(window: str) -> bytes:
     return f"{SEPARATOR}{window}{SEPARATOR}".encode(ENCODING)
 
 
-def _framed(window: str) -> bytes:
-    return CARRIER + _spelled(window) + CARRIER
-
-
 def train_dictionary(windows: list[str], size: int = DICTIONARY_BYTES) -> bytes:
     """zstandard's dictionary of at most TRAIN_WINDOWS of the windows, evenly drawn; of at most
     half their size."""
@@ -84,46 +80,37 @@ def train_dictionary(windows: list[str], size: int = DICTIONARY_BYTES) -> bytes:
         return b"".join(drawn)[: max(size, 256)]
 
 
-class _Lengths(dict):
-    """window -> its compressed length with a dictionary, remembered for a bounded number."""
+class Lengths:
+    """Compressed lengths of windows with each of some dictionaries, many windows a call."""
 
-    def __init__(self, content: bytes):
+    def __init__(self, *contents: bytes):
         import zstandard
 
         settings = zstandard.ZstdCompressionParameters(
             window_log=18, chain_log=LOGS, hash_log=LOGS, search_log=SEARCH_LOG, min_match=MIN_MATCH, target_length=64,
             strategy=getattr(zstandard, STRATEGY), write_content_size=False, write_dict_id=False,
         )
-        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        held.precompute_compress(compression_params=settings)
-        self.compress = zstandard.ZstdCompressor(dict_data=held, compression_params=settings).compress
-
-    def __missing__(self, window: str) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        found = self[window] = len(self.compress(_framed(window)))
-        return found
+        self._segments, self._compress = zstandard.BufferWithSegments, []
+        for content in contents:
+            held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            held.precompute_compress(compression_params=settings)
+            self._compress.append(zstandard.ZstdCompressor(dict_data=held, compression_params=settings).multi_compress_to_buffer)
 
     def of(self, windows: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, windows), np.int64, len(windows))
-
-
-class _Pairs(dict):
-    """window -> its length under the ordinary dictionary << 32 and under the toxic one;
-    remembered for words, of which texts repeat many, and a bounded number of them."""
-
-    def __init__(self, model: dict):
-        self.ordinary, self.toxic = (_Lengths(model[k]).compress for k in ("ordinary", "toxic"))
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        found = self[word] = self.of(word)
-        return found
-
-    def of(self, window: str) -> int:
-        framed = _framed(window)
-        return len(self.ordinary(framed)) << 32 | len(self.toxic(framed))
+        """(dictionaries, windows)"""
+        out = np.empty((len(self._compress), len(windows)), np.int64)
+        before, behind = CARRIER.decode(ENCODING) + SEPARATOR, SEPARATOR + CARRIER.decode(ENCODING)
+        for at in range(0, len(windows), _CALL):
+            part = windows[at : at + _CALL]
+            framed = (before + (behind + before).join(part) + behind).encode(ENCODING)
+            sizes = 2 * (np.fromiter(map(len, part), np.int64, len(part)) + len(before) + len(behind))
+            if sizes.sum() != len(framed):  # letters of four bytes
+                sizes = np.array([len(w.encode(ENCODING)) for w in part]) + 2 * (len(before) + len(behind))
+            ends = np.cumsum(sizes)
+            pieces = self._segments(framed, np.stack([ends - sizes, sizes], 1).astype("<u8").tobytes())
+            for k, compress in enumerate(self._compress):
+                out[k, at : at + len(part)] = [len(frame) for frame in compress(pieces)]
+        return out
 
 
 class Scorer:
@@ -132,27 +119,62 @@ class Scorer:
     def __init__(self, model: dict):
         self.model = model
         if "toxic" in model:
-            self.pairs = _Pairs(model)
-
-    def features(self, words: list[str]) -> np.ndarray:
-        out = []
-        for size in WINDOWS:
-            windows = windows_of(words, size, size)
-            both = np.fromiter(map(self.pairs.__getitem__ if size == 1 else self.pairs.of, windows), np.int64, len(windows)) if windows else np.zeros(1, np.int64)
-            plain = both >> 32
-            gains = plain - (both & 0xFFFFFFFF)
-            tenths = np.minimum(10 * gains // np.maximum(plain - _FRAME, 1), 10)[gains >= THRESHOLDS[0]]
-            most = int(gains.max())
-            at_least = lambda values, top: np.bincount(np.maximum(values, 0), minlength=top + 1)[::-1].cumsum()[::-1]
-            over = np.concatenate([at_least(np.minimum(gains, 32), 32)[list(THRESHOLDS)], at_least(tenths, 10)[list(SHARES)]]).astype(float)
-            out += [np.log1p(over), np.sqrt(over / len(gains)), [math.log1p(len(gains)), gains.mean(), min(most, 32) / 10]]
-        return np.concatenate(out)
+            self.lengths = Lengths(model["ordinary"], model["toxic"])
+        #: Both lengths of words, of which texts repeat many: a bounded number of them.
+        self.known: dict[str, int] = {}
+
+    def _both(self, windows: list[str]) -> list[int]:
+        """The length under the ordinary dictionary << 32 and under the toxic one."""
+        plain, toxic = self.lengths.of(windows)
+        return (plain << 32 | toxic).tolist()
+
+    def _of_words(self, texts: list[list[str]]) -> list[np.ndarray]:
+        every = dict.fromkeys(w for words in texts for w in words)
+        new = [w for w in every if w not in self.known]
+        if len(self.known) + len(new) > _CACHE:
+            self.known, new = {}, list(every)
+        self.known.update(zip(new, self._both(new), strict=True))
+        return [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) for words in texts]
+
+    def _of_windows(self, texts: list[list[str]], size: int) -> list[np.ndarray]:
+        cut = [windows_of(words, size, size) for words in texts]
+        both = np.array(self._both([w for own in cut for w in own]), np.int64)
+        return np.split(both, np.cumsum([len(own) for own in cut])[:-1])
+
+    def features(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Of texts given as their words."""
+        found = [self._of_words(texts) if size == 1 else self._of_windows(texts, size) for size in WINDOWS]
+        return [np.concatenate([part for own in each for part in _counts(own)]) for each in zip(*found, strict=True)]
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        if "weights" not in self.model:
+            return [self.model["share"]] * len(texts)
+        out: list[float] = []
+        held: list[list[str]] = []
+        load = 0
+        for i, text in enumerate(texts):
+            held.append(words_of(text))
+            load += len(text or "")
+            if load >= _GROUP or i == len(texts) - 1:
+                for x in self.features(held):
+                    z = (x - self.model["mean"]) / self.model["scale"]
+                    out.append(float(1 / (1 + math.exp(-max(-500.0, min(500.0, float(z @ self.model["weights"][:-1] + self.model["weights"][-1])))))))
+                held, load = [], 0
+        return out
 
     def score(self, text: str | None) -> float:
-        if "weights" not in self.model:
-            return self.model["share"]
-        z = (self.features(words_of(text)) - self.model["mean"]) / self.model["scale"]
-        return float(1 / (1 + math.exp(-max(-500.0, min(500.0, float(z @ self.model["weights"][:-1] + self.model["weights"][-1]))))))
+        return self.scores([text])[0]
+
+
+def _counts(both: np.ndarray) -> list:
+    """How many windows of a text gain how much."""
+    both = both if len(both) else np.zeros(1, np.int64)
+    plain = both >> 32
+    gains = plain - (both & 0xFFFFFFFF)
+    tenths = np.minimum(10 * gains // np.maximum(plain - _FRAME, 1), 10)[gains >= THRESHOLDS[0]]
+    at_least = lambda values, top: np.bincount(np.maximum(values, 0), minlength=top + 1)[::-1].cumsum()[::-1]
+    over = np.concatenate([at_least(np.minimum(gains, 32), 32)[list(THRESHOLDS)], at_least(tenths, 10)[list(SHARES)]]).astype(float)
+    return [np.log1p(over), np.sqrt(over / len(gains)), [math.log1p(len(gains)), gains.mean(), min(int(gains.max()), 32) / 10]]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -181,18 +203,16 @@ def dictionaries(toxic: list[list[str]], ordinary: list[list[str]]) -> tuple[byt
     """The two dictionaries from the words of toxic and of ordinary texts."""
     cut = lambda texts: [w for words in texts for w in windows_of(words, TRAIN_WORDS, 1)]
     plain = train_dictionary(cut(ordinary[::2]))
-    under_plain, others = _Lengths(plain), cut(ordinary[1::2] or ordinary)
+    others = cut(ordinary[1::2] or ordinary)
     others = others[:: max(1, len(others) // (2 * TRAIN_WINDOWS))]
-    others_plain = under_plain.of(others)
     halves = [cut(toxic[::2]), cut(toxic[1::2] or toxic)]
-    halves_plain = [under_plain.of(h) for h in halves]
     chosen = halves
     for _ in range(ROUNDS):
         found = []
-        for own, own_plain, seen in zip(halves, halves_plain, chosen[::-1], strict=True):
-            lengths = _Lengths(train_dictionary(seen))
-            gains = own_plain - lengths.of(own)
-            least = _margin(gains, others_plain - lengths.of(others))
+        for own, seen in zip(halves, chosen[::-1], strict=True):
+            lengths = Lengths(plain, train_dictionary(seen))
+            gains, others_gains = (a - b for a, b in map(lengths.of, (own, others)))
+            least = _margin(gains, others_gains)
             found.append([w for w, g in zip(own, gains.tolist(), strict=True) if g >= least] if least else [])
         if not all(found):
             break  # nothing stands out: the last choice stays
@@ -213,7 +233,8 @@ def train(sample: Iterable[tuple[str, int]], share: float) -> dict:
     model = {"share": share, "toxic": toxic, "ordinary": ordinary}
     scorer = Scorer(model)
     rest = [(words, k) for k in (1, 0) for words in texts[k][cut[k] :]]
-    x, y = np.array([scorer.features(words) for words, _ in rest]), np.array([k for _, k in rest], float)
+    x = np.concatenate([scorer.features([words for words, _ in rest[at : at + 100]]) for at in range(0, len(rest), 100)])
+    y = np.array([k for _, k in rest], float)
     # the sample has each label to its own bound; weights bring back the true share
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     mean, scale = x.mean(0), x.std(0) + 1e-6
@@ -235,7 +256,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
     def make():
         scorer = Scorer(held.value)
-        return lambda texts: [[scorer.score(t) for t in texts]]
+        return lambda texts: [scorer.scores(texts)]
 
     return common.apply_batches(docs, id_col, text_col, "score double", make)
 
@@ -246,7 +267,7 @@ def keep_clean(docs: DataFrame, model: dict, text_col: str = "text", threshold:
 
     def make():
         scorer = Scorer(held.value)
-        return lambda texts: [scorer.score(t) < threshold for t in texts]
+        return lambda texts: [s < threshold for s in scorer.scores(texts)]
 
     return common.keep_rows(docs, text_col, make)
 
