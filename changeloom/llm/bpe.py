@@ -52,7 +52,7 @@ from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 HOT_WORDS, HOT_COUNT, HOT_BYTES, LONG = 1 << 19, 4, 32, 64
-SLICE_BYTES, COUNT_WORDS, TAIL_ROW, HOT_PARTS = 16 << 20, 200_000, 1000, 64
+SLICE_BYTES, COUNT_WORDS, TAIL_ROW, HOT_PARTS = 8 << 20, 200_000, 1000, 64
 assert LONG <= 1 << 8  # places in a word have eight bits
 
 
@@ -343,8 +343,8 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     32-bit integers), decoded (the bytes that the ids stand for)."""
     spark = docs.sparkSession
     path = vocabulary or public_tokenizers.path(VOCABULARY)
+    common.drop_unused(spark)
     counts = common.materialize(word_counts(docs, text_col, pattern), "bpe-words")
-    common.release_memory()
     hot = spark.sparkContext.broadcast(hot_words(counts, path))
     common.release_memory()  # the driver needs the words no longer
     # the long words' merges need the ranks on the executors: a bounded table, as the literal is

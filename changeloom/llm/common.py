@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 
@@ -145,6 +146,7 @@ def train_in_task(sample: DataFrame, train, label_bytes: int):
 
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(chosen(batches)))], pa.binary())], ["model"])
 
+    drop_unused(sample.sparkSession)
     one = sample.repartition(1).sortWithinPartitions("h", "id", "label").select("text", "label")
     made = one.mapInArrow(tidy(run), "model binary").collect()
     # an empty table has no task
@@ -166,6 +168,15 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def drop_unused(spark: SparkSession) -> None:
+    """Let go of what earlier operators broadcast. Spark's cleaner removes a broadcast, from the
+    executors too, once the driver's garbage collection has found it unused, which a driver
+    that does little may put off for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    release_memory()
+
+
 def tidy(run):
     """`run`, a function over a task's batches, with its memory released at the end."""
 

@@ -394,6 +394,7 @@ def verify(members: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: id, row, node of its class (null without words), class_id, n_links."""
+    common.drop_unused(docs.sparkSession)
     signed = common.materialize(keys(docs, id_col, text_col), "jaccard-keys")
     nodes = signed.filter("key is not null").groupBy("key").agg(F.min("id").alias("node_id"), F.min("row").alias("node_row"), F.count("*").alias("n_docs"), F.max("shingles").alias("shingles"))
     # numbers are given once and written: all that follows reads the same ones
