@@ -98,7 +98,9 @@ def _hash(a: int, b: int) -> int:
 
 
 #: An entry of the pair table: a << _A | b << _B | rank << _PLACE_BITS; below is room for a place in a word.
-_A, _B, _PLACE_BITS, _EMPTY = 40, 24, 8, 1 << 62
+_A, _B, _PLACE_BITS = 40, 24, 8
+#: Plans hold the rank map. Their descriptions, which the driver keeps of many past queries, are cut.
+PLAN_CHARS = 100_000
 
 
 @cache
@@ -122,11 +124,12 @@ def _pair_table(path: str) -> tuple[str, str, int, int]:
     buckets: dict[int, list[tuple[int, int, int]]] = {}
     for (a, b), rank in pairs.items():
         buckets.setdefault(a * 7 + b & n_buckets - 1, []).append((_hash(a, b) & size - 1, a << _A | b << _B, rank))
-    table, moves = [_EMPTY] * size, [0] * n_buckets
+    table: list[int | None] = [None] * size
+    moves = [0] * n_buckets
     for k, own in sorted(buckets.items(), key=lambda kv: -len(kv[1])):
         if len({base for base, _, _ in own}) < len(own):
             raise ValueError("two pairs of one bucket have one hash: take another seed")
-        move = next(m for m in range(size) if all(table[base ^ m] == _EMPTY for base, _, _ in own))
+        move = next(m for m in range(size) if all(table[base ^ m] is None for base, _, _ in own))
         moves[k] = move
         for base, pair, rank in own:
             table[base ^ move] = pair | rank << _PLACE_BITS
@@ -150,7 +153,7 @@ def fold_merges(word: Column, path: str) -> Column:
 
     def rank(a: Column, b: Column, place: Column) -> Column:
         """rank << _PLACE_BITS | place, or a number of 2^_B or more (an entry of another pair
-        differs above), or null without a second part."""
+        differs above), or null without an entry or a second part."""
         at = F.xxhash64(a, b).bitwiseAND(size - 1).bitwiseXOR(move[(a * 7 + b).bitwiseAND(n_buckets - 1)])
         return table[at].bitwiseXOR(F.shiftleft(a, _A) + F.shiftleft(b, _B) + place)
 
@@ -343,6 +346,8 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     32-bit integers), decoded (the bytes that the ids stand for)."""
     spark = docs.sparkSession
     path = vocabulary or public_tokenizers.path(VOCABULARY)
+    if spark.conf.get("spark.sql.maxPlanStringLength", None) is None:
+        spark.conf.set("spark.sql.maxPlanStringLength", PLAN_CHARS)
     common.drop_unused(spark)
     counts = common.materialize(word_counts(docs, text_col, pattern), "bpe-words")
     hot = spark.sparkContext.broadcast(hot_words(counts, path))
