@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-HOT_WORDS, HOT_COUNT, HOT_BYTES, LONG = 1 << 19, 4, 32, 64
+HOT_WORDS, HOT_COUNT, HOT_BYTES, LONG = 1 << 18, 4, 32, 64
 SLICE_BYTES, COUNT_WORDS, TAIL_ROW, HOT_PARTS = 8 << 20, 200_000, 1000, 64
 assert LONG <= 1 << 8  # places in a word have eight bits
 
@@ -351,7 +351,7 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     common.drop_unused(spark)
     counts = common.materialize(word_counts(docs, text_col, pattern), "bpe-words")
     hot = spark.sparkContext.broadcast(hot_words(counts, path))
-    common.release_memory()  # the driver needs the words no longer
+    common.drop_unused(spark)  # the driver needs the words no longer
     # the long words' merges need the ranks on the executors: a bounded table, as the literal is
     ranks = spark.sparkContext.broadcast(load_ranks(path))
     docs = docs.select(*(F.col(c) for c in id_cols), F.col(text_col).cast("string").alias("__text"))
