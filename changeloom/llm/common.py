@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A sample has so many labels at most; more are an error, as a label left out could never be predicted.
 MOST_LABELS = 1000
+#: Rows of an Arrow batch, where the session names no number: Spark's 10,000 documents take some 30 MB,
+#: held several times over by each task's JVM side and by each of its Python workers.
+BATCH_ROWS = 2000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +50,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS rows, unless the session names a number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def fold_of(key: Column, modulus: int) -> Column:
     """crc32 of a key's decimal text, modulo `modulus`; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus
@@ -90,6 +100,20 @@ def slices(batch, column: str, most_bytes: int = 16 << 20):
     yield batch.slice(start)
 
 
+def gathered(batches, most_bytes: int):
+    """Arrow batches of one schema, small ones joined up to about `most_bytes`."""
+    import pyarrow as pa
+
+    held: list = []
+    for batch in batches:
+        if held and sum(b.nbytes for b in held) + batch.nbytes > most_bytes:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def bounded_sample(docs: DataFrame, keep: Column, label: Column, per_label: int, most_bytes: int, id_col: str = "doc_id", text_col: str = "text", labels: DataFrame | None = None, most_labels: int = MOST_LABELS) -> DataFrame:
     """h, id, text, label of a bounded sample, the same on every run.
 
@@ -192,6 +216,7 @@ def tidy(run):
 def apply_batches(docs: DataFrame, id_col: str, text_col: str, fields: str, make) -> DataFrame:
     """id and `fields` for every row: `make()` gives, once a task, a function from a list of
     texts to the columns (lists) of `fields`. Long batches come in slices."""
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
     kind = docs.schema[0].dataType.simpleString()
     names = [f.strip().split(" ")[0] for f in fields.split(", ")]
@@ -211,6 +236,7 @@ def apply_batches(docs: DataFrame, id_col: str, text_col: str, fields: str, make
 def keep_rows(docs: DataFrame, text_col: str, make) -> DataFrame:
     """The rows of `docs` that `make()`, called once a task, chooses: a function from a list
     of texts to a list of booleans. All columns stay as they are."""
+    bound_batches(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa

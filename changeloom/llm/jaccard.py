@@ -214,6 +214,14 @@ def _block_pairs(df: DataFrame, blocks: Column, key: str) -> DataFrame:
     ).drop("other", "blocks")
 
 
+def _cut(df: DataFrame, label: str) -> DataFrame:
+    """A cut point, and what led to it let go: the join has some twenty, and the driver's heap keeps
+    what it has once taken for the plans, statistics and filters of one unless it is told to."""
+    out = common.materialize(df, label)
+    common.drop_unused(df.sparkSession)
+    return out
+
+
 def keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, row (64-bit hash of id and text), key, shingle count and signature of every row."""
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -254,7 +262,7 @@ def candidates(one: DataFrame) -> DataFrame:
     entries = entries.select("node", F.explode("bands").alias("bucket"))
     # buckets are counted where their entries lie; only entries of buckets with several move again,
     # each with a salt, so that no bucket is gathered to learn its size
-    sizes = common.materialize(entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "jaccard-buckets")
+    sizes = _cut(entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "jaccard-buckets")
     entries = likely(entries, sizes, "bucket").withColumn("salt", F.pmod(F.xxhash64("node", F.lit("salt")), F.lit(SALTS)))
     sizes = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("members") > 0, F.lit(SALTS - 1).cast("long")))))
     entries = entries.join(sizes, ["bucket", "salt"]).drop("salt")
@@ -284,16 +292,16 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     of stars need few rounds. Each round is a written table, and only a count is collected.
     """
     both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
-    both = common.materialize(both, f"{label}-edges")
+    both = _cut(both, f"{label}-edges")
     labels = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component"))
-    labels = common.materialize(labels, f"{label}-labels")
+    labels = _cut(labels, f"{label}-labels")
     while True:
         sent = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("told"))
         heard = labels.join(sent, labels.node == sent.a, "left").select("node", F.col("component").alias("old"), F.least("component", "told").alias("component"))
-        heard = common.materialize(heard, f"{label}-heard")
+        heard = _cut(heard, f"{label}-heard")
         of = heard.select(F.col("node").alias("over"), F.col("component").alias("top"))
         jumped = heard.join(of, heard.component == of.over, "left").select("node", "old", F.least("component", F.coalesce("top", "component")).alias("component"))
-        jumped = common.materialize(jumped, f"{label}-labels")
+        jumped = _cut(jumped, f"{label}-labels")
         labels = jumped.select("node", "component")
         if jumped.filter("component <> old").isEmpty():
             return labels
@@ -394,32 +402,33 @@ def verify(members: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: id, row, node of its class (null without words), class_id, n_links."""
+    common.bound_batches(docs.sparkSession)
     common.drop_unused(docs.sparkSession)
-    signed = common.materialize(keys(docs, id_col, text_col), "jaccard-keys")
+    signed = _cut(keys(docs, id_col, text_col), "jaccard-keys")
     nodes = signed.filter("key is not null").groupBy("key").agg(F.min("id").alias("node_id"), F.min("row").alias("node_row"), F.count("*").alias("n_docs"), F.max("shingles").alias("shingles"))
     # numbers are given once and written: all that follows reads the same ones
-    nodes = common.materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
+    nodes = _cut(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
     # a node's signature comes from one of its rows
     copies = nodes.select("key", "n_docs")
     names = nodes.select("node", F.col("key").alias("node_key"), "node_row")
     one = signed.join(names, (F.col("key") == F.col("node_key")) & (F.col("row") == F.col("node_row"))).select("node", "signature")
     if rows_repeat(signed):
         one = one.dropDuplicates(["node"])
-    edges = candidates(common.materialize(one, "jaccard-signatures"))
+    edges = candidates(_cut(one, "jaccard-signatures"))
     found = components(edges, "jaccard-candidates")
     named = found.join(nodes, "node")
     size = named.groupBy("component").agg(F.greatest(F.ceil(F.sum("shingles") / SHINGLE_BLOCK), F.ceil(F.count("*") / NODE_BLOCK)).alias("blocks"))
-    named = common.materialize(named.join(size, "component"), "jaccard-members")
+    named = _cut(named.join(size, "component"), "jaccard-members")
     texts = docs.select(row_of(F.col(id_col), F.col(text_col).cast("string")).alias("row"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     texts = likely(texts, named.select(F.col("node_row").alias("row")), "row")
     members = texts.join(named, texts.row == named.node_row).select("component", "blocks", "node", "key", "n_docs", "text")
-    verified = common.materialize(verify(members), "jaccard-verified")
+    verified = _cut(verify(members), "jaccard-verified")
     links = verified.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = components(verified.filter("b is not null").select("a", "b").distinct(), "jaccard-links")
     nodes = nodes.join(joined, "node", "left").join(links, "node", "left").withColumn("class_node", F.coalesce("component", "node"))
     least = nodes.groupBy("class_node").agg(F.min("node_id").alias("class_id"))
     nodes = nodes.join(least, "class_node").select("key", "class_node", "class_id", (F.col("n_docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    nodes = common.materialize(nodes, "jaccard-classes")
+    nodes = _cut(nodes, "jaccard-classes")
     rows = signed.select("id", "row", "key")
     # copies of one text may be a third of all rows: keys of so many rows are few, and their rows stay
     # where they lie; rows without words have no key and no node
@@ -444,12 +453,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, one of each class: that of the least id. Rows without words stay."""
-    found = common.materialize(classes(docs, id_col, text_col), "jaccard-rows")
+    found = _cut(classes(docs, id_col, text_col), "jaccard-rows")
     kept = found.filter(F.col("node").isNull() | F.col("id").eqNullSafe(F.col("class_id")))
     # of several rows with a class' least id, one; without words there is no class
     alone = kept.filter("node is null").select("row").distinct()
     kept = kept.filter("node is not null").groupBy("node").agg(F.min("row").alias("row")).select("row").distinct().unionByName(alone)
-    kept = common.materialize(kept.withColumnRenamed("row", "kept"), "jaccard-kept")
+    kept = _cut(kept.withColumnRenamed("row", "kept"), "jaccard-kept")
     # a row is one value, so that no column of it meets one of ours
     text = F.col(text_col).cast("string")
     rows = docs.select(F.struct(*docs.columns).alias("whole"), row_of(F.col(id_col), text).alias("row"), F.coalesce(text, F.lit("")).rlike(r"[\p{L}\p{N}_]").alias("worded"))

@@ -77,3 +77,30 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark):
             if name != "tokenize":
                 assert stage_docs.columns == start.columns
         stage_docs.count()
+
+
+def test_batches_are_bounded_and_cut_points_let_go(spark, monkeypatch):
+    from changeloom.llm import jaccard
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.range(0, 5000, 1, 1).selectExpr("id AS doc_id", "concat('some plain words of text number ', id) AS text")
+    most = []
+
+    def keep(texts):
+        assert len(texts) <= 2000
+        return [True] * len(texts)
+
+    spark.conf.unset(name)
+    assert common.keep_rows(docs, "text", lambda: keep).count() == 5000
+    spark.conf.set(name, "700")  # a number that the session names stays
+    common.bound_batches(spark)
+    assert spark.conf.get(name) == "700"
+    spark.conf.unset(name)
+
+    let_go = common.drop_unused
+    monkeypatch.setattr(common, "drop_unused", lambda s: most.append(let_go(s)))
+    cuts = []
+    written = common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, label: cuts.append(label) or written(df, label))
+    assert jaccard.classes(docs.limit(20)).count() == 20
+    assert cuts and len(most) > len(cuts)
