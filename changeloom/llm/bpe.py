@@ -92,49 +92,57 @@ def splitter(pattern: str):
     return split
 
 
-def _hash(a: int, b: int) -> int:
-    """What xxhash64(a, b) gives for two bigints, unsigned."""
-    return xxhash.xxh64_intdigest(b.to_bytes(8, "little"), seed=xxhash.xxh64_intdigest(a.to_bytes(8, "little"), seed=42))
-
-
-#: An entry of the pair table: a << _A | b << _B | rank << _PLACE_BITS; below is room for a place in a word.
-_A, _B, _PLACE_BITS = 40, 24, 8
+#: A part of a word while it is folded: rank << _RANK | place << _PLACE | id, all numbers of tokens
+#: one higher than their ranks. The rank is that of the part joined with the next one, or _NONE or
+#: more where those are no token; the place is that of its first byte. So parts are distinct, and the
+#: least is the leftmost of the pairs of least rank.
+_PLACE, _RANK, _NEXT, _LOW_ID = 16, 24, 40, 56
+_ID, _OWN, _LOW, _NONE = (1 << _PLACE) - 1, (1 << _RANK) - 1, (1 << 7) - 1, 1 << _NEXT
+#: The id of what stands before the first and after the last part: in no pair.
+_EDGE = _ID
+#: Odd factors of the pair table's hashes.
+_MIX_A, _MIX_B, _MIX_LOW = 0x9E3779B1, 0x85EBCA77, 0x2C1B3
 #: Plans hold the rank map. Their descriptions, which the driver keeps of many past queries, are cut.
 PLAN_CHARS = 100_000
 
 
 @cache
-def _pair_table(path: str) -> tuple[str, str, int, int]:
-    """A perfect hash table of all pairs of tokens whose joined bytes are a token.
+def _pair_table(path: str) -> tuple[str, str, str, int, int]:
+    """A perfect hash table of all pairs of tokens whose joined bytes are a token, and a plain
+    table of all pairs of bytes.
 
     Pairs of one bucket are moved together by an exclusive or with the bucket's displacement,
-    the first that brings all to free places.
+    the first that brings all to free places. The bucket is chosen by b and the low bits of a,
+    which an entry holds too. Pairs that agree in these have one displacement and, as their
+    distances are multiples of an odd factor, different places: an entry and its place name one pair.
     """
     ranks = load_ranks(path)
-    if max(ranks.values()) >= 1 << 16:
+    if max(ranks.values()) + 1 >= _EDGE:
         raise ValueError("ids of more than 16 bits need a wider entry")
     pairs = {}
     for piece, rank in ranks.items():
         for k in range(1, len(piece)):
             a, b = ranks.get(piece[:k]), ranks.get(piece[k:])
             if a is not None and b is not None:
-                pairs[a, b] = rank
-    size = 1 << (2 * max(len(pairs), 1)).bit_length()
+                pairs[a + 1, b + 1] = rank + 1
+    size = max(1 << (2 * max(len(pairs), 1)).bit_length(), 1 << _PLACE)
     n_buckets = size >> 2
-    buckets: dict[int, list[tuple[int, int, int]]] = {}
+    buckets: dict[int, list[tuple[int, int]]] = {}
     for (a, b), rank in pairs.items():
-        buckets.setdefault(a * 7 + b & n_buckets - 1, []).append((_hash(a, b) & size - 1, a << _A | b << _B, rank))
-    table: list[int | None] = [None] * size
+        entry = (a & _LOW) << _LOW_ID | b << _NEXT | rank << _RANK
+        buckets.setdefault((a & _LOW) * _MIX_LOW + b & n_buckets - 1, []).append((a * _MIX_A + b * _MIX_B & size - 1, entry))
+    table = [0] * size
     moves = [0] * n_buckets
     for k, own in sorted(buckets.items(), key=lambda kv: -len(kv[1])):
-        if len({base for base, _, _ in own}) < len(own):
-            raise ValueError("two pairs of one bucket have one hash: take another seed")
-        move = next(m for m in range(size) if all(table[base ^ m] is None for base, _, _ in own))
+        if len({base for base, _ in own}) < len(own):
+            raise ValueError("two pairs of one bucket have one hash: take other factors")
+        move = next(m for m in range(size) if not any(table[base ^ m] for base, _ in own))
         moves[k] = move
-        for base, pair, rank in own:
-            table[base ^ move] = pair | rank << _PLACE_BITS
+        for base, entry in own:
+            table[base ^ move] = entry
+    of_bytes = [pairs.get((ranks[bytes([a])] + 1, ranks[bytes([b])] + 1), _NONE >> _RANK) if b < 256 else _NONE >> _RANK for a in range(256) for b in range(257)]
     compact = lambda x: json.dumps(x, separators=(",", ":"))
-    return compact(table), compact(moves), size, n_buckets
+    return compact(table), compact(moves), compact(of_bytes), size, n_buckets
 
 
 def _let(value: Column, then) -> Column:
@@ -142,35 +150,41 @@ def _let(value: Column, then) -> Column:
 
 
 def fold_merges(word: Column, path: str) -> Column:
-    """Ids (array<bigint>) of one word given as an array of its bytes (bigints 0 to 255), at most 2^_PLACE_BITS of them."""
-    entries, moves, size, n_buckets = _pair_table(path)
-    # constants: parsed once, when the plan is optimised
-    table = F.from_json(F.lit(entries), "array<bigint>")
-    move = F.from_json(F.lit(moves), "array<bigint>")
+    """Ids (array<bigint>) of one word given as an array of its bytes (bigints 0 to 255), at most 2^8 of them."""
+    # constants: parsed once, when the plan is optimised, so each stands once in the plan
+    *tables, size, n_buckets = _pair_table(path)
+    table, move, of_bytes = (F.from_json(F.lit(x), "array<bigint>") for x in tables)
     ranks = load_ranks(path)
-    of_byte = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<bigint>")
-    found = 1 << _B
-
-    def rank(a: Column, b: Column, place: Column) -> Column:
-        """rank << _PLACE_BITS | place, or a number of 2^_B or more (an entry of another pair
-        differs above), or null without an entry or a second part."""
-        at = F.xxhash64(a, b).bitwiseAND(size - 1).bitwiseXOR(move[(a * 7 + b).bitwiseAND(n_buckets - 1)])
-        return table[at].bitwiseXOR(F.shiftleft(a, _A) + F.shiftleft(b, _B) + place)
+    of_byte = F.from_json(F.lit(json.dumps([ranks[bytes([i])] + 1 for i in range(256)])), "array<bigint>")
+    edge = lambda place: F.lit(_NONE | place << _PLACE | _EDGE)
+
+    def first(byte: Column, place: Column) -> Column:
+        pair = of_bytes[byte * 257 + F.coalesce(F.get(word, place + 1), F.lit(256))]
+        return F.shiftleft(pair, _RANK).bitwiseXOR(F.shiftleft(place.cast("bigint"), _PLACE)).bitwiseXOR(of_byte[byte])
+
+    def ranked(part: Column, after: Column) -> Column:
+        """`part`'s place and id with the rank of its pair with `after`; an entry of another pair differs above the rank."""
+        a, b, low = part.bitwiseAND(_ID), after.bitwiseAND(_ID), part.bitwiseAND(_LOW)
+        at = (a * _MIX_A + b * _MIX_B).bitwiseAND(size - 1).bitwiseXOR(move[(low * _MIX_LOW + b).bitwiseAND(n_buckets - 1)])
+        return table[at].bitwiseXOR(F.shiftleft(low, _LOW_ID)).bitwiseXOR(F.shiftleft(b, _NEXT)).bitwiseXOR(part.bitwiseAND(_OWN))
+
+    def joined(parts: Column, at: Column) -> Column:
+        """Part `at` with the next one; its pairs with its neighbours are the only new ones."""
+        before, least, after = F.get(parts, at - 1), F.get(parts, at), F.get(parts, at + 1)
+        # the joined part has the place of its first one, and the rank is its id
+        whole = least.bitwiseAND(_OWN - _ID).bitwiseXOR(F.shiftright(least, _RANK))
+        changed = F.zip_with(F.array(whole, before), F.array(F.get(parts, at + 2), whole), ranked)
+        rest = F.array_remove(F.array_remove(F.array_remove(parts, after), least), before)
+        return F.aggregate(changed, rest, lambda all_, part: F.array_insert(all_, at, part))
 
     def step(parts: Column, _: Column) -> Column:
         """The leftmost pair of least rank joined; where no pair has a rank, the same parts."""
-        every = F.transform(parts, lambda a, i: rank(a, F.get(parts, i + 1), i))
-
-        def joined(least: Column) -> Column:
-            at = least.bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
-            return F.concat(F.slice(parts, F.lit(1), at), F.array(F.shiftright(least, _PLACE_BITS)), F.slice(parts, at + 3, F.size(parts)))
+        place = F.array_position(parts, F.array_min(parts)).cast("int") - 1
+        return F.when(F.array_min(parts) < _NONE, _let(place, lambda at: joined(parts, at))).otherwise(parts)
 
-        return _let(F.array_min(every), lambda least: F.when(least < found, joined(least)).otherwise(parts))
-
-    def fold(ids: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(ids), F.lit(2))), ids, step)
-
-    return _let(F.transform(word, lambda byte: of_byte[byte]), fold)
+    parts = F.array_append(F.array_prepend(F.transform(word, first), edge(0)), edge(255))
+    folded = F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(word), F.lit(2))), parts, step)
+    return F.transform(F.filter(folded, lambda part: part.bitwiseAND(_ID) != _EDGE), lambda part: part.bitwiseAND(_ID) - 1)
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -348,6 +362,7 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     if spark.conf.get("spark.sql.maxPlanStringLength", None) is None:
         spark.conf.set("spark.sql.maxPlanStringLength", PLAN_CHARS)
+    common.bound_batches(spark)
     common.drop_unused(spark)
     counts = common.materialize(word_counts(docs, text_col, pattern), "bpe-words")
     hot = spark.sparkContext.broadcast(hot_words(counts, path))
@@ -365,7 +380,7 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
         nulls = lambda n: [pa.nulls(n, to_arrow_type(t)) for t in id_fields]
         of_words = pa.list_(pa.list_(pa.int64()))
         names = [*id_cols, "known", "words", "long"]
-        for batch in batches:
+        for batch in common.gathered(batches, SLICE_BYTES):
             for part in common.slices(batch, "__text", SLICE_BYTES):
                 seen = _Numbers()
                 number = seen.__getitem__
@@ -434,6 +449,7 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     spelled = {"ids": "ids array<int>", "packed": "packed binary", "decoded": "decoded binary"}
     rows = docs.mapInArrow(common.tidy(split), f"{kinds}known binary, words array<array<bigint>>, long array<binary>")
     rows = rows.withColumn("words", F.transform("words", lambda w: fold_merges(w, path)))
+    common.drop_unused(spark)  # nor what spelling and analysing the rank map left
     return rows.mapInArrow(common.tidy(join), kinds + ", ".join(spelled[o] for o in outputs))
 
 

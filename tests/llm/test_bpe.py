@@ -112,3 +112,26 @@ def test_all_near_characters_split_alike():
         for text in (chr(i), f"a{chr(i)}b", f" {chr(i)}{chr(i)} 1", f"{chr(i)} {chr(i)}\n{chr(i)}x"):
             assert split(text) == regex.findall(P.PATTERN, text), repr(text)
     assert split("日本 a") == regex.findall(P.PATTERN, "日本 a")
+
+
+def test_a_step_keeps_ranks_and_copies_no_slices(spark):
+    path = P.path(bpe.VOCABULARY)
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aaabe éñ日!") for _ in range(rng.randrange(1, 60))).encode()[:256].decode(errors="ignore") or "x" for _ in range(300)]
+    words += ["a" * n for n in range(1, 257, 5)] + ["ab" * n for n in range(1, 129, 9)]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    folded = df.select("word", bpe.fold_merges(bpe.bytes_of(F.col("word")), path).alias("ids"))
+    assert all(r.ids == bpe.merge_long(r.word.encode(), RANKS) for r in folded.collect())
+    plan = folded._jdf.queryExecution().analyzed().toString()
+    assert "slice(" not in plan and "concat(" not in plan  # they took most of a fold's time
+
+
+def test_small_batches_share_a_slice():
+    import pyarrow as pa
+
+    from changeloom.llm import common
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(["x" * 100] * n, pa.string())], ["t"]) for n in (3, 0, 5, 50, 2, 2)]
+    out = list(common.gathered(iter(batches), 2000))
+    assert [b.num_rows for b in out] == [8, 50, 4]
+    assert list(common.gathered(iter([]), 10)) == []
