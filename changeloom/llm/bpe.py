@@ -38,7 +38,6 @@ import heapq
 import json
 import pickle
 import re
-from collections import Counter
 from functools import cache
 
 import numpy as np
@@ -51,8 +50,8 @@ from pyspark.sql import functions as F
 from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-HOT_WORDS, HOT_COUNT, HOT_BYTES, LONG = 1 << 18, 4, 32, 64
-SLICE_BYTES, COUNT_WORDS, TAIL_ROW, HOT_PARTS = 8 << 20, 200_000, 1000, 64
+HOT_WORDS, HOT_COUNT, HOT_BYTES, LONG = 1 << 19, 4, 32, 64
+SLICE_BYTES, COUNT_BYTES, HELD_WORDS, TAIL_ROW, HOT_PARTS = 4 << 20, 8 << 20, 50_000, 1000, 64
 assert LONG <= 1 << 8  # places in a word have eight bits
 
 
@@ -214,25 +213,41 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def found_words(texts: pa.Array, find, held_words: int = HELD_WORDS) -> tuple[pa.ChunkedArray, np.ndarray]:
+    """The matches of all texts (null: empty), one after another, and how many each text has.
+
+    Arrow counts and numbers them in less time and memory than a dict of strings takes; about
+    `held_words` at a time are Python's."""
+    chunks, held, sizes = [], [], []
+    for text in texts:
+        words = find(text.as_py() or "")
+        sizes.append(len(words))
+        held += words
+        if len(held) >= held_words:
+            chunks.append(pa.array(held, pa.string()))
+            held = []
+    chunks.append(pa.array(held, pa.string()))
+    return pa.chunked_array(chunks), np.array(sizes, np.int64)
+
+
+def numbered(words: pa.ChunkedArray) -> tuple[np.ndarray, list[bytes]]:
+    """Each word's number, and the distinct words in order of their numbers, which is that of first sight."""
+    if not len(words):
+        return np.empty(0, np.int32), []  # no chunk, no dictionary
+    coded = words.dictionary_encode().unify_dictionaries()
+    return np.concatenate([c.indices.to_numpy() for c in coded.chunks]), coded.chunk(0).dictionary.cast(pa.binary()).to_pylist()
+
+
 def word_counts(docs: DataFrame, text_col: str = "text", pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """word, n: all distinct words of all texts. Counted in the tasks that read them before they move."""
     texts = docs.select(F.col(text_col).cast("string").alias("text")).filter("text is not null")
 
     def run(batches):
         find = splitter(pattern)
-        seen: Counter = Counter()
-
-        def told():
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
-
-        for batch in batches:
-            for part in common.slices(batch, "text"):
-                for text in part.column("text").to_pylist():
-                    seen.update(find(text))
-                    if len(seen) > COUNT_WORDS:
-                        yield told()
-                        seen.clear()
-        yield told()
+        for batch in common.gathered(batches, COUNT_BYTES):
+            for part in common.slices(batch, "text", COUNT_BYTES):
+                seen = found_words(part.column("text"), find)[0].value_counts()
+                yield pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], ["word", "n"])
 
     return texts.mapInArrow(common.tidy(run), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -257,7 +272,7 @@ class HotWords:
         kept, kept_ids = [words[k] for k in order.tolist()], [ids[k] for k in order.tolist()]
         self.bytes = b"".join(kept)
         self.byte_starts = np.cumsum([0, *map(len, kept)]).astype(np.int32)
-        self.ids = np.array([i for own in kept_ids for i in own], np.int32)
+        self.ids = np.array([i for own in kept_ids for i in own], np.uint16)  # all are below _EDGE
         self.id_starts = np.cumsum([0, *map(len, kept_ids)]).astype(np.int32)
 
     @classmethod
@@ -277,7 +292,7 @@ class HotWords:
         """The number of each word, or -1."""
         if not len(self.hashes) or not words:
             return np.full(len(words), -1)
-        hashes = np.array([_word_hash(w) for w in words], np.uint64)
+        hashes = np.fromiter(map(_word_hash, words), np.uint64, len(words))
         place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         at = np.where(self.hashes[place] == hashes, place, -1)
         begin, end, held = self.byte_starts[at].tolist(), self.byte_starts[at + 1].tolist(), self.bytes
@@ -340,14 +355,6 @@ class _Pieces:
         return cls._made[1]
 
 
-class _Numbers(dict):
-    """word -> number, in order of first sight."""
-
-    def __missing__(self, word: str) -> int:
-        found = self[word] = len(self)
-        return found
-
-
 def _runs(number: np.ndarray, source: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The runs of `source` that the numbers name, one after another."""
     length = sizes[number]
@@ -380,31 +387,37 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
         nulls = lambda n: [pa.nulls(n, to_arrow_type(t)) for t in id_fields]
         of_words = pa.list_(pa.list_(pa.int64()))
         names = [*id_cols, "known", "words", "long"]
+
+        def rows(part):
+            """A function, so that nothing of a slice outlives it."""
+            words, held = found_words(part.column("__text"), find)
+            number, raw = numbered(words)
+            del words
+            told = np.split(number, np.cumsum(held))[:-1]
+            at = table.find(raw)
+            # hot words give their ids, the k-th other word gives -1-k until it is folded
+            other = np.flatnonzero(at < 0)
+            begin = table.id_starts[at].astype(np.int64)
+            sizes = table.id_starts[np.minimum(at + 1, len(table.hashes))] - begin
+            source = np.concatenate([table.ids, -1 - np.arange(len(other), dtype=np.int32)]).astype(np.int32)
+            begin[other], sizes[other] = len(table.ids) + np.arange(len(other)), 1
+            tail = [raw[k] for k in other.tolist()]
+            # the slice's words go first, in rows of their own; the first of them starts the slice
+            for k in range(0, max(len(tail), 1), TAIL_ROW):
+                run = tail[k : k + TAIL_ROW]
+                short = [w if len(w) <= LONG else b"" for w in run]
+                flat = pa.array(np.frombuffer(b"".join(short), np.uint8).astype(np.int64))
+                inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(w) for w in short])]).astype(np.int32)), flat)
+                words_row = pa.ListArray.from_arrays(pa.array([0, len(run)], pa.int32()), inner)
+                long = pa.array([[w if len(w) > LONG else None for w in run]], pa.list_(pa.binary()))
+                yield pa.RecordBatch.from_arrays([*nulls(1), pa.array([b"more" if k else b"first"], pa.binary()), words_row.cast(of_words), long], names)
+            known = pa.array([_runs(n, source, begin, sizes).tobytes() for n in told], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), known, pa.nulls(len(told), of_words), pa.nulls(len(told), pa.list_(pa.binary()))], names)
+
         for batch in common.gathered(batches, SLICE_BYTES):
             for part in common.slices(batch, "__text", SLICE_BYTES):
-                seen = _Numbers()
-                number = seen.__getitem__
-                told = [np.array(list(map(number, find(text or ""))), np.int32) for text in part.column("__text").to_pylist()]
-                raw = [w.encode() for w in seen]
-                at = table.find(raw)
-                # hot words give their ids, the k-th other word gives -1-k until it is folded
-                other = np.flatnonzero(at < 0)
-                begin = table.id_starts[at].astype(np.int64)
-                sizes = table.id_starts[np.minimum(at + 1, len(table.hashes))] - begin
-                source = np.concatenate([table.ids, -1 - np.arange(len(other), dtype=np.int32)]).astype(np.int32)
-                begin[other], sizes[other] = len(table.ids) + np.arange(len(other)), 1
-                tail = [raw[k] for k in other.tolist()]
-                # the slice's words go first, in rows of their own; the first of them starts the slice
-                for k in range(0, max(len(tail), 1), TAIL_ROW):
-                    run = tail[k : k + TAIL_ROW]
-                    short = [w if len(w) <= LONG else b"" for w in run]
-                    flat = pa.array(np.frombuffer(b"".join(short), np.uint8).astype(np.int64))
-                    inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(w) for w in short])]).astype(np.int32)), flat)
-                    words_row = pa.ListArray.from_arrays(pa.array([0, len(run)], pa.int32()), inner)
-                    long = pa.array([[w if len(w) > LONG else None for w in run]], pa.list_(pa.binary()))
-                    yield pa.RecordBatch.from_arrays([*nulls(1), pa.array([b"more" if k else b"first"], pa.binary()), words_row.cast(of_words), long], names)
-                known = pa.array([_runs(n, source, begin, sizes).tobytes() for n in told], pa.binary())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), known, pa.nulls(len(told), of_words), pa.nulls(len(told), pa.list_(pa.binary()))], names)
+                yield from rows(part)
+                common.release_memory()
 
     def join(batches):
         folded: list[np.ndarray] = []  # pairs of ids and sizes, row by row of words
@@ -430,9 +443,13 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
                     sizes = np.concatenate([n for _, n in folded])
                     starts = np.cumsum(sizes) - sizes
                     folded, stale = [], False
-                for part in common.slices(batch.slice(a, b - a), "known"):
-                    each = [_place(np.frombuffer(ids, np.int32), source, sizes, starts) for ids in part.column("known").to_pylist()]
-                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), *(made[o](each) for o in outputs)], [*id_cols, *outputs])
+                for part in common.slices(batch.slice(a, b - a), "known", SLICE_BYTES):
+                    yield finished(part, source, sizes, starts)
+                    common.release_memory()
+
+    def finished(part, source, sizes, starts):
+        each = [_place(np.frombuffer(ids.as_buffer(), np.int32), source, sizes, starts) for ids in part.column("known")]
+        return pa.RecordBatch.from_arrays([*(part.column(c) for c in id_cols), *(made[o](each) for o in outputs)], [*id_cols, *outputs])
 
     def as_lists(each: list[np.ndarray]) -> pa.Array:
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in each])]).astype(np.int32)

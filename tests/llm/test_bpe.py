@@ -135,3 +135,29 @@ def test_small_batches_share_a_slice():
     out = list(common.gathered(iter(batches), 2000))
     assert [b.num_rows for b in out] == [8, 50, 4]
     assert list(common.gathered(iter([]), 10)) == []
+
+
+def test_words_are_numbered_and_counted_across_chunks(spark):
+    import pyarrow as pa
+
+    find = bpe.splitter(P.PATTERN)
+    texts = ["the cat", None, "", " the cat\n日本 the", "cat the cat", "the"]
+    for held in (1, 3, 100):
+        words, sizes = bpe.found_words(pa.array(texts, pa.string()), find, held)
+        spelled = [w for t in texts for w in find(t or "")]
+        assert words.to_pylist() == spelled and sizes.tolist() == [len(find(t or "")) for t in texts]
+        number, distinct = bpe.numbered(words)
+        assert [distinct[k].decode() for k in number.tolist()] == spelled
+        assert distinct == [w.encode() for w in dict.fromkeys(spelled)]
+    for none in ([], [None, ""]):
+        words, sizes = bpe.found_words(pa.array(none, pa.string()), find)
+        assert [len(x) for x in (*bpe.numbered(words), sizes)] == [0, 0, len(none)]
+
+
+def test_the_frequent_word_table_holds_words_of_middling_frequency(spark):
+    # 300,000 words of 4 places each: a table of 2^18 words would leave all of them out
+    docs = spark.range(300_000).selectExpr("id as doc_id", "concat_ws(' ', array_repeat(concat('w', translate(id, '0123456789', 'abcdefghij')), 5)) as text")
+    hot = bpe.hot_words(bpe.word_counts(docs), P.path(bpe.VOCABULARY))
+    assert len(hot.hashes) == 300_000
+    k = int(hot.find([b" wbcdef"])[0])
+    assert hot.ids[hot.id_starts[k] : hot.id_starts[k + 1]].tolist() == OWN.encode_ordinary(" wbcdef")
