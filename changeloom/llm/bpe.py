@@ -51,7 +51,7 @@ from . import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 HOT_WORDS, HOT_COUNT, HOT_BYTES, LONG = 1 << 19, 4, 32, 64
-SLICE_BYTES, COUNT_BYTES, HELD_WORDS, TAIL_ROW, HOT_PARTS = 4 << 20, 8 << 20, 50_000, 1000, 64
+SLICE_BYTES, HELD_WORDS, TAIL_ROW, HOT_PARTS = 4 << 20, 50_000, 1000, 64
 assert LONG <= 1 << 8  # places in a word have eight bits
 
 
@@ -244,10 +244,12 @@ def word_counts(docs: DataFrame, text_col: str = "text", pattern: str = public_t
 
     def run(batches):
         find = splitter(pattern)
-        for batch in common.gathered(batches, COUNT_BYTES):
-            for part in common.slices(batch, "text", COUNT_BYTES):
+        for batch in common.gathered(batches, SLICE_BYTES):
+            for part in common.slices(batch, "text", SLICE_BYTES):
                 seen = found_words(part.column("text"), find)[0].value_counts()
                 yield pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], ["word", "n"])
+                del seen
+                common.release_memory()
 
     return texts.mapInArrow(common.tidy(run), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -371,6 +373,7 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
         spark.conf.set("spark.sql.maxPlanStringLength", PLAN_CHARS)
     common.bound_batches(spark)
     common.drop_unused(spark)
+    common.collect_executors(spark)
     counts = common.materialize(word_counts(docs, text_col, pattern), "bpe-words")
     hot = spark.sparkContext.broadcast(hot_words(counts, path))
     common.drop_unused(spark)  # the driver needs the words no longer
@@ -467,6 +470,7 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     rows = docs.mapInArrow(common.tidy(split), f"{kinds}known binary, words array<array<bigint>>, long array<binary>")
     rows = rows.withColumn("words", F.transform("words", lambda w: fold_merges(w, path)))
     common.drop_unused(spark)  # nor what spelling and analysing the rank map left
+    common.collect_executors(spark)  # the encoding job has two Python workers a core
     return rows.mapInArrow(common.tidy(join), kinds + ", ".join(spelled[o] for o in outputs))
 
 

@@ -201,6 +201,14 @@ def drop_unused(spark: SparkSession) -> None:
     release_memory()
 
 
+def collect_executors(spark: SparkSession) -> None:
+    """Have the executors collect their garbage, which also gives free heap back to the system: the
+    heap that earlier operators made them take stays theirs otherwise, beside the next one's Python
+    workers. A task a core, so that each executor most likely gets one; no result depends on it."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).selectExpr("java_method('java.lang.System', 'gc') AS done").filter("done IS NOT NULL").count()
+
+
 def tidy(run):
     """`run`, a function over a task's batches, with its memory released at the end."""
 

@@ -161,3 +161,17 @@ def test_the_frequent_word_table_holds_words_of_middling_frequency(spark):
     assert len(hot.hashes) == 300_000
     k = int(hot.find([b" wbcdef"])[0])
     assert hot.ids[hot.id_starts[k] : hot.id_starts[k + 1]].tolist() == OWN.encode_ordinary(" wbcdef")
+
+
+def test_executors_give_heap_back_before_the_encoding_job(spark, monkeypatch):
+    from changeloom.llm import common
+
+    runs = lambda: sum(b.getCollectionCount() for b in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans())
+    before, cores = runs(), spark.sparkContext.defaultParallelism
+    common.collect_executors(spark)
+    assert runs() >= before + cores
+    told = []
+    monkeypatch.setattr(common, "collect_executors", lambda _: told.append("executors"))
+    monkeypatch.setattr(common, "materialize", lambda df, label: told.append(label) or df)
+    bpe.encode(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert told == ["executors", "bpe-words", "executors"]
