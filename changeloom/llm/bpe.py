@@ -5,8 +5,8 @@ is encoded apart. A match's bytes are merged, always the leftmost of the adjacen
 whose joined bytes have the least rank; a match that is a token itself ends as that token.
 
 The merges are a fold of Spark's higher-order functions: the array of a word's bytes, each
-as the id of its one-byte token, loses one place a step. The rank map is a literal in the
-plan. As both parts of a pair are tokens, it goes from a pair of ids to the rank (which is
+as the id of its one-byte token, loses one place a step. The rank map is constant
+in the plan. As both parts of a pair are tokens, it goes from a pair of ids to the rank (which is
 the id) of the joined bytes: a perfect hash table in a constant array, one look-up a pair,
 whatever the vocabulary's size.
 
@@ -34,16 +34,19 @@ an empty table gives an empty result; other columns pass or are ignored, whateve
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
 import pickle
 import re
+import threading
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,7 +109,7 @@ PLAN_CHARS = 100_000
 
 
 @cache
-def _pair_table(path: str) -> tuple[str, str, str, int, int]:
+def _pair_table(path: str) -> tuple[str, int, int]:
     """A perfect hash table of all pairs of tokens whose joined bytes are a token, and a plain
     table of all pairs of bytes.
 
@@ -140,21 +143,47 @@ def _pair_table(path: str) -> tuple[str, str, str, int, int]:
         for base, entry in own:
             table[base ^ move] = entry
     of_bytes = [pairs.get((ranks[bytes([a])] + 1, ranks[bytes([b])] + 1), _NONE >> _RANK) if b < 256 else _NONE >> _RANK for a in range(256) for b in range(257)]
-    compact = lambda x: json.dumps(x, separators=(",", ":"))
-    return compact(table), compact(moves), compact(of_bytes), size, n_buckets
+    return json.dumps([table, moves, of_bytes, [ranks[bytes([i])] + 1 for i in range(256)]], separators=(",", ":")), size, n_buckets
+
+
+_DECLARING = threading.Lock()
+
+
+def _tables(path: str, spark: SparkSession) -> tuple[Column, int, int]:
+    """The pair table, its moves, the table of pairs of bytes and the ids of bytes, constant arrays in
+    one; the size of the pair table and its number of buckets.
+
+    A session variable holds the arrays, packed, and a plan names packed arrays in a few characters.
+    Parsed in the plan they are spelled out: megabytes in the description of each plan that holds
+    them, written again with each change of the plan, and the driver keeps those of many past queries.
+    """
+    tables, size, n_buckets = _pair_table(path)
+    name = f"system.session.changeloom_{hashlib.md5(path.encode()).hexdigest()}"
+    with _DECLARING:
+        try:
+            spark.sql(f"DECLARE VARIABLE {name} ARRAY<ARRAY<BIGINT>>")
+        except AnalysisException as there:
+            if there.getCondition() != "VARIABLE_ALREADY_EXISTS":
+                raise
+        else:
+            try:
+                spark.sql(f"SET VARIABLE {name} = from_json(:tables, 'array<array<bigint>>')", {"tables": tables})
+            except BaseException:
+                spark.sql(f"DROP TEMPORARY VARIABLE {name}")
+                raise
+    return F.expr(name), size, n_buckets
 
 
 def _let(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def fold_merges(word: Column, path: str) -> Column:
-    """Ids (array<bigint>) of one word given as an array of its bytes (bigints 0 to 255), at most 2^8 of them."""
-    # constants: parsed once, when the plan is optimised, so each stands once in the plan
-    *tables, size, n_buckets = _pair_table(path)
-    table, move, of_bytes = (F.from_json(F.lit(x), "array<bigint>") for x in tables)
-    ranks = load_ranks(path)
-    of_byte = F.from_json(F.lit(json.dumps([ranks[bytes([i])] + 1 for i in range(256)])), "array<bigint>")
+def fold_merges(word: Column, path: str, spark: SparkSession | None = None) -> Column:
+    """Ids (array<bigint>) of one word given as an array of its bytes (bigints 0 to 255), at most 2^8 of them,
+    for data frames of `spark` (or the active session)."""
+    # constants: taken apart once, when the plan is optimised
+    tables, size, n_buckets = _tables(path, spark or SparkSession.active())
+    table, move, of_bytes, of_byte = (tables[k] for k in range(4))
     edge = lambda place: F.lit(_NONE | place << _PLACE | _EDGE)
 
     def first(byte: Column, place: Column) -> Column:
@@ -330,7 +359,7 @@ def hot_words(counts: DataFrame, path: str, most: int = HOT_WORDS, least_count:
             made = pickle.dumps(HotWords(*map(list, zip(*sorted(own), strict=True))), pickle.HIGHEST_PROTOCOL)
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([made], pa.binary())], ["part", "made"])
 
-    chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path).cast("array<int>").alias("ids"))
+    chosen = short.filter(level >= least).select("word", fold_merges(bytes_of(F.col("word")), path, counts.sparkSession).cast("array<int>").alias("ids"))
     chosen = chosen.withColumn("part", F.shiftrightunsigned(F.xxhash64("word"), 64 - HOT_PARTS.bit_length() + 1).cast("int"))
     parts = chosen.repartition(HOT_PARTS, "part").mapInArrow(common.tidy(lay_out), "part int, made binary").toArrow().sort_by("part")
     return HotWords.joined([pickle.loads(made.as_buffer()) for made in parts.column("made")])
@@ -377,7 +406,7 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     counts = common.materialize(word_counts(docs, text_col, pattern), "bpe-words")
     hot = spark.sparkContext.broadcast(hot_words(counts, path))
     common.drop_unused(spark)  # the driver needs the words no longer
-    # the long words' merges need the ranks on the executors: a bounded table, as the literal is
+    # the long words' merges need the ranks on the executors: a bounded table, as the rank map is
     ranks = spark.sparkContext.broadcast(load_ranks(path))
     docs = docs.select(*(F.col(c) for c in id_cols), F.col(text_col).cast("string").alias("__text"))
     kinds = "".join(f"`{c}` {t}, " for c, t in docs.drop("__text").dtypes)
@@ -468,7 +497,7 @@ def encode(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: st
     made = {"ids": as_lists, "packed": as_bytes, "decoded": as_decoded}
     spelled = {"ids": "ids array<int>", "packed": "packed binary", "decoded": "decoded binary"}
     rows = docs.mapInArrow(common.tidy(split), f"{kinds}known binary, words array<array<bigint>>, long array<binary>")
-    rows = rows.withColumn("words", F.transform("words", lambda w: fold_merges(w, path)))
+    rows = rows.withColumn("words", F.transform("words", lambda w: fold_merges(w, path, spark)))
     common.drop_unused(spark)  # nor what spelling and analysing the rank map left
     common.collect_executors(spark)  # the encoding job has two Python workers a core
     return rows.mapInArrow(common.tidy(join), kinds + ", ".join(spelled[o] for o in outputs))

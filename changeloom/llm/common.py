@@ -198,9 +198,29 @@ def drop_unused(spark: SparkSession) -> None:
     that does little may put off for long."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    trim_driver(spark)
     release_memory()
 
 
+def trim_driver(spark: SparkSession) -> str:
+    """Have the driver's JVM give back what its allocator keeps of freed native memory (compilers,
+    threads, buffers): over a hundred MB after a few operators, beside the heap. What it says of it;
+    empty where a JVM has no such command."""
+    from py4j.protocol import Py4JError
+
+    gateway, java = spark.sparkContext._gateway, spark.sparkContext._jvm.java
+    beans = spark.sparkContext._jvm.javax.management
+    with contextlib.suppress(Py4JError):
+        # by reflection on the interface, as the server's own class is not exported
+        kinds, given = gateway.new_array(java.lang.Class, 4), gateway.new_array(java.lang.Object, 4)
+        for k, name in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[k] = java.lang.Class.forName(name)
+        given[0], given[1] = beans.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        invoke = java.lang.Class.forName("javax.management.MBeanServer").getMethod("invoke", kinds)
+        return invoke.invoke(java.lang.management.ManagementFactory.getPlatformMBeanServer(), given)
+    return ""
+
+
 def collect_executors(spark: SparkSession) -> None:
     """Have the executors collect their garbage, which also gives free heap back to the system: the
     heap that earlier operators made them take stays theirs otherwise, beside the next one's Python

@@ -175,3 +175,13 @@ def test_executors_give_heap_back_before_the_encoding_job(spark, monkeypatch):
     monkeypatch.setattr(common, "materialize", lambda df, label: told.append(label) or df)
     bpe.encode(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
     assert told == ["executors", "bpe-words", "executors"]
+
+
+def test_plans_do_not_spell_the_rank_map_out(spark):
+    path = P.path(bpe.VOCABULARY)
+    for session in (spark, spark.newSession(), spark):  # the map belongs to a session, and is there once
+        df = session.createDataFrame([("tokenizer",), ("日本",)], "word string")
+        folded = df.select("word", bpe.fold_merges(bpe.bytes_of(F.col("word")), path, session).alias("ids"))
+        assert {r.word: r.ids for r in folded.collect()} == {w: OWN.encode_ordinary(w) for w in ("tokenizer", "日本")}
+        run = folded._jdf.queryExecution()
+        assert all(len(plan.simpleString(1000)) < 20_000 for plan in (run.analyzed(), run.optimizedPlan()))

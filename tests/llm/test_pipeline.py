@@ -104,3 +104,11 @@ def test_batches_are_bounded_and_cut_points_let_go(spark, monkeypatch):
     monkeypatch.setattr(common, "materialize", lambda df, label: cuts.append(label) or written(df, label))
     assert jaccard.classes(docs.limit(20)).count() == 20
     assert cuts and len(most) > len(cuts)
+
+
+def test_the_driver_gives_native_memory_back(spark, monkeypatch):
+    assert "Trim native heap" in common.trim_driver(spark)
+    told = []
+    monkeypatch.setattr(common, "trim_driver", told.append)
+    common.drop_unused(spark)
+    assert told == [spark]
